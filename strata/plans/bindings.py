@@ -116,3 +116,76 @@ def sat_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("o_totalprice") / F.lit(1000.0)).cast("double").alias("MathScore"),
         F.floor(F.pmod(F.col("o_totalprice"), F.lit(1000.0))).cast("double").alias("VerbalScore"),
     )
+
+
+# --------------------------------------------------------------------------- #
+# Student profile (M11) on the driver tables                                  #
+# --------------------------------------------------------------------------- #
+PKEYS = (STUDENT, "SchoolYearNumberFall")
+AS_OF = "2026-01-01"
+GIFTED_OF_SEGMENT = {"BUILDING": "Y", "AUTOMOBILE": "D"}
+
+
+def enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (customer, order year): the enrolment record."""
+    from pyspark.sql import Window
+
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    per_year = (o.groupBy("o_custkey", F.year("o_orderdate").alias("yr"))
+                 .agg(F.max("o_orderstatus").alias("OrderStatus"), F.count(F.lit(1)).alias("n_orders")))
+    e = per_year.join(c, per_year.o_custkey == c.c_custkey, "left")
+    seg = F.col("c_mktsegment")
+    gifted = F.lit(None).cast("string")
+    for k, v in GIFTED_OF_SEGMENT.items():
+        gifted = F.when(seg == k, F.lit(v)).otherwise(gifted)
+    last_year = F.max("yr").over(Window.partitionBy("o_custkey"))
+    return e.select(
+        F.col("o_custkey").cast("string").alias(STUDENT),
+        F.col("yr").cast("string").alias("SchoolYearNumberFall"),
+        F.col("c_nationkey").cast("bigint").alias("SchoolDetailFCSId"),
+        F.pmod(F.col("c_nationkey") + F.lit(1), F.lit(25)).cast("bigint").alias("SchoolDetailFCSIdNextYear"),
+        (F.col("yr") - F.lit(1990) + F.pmod(F.col("o_custkey"), F.lit(3))).cast("string").alias("GradeLevel"),
+        F.when(F.col("OrderStatus") == "P", "Y").otherwise("N").alias("RetainedFlag"),
+        gifted.alias("ActiveGiftedStudentResultRecordFlag"),
+        F.when(last_year == 2001, "Y").otherwise("N").alias("CurrentEnrollment"),
+        "OrderStatus", "n_orders",
+    )
+
+
+def school_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar dimension: one row per fall year (bounded by the years)."""
+    o = table(spark, sf_dir, "orders")
+    y = o.select(F.year("o_orderdate").alias("yr")).distinct()
+    return y.select(F.col("yr").cast("string").alias("SchoolYearNumberFall"),
+                    F.make_date(F.col("yr"), F.lit(8), F.lit(1)).alias("FirstDayOfSchoolYear"))
+
+
+def profile_sources(spark: SparkSession, sf_dir: str) -> dict:
+    """Per-(student, year) source tables that the profile joins."""
+    from ..operators.snapshot import snapshot
+
+    sat = sat_fact(spark, sf_dir).withColumnRenamed(YEAR, "SchoolYearNumberFall")
+    sat_snap = snapshot(sat, PKEYS, ["TestingDateId", "o_orderkey"], ["MathScore", "VerbalScore"], "sat")
+    ill = (illuminate_fact(spark, sf_dir).groupBy(STUDENT, F.col(YEAR).alias("SchoolYearNumberFall"))
+           .agg(F.count(F.lit(1)).alias("n_illuminate")))
+    mil = (milestone_fact(spark, sf_dir).where(F.col("ScaleScore") >= 50000)
+           .groupBy(STUDENT, F.col(YEAR).alias("SchoolYearNumberFall"))
+           .agg(F.count(F.lit(1)).alias("n_milestone")))
+    ev = table(spark, sf_dir, "events")
+    rit = (ev.groupBy(F.col("user_id").cast("string").alias(STUDENT),
+                      (F.lit(1994) + F.weekofyear("ts")).cast("string").alias("SchoolYearNumberFall"))
+             .agg(F.count(F.lit(1)).alias("n_rit")))
+    o = table(spark, sf_dir, "orders")
+    grad = (o.where(F.col("o_orderstatus") == "F")
+             .groupBy(F.col("o_custkey").cast("string").alias(STUDENT),
+                      F.year("o_orderdate").cast("string").alias("SchoolYearNumberFall"))
+             .agg(F.count(F.lit(1)).alias("n_grad")))
+    return {"grad": grad, "sat": sat_snap, "illuminate": ill, "milestone": mil, "rit": rit}
+
+
+def student_profile(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+    from ..operators.profile import build_profile
+
+    return build_profile(enrolment(spark, sf_dir), school_year(spark, sf_dir),
+                         profile_sources(spark, sf_dir), PKEYS, as_of=as_of)

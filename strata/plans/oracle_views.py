@@ -54,3 +54,52 @@ SAT = """
          CAST(floor(fmod(o_totalprice, CAST(1000.0 AS DOUBLE))) AS DOUBLE) AS VerbalScore
   FROM orders WHERE o_orderpriority = '1-URGENT'
 """
+
+ENROL = """
+  SELECT CAST(py.o_custkey AS VARCHAR) AS mask_studentpersonkey,
+         CAST(py.yr AS VARCHAR) AS SchoolYearNumberFall,
+         CAST(c.c_nationkey AS BIGINT) AS SchoolDetailFCSId,
+         CAST((c.c_nationkey + 1) % 25 AS BIGINT) AS SchoolDetailFCSIdNextYear,
+         CAST(py.yr - 1990 + py.o_custkey % 3 AS VARCHAR) AS GradeLevel,
+         CASE WHEN py.OrderStatus = 'P' THEN 'Y' ELSE 'N' END AS RetainedFlag,
+         CASE c.c_mktsegment WHEN 'BUILDING' THEN 'Y' WHEN 'AUTOMOBILE' THEN 'D' END
+             AS ActiveGiftedStudentResultRecordFlag,
+         CASE WHEN max(py.yr) OVER (PARTITION BY py.o_custkey) = 2001 THEN 'Y' ELSE 'N' END AS CurrentEnrollment,
+         py.OrderStatus, py.n_orders
+  FROM (SELECT o_custkey, year(o_orderdate) AS yr, max(o_orderstatus) AS OrderStatus, count(*) AS n_orders
+        FROM orders GROUP BY ALL) py
+  LEFT JOIN customer c ON py.o_custkey = c.c_custkey
+"""
+
+CALENDAR = """
+  SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS SchoolYearNumberFall,
+         make_date(CAST(year(o_orderdate) AS INTEGER), 8, 1) AS FirstDayOfSchoolYear
+  FROM orders
+"""
+
+PROFILE = f"""
+  SELECT e.*, cal.FirstDayOfSchoolYear, g.n_grad, s.sat_n, s.sat_math_score, s.sat_verbal_score,
+         s.sat_math_values, i.n_illuminate, m.n_milestone, r.n_rit
+  FROM ({ENROL}) e
+  LEFT JOIN ({CALENDAR}) cal USING (SchoolYearNumberFall)
+  FULL OUTER JOIN (SELECT CAST(o_custkey AS VARCHAR) AS k, CAST(year(o_orderdate) AS VARCHAR) AS y,
+                          count(*) AS n_grad FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL) g
+       ON e.mask_studentpersonkey IS NOT DISTINCT FROM g.k AND e.SchoolYearNumberFall IS NOT DISTINCT FROM g.y
+  FULL OUTER JOIN (SELECT mask_studentpersonkey AS k, SchoolYearFall AS y, count(*) AS sat_n,
+                          arg_max(MathScore, struct_pack(d := TestingDateId, o := o_orderkey)) AS sat_math_score,
+                          arg_max(VerbalScore, struct_pack(d := TestingDateId, o := o_orderkey)) AS sat_verbal_score,
+                          string_agg(CAST(CAST(MathScore AS BIGINT) AS VARCHAR), ',' ORDER BY TestingDateId, o_orderkey)
+                              AS sat_math_values
+                   FROM ({SAT}) x GROUP BY ALL) s
+       ON e.mask_studentpersonkey IS NOT DISTINCT FROM s.k AND e.SchoolYearNumberFall IS NOT DISTINCT FROM s.y
+  FULL OUTER JOIN (SELECT mask_studentpersonkey AS k, SchoolYearFall AS y, count(*) AS n_illuminate
+                   FROM ({ITEMS}) x GROUP BY ALL) i
+       ON e.mask_studentpersonkey IS NOT DISTINCT FROM i.k AND e.SchoolYearNumberFall IS NOT DISTINCT FROM i.y
+  FULL OUTER JOIN (SELECT mask_studentpersonkey AS k, SchoolYearFall AS y, count(*) AS n_milestone
+                   FROM ({ITEMS}) x WHERE l_extendedprice >= 50000 GROUP BY ALL) m
+       ON e.mask_studentpersonkey IS NOT DISTINCT FROM m.k AND e.SchoolYearNumberFall IS NOT DISTINCT FROM m.y
+  FULL OUTER JOIN (SELECT CAST(user_id AS VARCHAR) AS k, CAST(1994 + week(ts) AS VARCHAR) AS y, count(*) AS n_rit
+                   FROM events GROUP BY ALL) r
+       ON e.mask_studentpersonkey IS NOT DISTINCT FROM r.k AND e.SchoolYearNumberFall IS NOT DISTINCT FROM r.y
+  WHERE cal.FirstDayOfSchoolYear < DATE '2026-01-01'
+"""
