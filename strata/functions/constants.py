@@ -131,3 +131,13 @@ COND_REVIEW = "Review & Practice"
 
 # --- Fixed values: expected share within k sigma for normal errors (Q8) --- #
 SIGMA_LEVELS = (0.5, 1.0, 1.5, 2.0, 2.5, 3.0)
+
+# --- Fixed values: sigma level -> (lower, upper) percentile of a normal law (Q8)
+SIGMA_PERCENTILES = {
+    0.5: (30.85, 69.15),
+    1.0: (15.87, 84.13),
+    1.5: (6.68, 93.32),
+    2.0: (2.28, 97.72),
+    2.5: (0.62, 99.38),
+    3.0: (0.13, 99.87),
+}

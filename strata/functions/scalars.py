@@ -45,6 +45,30 @@ def rint_int(c) -> Column:
     return F.rint(_c(c)).cast("bigint")
 
 
+# Coefficients of AS 241 (PPND16), published by Wichura (1988).
+# (names a-f are the six polynomials of the central and two tail regions)
+a = [3.387132872796366608, 133.14166789178437745, 1971.5909503065514427,
+     13731.693765509461125, 45921.953931549871457, 67265.770927008700853,
+     33430.575583588128105, 2509.0809287301226727]
+b = [1.0, 42.313330701600911252, 687.1870074920579083, 5394.1960214247511077,
+     21213.794301586595867, 39307.89580009271061, 28729.085735721942674,
+     5226.495278852545925]
+c = [1.42343711074968357734, 4.6303378461565452959, 5.7694972214606914055,
+     3.64784832476320460504, 1.27045825245236838258, 0.24178072517745061177,
+     0.0227238449892691845833, 7.7454501427834140764e-4]
+d = [1.0, 2.05319162663775882187, 1.6763848301838038494, 0.68976733498510000455,
+     0.14810397642748007459, 0.0151986665636164571966, 5.475938084995344946e-4,
+     1.05075007164441684324e-9]
+e = [6.6579046435011037772, 5.4637849111641143699, 1.7848265399172913358,
+     0.29656057182850489123, 0.026532189526576123093, 0.0012426609473880784386,
+     2.71155556874348757815e-5, 2.01033439929228813265e-7]
+f = [1.0, 0.59983220655588793769, 0.13692988092273580531, 0.0148753612908506148525,
+     7.868691311456132591e-4, 1.8463183175100546818e-5, 1.4215117583164458887e-7,
+     2.04426310338993978564e-15]
+AS241 = (a, b, c, d, e, f)
+del a, b, c, d, e, f
+
+
 def inv_norm_cdf(p) -> Column:
     """Inverse standard normal CDF (Wichura's AS 241, double precision).
 
@@ -60,25 +84,7 @@ def inv_norm_cdf(p) -> Column:
             acc = acc * x + F.lit(a)
         return acc
 
-    # Coefficients of AS 241 (PPND16), published by Wichura (1988).
-    a = [3.387132872796366608, 133.14166789178437745, 1971.5909503065514427,
-         13731.693765509461125, 45921.953931549871457, 67265.770927008700853,
-         33430.575583588128105, 2509.0809287301226727]
-    b = [1.0, 42.313330701600911252, 687.1870074920579083, 5394.1960214247511077,
-         21213.794301586595867, 39307.89580009271061, 28729.085735721942674,
-         5226.495278852545925]
-    c = [1.42343711074968357734, 4.6303378461565452959, 5.7694972214606914055,
-         3.64784832476320460504, 1.27045825245236838258, 0.24178072517745061177,
-         0.0227238449892691845833, 7.7454501427834140764e-4]
-    d = [1.0, 2.05319162663775882187, 1.6763848301838038494, 0.68976733498510000455,
-         0.14810397642748007459, 0.0151986665636164571966, 5.475938084995344946e-4,
-         1.05075007164441684324e-9]
-    e = [6.6579046435011037772, 5.4637849111641143699, 1.7848265399172913358,
-         0.29656057182850489123, 0.026532189526576123093, 0.0012426609473880784386,
-         2.71155556874348757815e-5, 2.01033439929228813265e-7]
-    f = [1.0, 0.59983220655588793769, 0.13692988092273580531, 0.0148753612908506148525,
-         7.868691311456132591e-4, 1.8463183175100546818e-5, 1.4215117583164458887e-7,
-         2.04426310338993978564e-15]
+    a, b, c, d, e, f = AS241
 
     r_central = F.lit(0.180625) - q * q
     central = q * poly(a, r_central) / poly(b, r_central)

@@ -189,3 +189,32 @@ def student_profile(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Dat
 
     return build_profile(enrolment(spark, sf_dir), school_year(spark, sf_dir),
                          profile_sources(spark, sf_dir), PKEYS, as_of=as_of)
+
+
+# --------------------------------------------------------------------------- #
+# Prediction errors (NB004) on lineitem                                       #
+# --------------------------------------------------------------------------- #
+ERROR_TIE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+SEGMENT_FLAGS = ("has_rit", "has_illuminate", "has_milestone")
+SEGMENT_NAMES = {"has_rit": "RIT", "has_illuminate": "ILL", "has_milestone": "MS"}
+TARGETS = ("math", "verbal")
+
+
+def prediction_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item: actual and predicted scores of two targets,
+    availability flags, error and absolute error."""
+    from ..operators.stats import with_errors
+
+    li = table(spark, sf_dir, "lineitem")
+    base = li.select(
+        *ERROR_TIE,
+        (F.col("l_extendedprice") / F.lit(100.0)).alias("actual_sat_math_score"),
+        F.rint(F.col("l_quantity") * F.lit(15.0)).alias("pred_sat_math_score"),
+        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) / F.lit(100.0)).alias("actual_sat_verbal_score"),
+        F.rint(F.col("l_quantity") * F.lit(14.0)).alias("pred_sat_verbal_score"),
+        (F.col("l_returnflag") == "R").alias("has_rit"),
+        (F.col("l_linestatus") == "O").alias("has_illuminate"),
+        (F.col("l_returnflag") == "N").alias("has_milestone"),
+    )
+    return with_errors(base, {"math": ("actual_sat_math_score", "pred_sat_math_score"),
+                              "verbal": ("actual_sat_verbal_score", "pred_sat_verbal_score")})

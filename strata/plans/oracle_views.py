@@ -103,3 +103,19 @@ PROFILE = f"""
        ON e.mask_studentpersonkey IS NOT DISTINCT FROM r.k AND e.SchoolYearNumberFall IS NOT DISTINCT FROM r.y
   WHERE cal.FirstDayOfSchoolYear < DATE '2026-01-01'
 """
+
+ERRORS = """
+  SELECT *, actual_sat_math_score - pred_sat_math_score AS error_math,
+         abs(actual_sat_math_score - pred_sat_math_score) AS abs_error_math,
+         actual_sat_verbal_score - pred_sat_verbal_score AS error_verbal,
+         abs(actual_sat_verbal_score - pred_sat_verbal_score) AS abs_error_verbal,
+         concat_ws('+', CASE WHEN has_rit THEN 'RIT' END, CASE WHEN has_illuminate THEN 'ILL' END,
+                   CASE WHEN has_milestone THEN 'MS' END) AS seg0
+  FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice,
+               l_extendedprice / CAST(100.0 AS DOUBLE) AS actual_sat_math_score,
+               round_even(l_quantity * CAST(15.0 AS DOUBLE), 0) AS pred_sat_math_score,
+               l_extendedprice * (CAST(1.0 AS DOUBLE) - l_discount) / CAST(100.0 AS DOUBLE) AS actual_sat_verbal_score,
+               round_even(l_quantity * CAST(14.0 AS DOUBLE), 0) AS pred_sat_verbal_score,
+               l_returnflag = 'R' AS has_rit, l_linestatus = 'O' AS has_illuminate, l_returnflag = 'N' AS has_milestone
+        FROM lineitem) b
+"""
