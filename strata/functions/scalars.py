@@ -137,7 +137,8 @@ def digits_int(c) -> Column:
 
 def norm_text(c) -> Column:
     """Trim, lower, collapse whitespace; null -> ''."""
-    return F.regexp_replace(F.lower(F.trim(F.coalesce(_c(c).cast("string"), F.lit("")))), r"\s+", " ")
+    s = F.regexp_replace(F.coalesce(_c(c).cast("string"), F.lit("")), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.lower(s), r"\s+", " ")
 
 
 def contains_either(a, b) -> Column:
@@ -149,9 +150,10 @@ def contains_either(a, b) -> Column:
 
 def slug(c) -> Column:
     """Lower, non-alphanumerics to '-', trim '-', empty -> 'unknown'."""
-    s = F.regexp_replace(F.lower(_c(c).cast("string")), r"[^a-z0-9]+", "-")
+    raw = _c(c).cast("string")
+    s = F.regexp_replace(F.lower(raw), r"[^a-z0-9]+", "-")
     s = F.regexp_replace(s, r"^-+|-+$", "")
-    bad = _c(c).isNull() | (s == "") | F.lower(F.trim(_c(c))).isin("not reported", "n/a", "none")
+    bad = raw.isNull() | (raw == "") | (raw == "Not Reported")
     return F.when(bad, F.lit("unknown")).otherwise(s)
 
 
@@ -175,20 +177,28 @@ def year_in_text(c) -> Column:
 
 
 def safe_folder(c) -> Column:
-    """Folder name: drop characters illegal in paths, spaces to '_', lower."""
-    s = F.regexp_replace(_c(c), r'[<>:"/\\|?*]', "")
-    s = F.regexp_replace(F.trim(s), r"\s+", "_")
-    return F.lower(s)
+    """Folder name: keep word characters, spaces and '-', runs of '-' or
+    spaces to '_', lower case, no leading/trailing '_'."""
+    s = F.regexp_replace(_c(c), r"[^\p{L}\p{N}_\s-]", "")
+    s = F.regexp_replace(s, r"[-\s]+", "_")
+    return F.regexp_replace(F.lower(s), r"^_+|_+$", "")
 
 
 def safe_filename(c) -> Column:
-    """Sheet / file name sanitising: illegal characters to '_'."""
-    return F.regexp_replace(F.trim(_c(c)), r'[<>:"/\\|?*\[\]]', "_")
+    """File name sanitising: each of <>:"/\\|?* becomes '_'."""
+    return F.regexp_replace(_c(c), r'[<>:"/\\|?*]', "_")
+
+
+def url_filename(c) -> Column:
+    """URL -> file name: scheme dropped, '/' -> '_', ':' removed."""
+    s = F.replace(F.replace(_c(c), F.lit("https://"), F.lit("")), F.lit("http://"), F.lit(""))
+    return F.replace(F.replace(s, F.lit("/"), F.lit("_")), F.lit(":"), F.lit(""))
 
 
 def url_basename(c) -> Column:
     """Last path segment of a URL."""
-    return F.regexp_extract(F.coalesce(F.parse_url(_c(c), F.lit("PATH")), F.lit("")), r"([^/]+)$", 1)
+    path = F.regexp_extract(_c(c), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
+    return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
 def url_extension_ok(c, exts=("csv", "xls", "xlsx", "zip")) -> Column:
@@ -210,10 +220,15 @@ def ratio_value(c) -> Column:
 
 
 def display(c, default: str = "Not Reported") -> Column:
-    """Display text: null/'' -> default, booleans Yes/No, arrays joined."""
-    c_ = _c(c)
-    return F.when(c_.isNull(), F.lit(default)).otherwise(
-        F.when(c_.cast("string") == "", F.lit(default)).otherwise(c_.cast("string")))
+    """Display text of a scalar: null / '' / blank -> default, yes/no
+    words -> Yes/No, anything else as trimmed text (use ``display_bool`` and
+    ``display_list`` for boolean and array columns)."""
+    s = _c(c).cast("string")
+    low = F.lower(s)
+    return (F.when(s.isNull() | (F.trim(s) == ""), F.lit(default))
+            .when(low.isin("true", "yes", "y"), F.lit("Yes"))
+            .when(low.isin("false", "no", "n"), F.lit("No"))
+            .otherwise(F.regexp_replace(s, r"^\s+|\s+$", "")))
 
 
 def display_bool(c, default: str = "Not Reported") -> Column:
@@ -239,9 +254,12 @@ def preview(c, n: int = 200) -> Column:
 
 
 def table_cell(c, width: int = 97) -> Column:
-    """Markdown table cell: escape pipes, drop newlines, cut to width + '...'."""
-    s = F.regexp_replace(F.regexp_replace(_c(c).cast("string"), r"\|", r"\\|"), r"[\r\n]+", " ")
-    return F.when(F.length(s) > width, F.concat(F.substring(s, 1, width), F.lit("..."))).otherwise(s)
+    """Markdown table cell: escape '|', '[' and ']'; longer than
+    width + 3 characters -> first ``width`` characters + '...'."""
+    s = _c(c).cast("string")
+    for ch in ("|", "[", "]"):
+        s = F.replace(s, F.lit(ch), F.lit("\\" + ch))
+    return F.when(F.length(s) > width + 3, F.concat(F.substring(s, 1, width), F.lit("..."))).otherwise(s)
 
 
 # --------------------------------------------------------------------------- #
