@@ -53,5 +53,5 @@ def r6(expr: str) -> str:
 
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
-    from . import q_basic, q_features, q_link, q_stats, q_student, q_text  # noqa: F401
+    from . import q_basic, q_features, q_link, q_retrieval, q_stats, q_student, q_text  # noqa: F401
     return REGISTRY
