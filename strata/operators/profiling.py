@@ -17,3 +17,32 @@ def status_summary(log: DataFrame, status: str = "status", seconds: str = "secon
         F.count_if(s == "sampled").alias("sampled"), F.count_if(s == "copied").alias("copied"),
         F.avg(seconds).alias("avg_seconds"),
         (F.lit(100.0) * F.count_if(ok) / F.count(F.lit(1))).alias("success_rate"))
+
+
+def table_profile(df: DataFrame, columns=None, approximate: bool = False) -> DataFrame:
+    """Q5: per column n, missing, distinct, min, max, mean, std (sample) and
+    zeros, from one wide aggregate, unpivoted to one row per column.
+
+    ``approximate=True`` uses HyperLogLog distinct counts (no per-column
+    expansion of the data), the choice for very wide or very large tables.
+    """
+    cols = list(columns or [f.name for f in df.schema.fields
+                            if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")])
+    aggs = []
+    for c in cols:
+        x = F.col(c)
+        distinct = F.approx_count_distinct(x) if approximate else F.count_distinct(x)
+        aggs += [F.count(x).alias(f"{c}__n"), (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__missing"),
+                 distinct.alias(f"{c}__distinct"), F.min(x).cast("double").alias(f"{c}__min"),
+                 F.max(x).cast("double").alias(f"{c}__max"),
+                 # exact decimal sum: the mean does not depend on summation order
+                 (F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__std"), F.count_if(x == 0).alias(f"{c}__zeros")]
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").cast("bigint").alias("n"),
+                     F.col(f"{c}__missing").cast("bigint").alias("missing"),
+                     F.col(f"{c}__distinct").cast("bigint").alias("distinct_values"),
+                     F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
+                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+                     F.col(f"{c}__zeros").cast("bigint").alias("zeros")) for c in cols]
+    return wide.select(F.inline(F.array(*rows)))
