@@ -50,7 +50,8 @@ def _validate(specs) -> list[tuple[str, str]]:
     return out
 
 
-def features(specs: Sequence[tuple[str, object]], kind: str = "native", stage: str = "agg"):
+def features(specs: Sequence[tuple[str, object]], kind: str = "native", stage: str = "agg",
+             inputs: Sequence[str] = ()):
     """declare a function producing several columns (returns a list/tuple).
 
     ``stage="agg"`` features are aggregate expressions over the group's rows;
@@ -63,18 +64,31 @@ def features(specs: Sequence[tuple[str, object]], kind: str = "native", stage: s
     if stage not in ("agg", "post"):
         raise ValueError("stage must be 'agg' or 'post'")
 
+    if kind == "pandas" and not inputs:
+        raise ValueError("pandas features must name their input columns")
+
     def wrap(fn: Callable):
         fn.schema = schema
         fn.kind = kind
         fn.stage = stage
+        fn.inputs = tuple(inputs)
         return fn
 
     return wrap
 
 
-def feature(name: str, dtype, kind: str = "native", stage: str = "agg"):
-    """declare a single-column feature."""
-    return features([(name, dtype)], kind=kind, stage=stage)
+def feature(name: str, dtype, kind: str = "native", stage: str = "agg", inputs: Sequence[str] = ()):
+    """declare a single-column feature.  ``kind="pandas"``: the function
+    takes pandas Series of ``inputs`` and returns a Series; it runs as an
+    Arrow-batched ``pandas_udf`` (row stage only)."""
+    return features([(name, dtype)], kind=kind, stage=stage, inputs=inputs)
+
+
+def group_apply(df: DataFrame, keys: Sequence[str], fn: Callable, schema: str) -> DataFrame:
+    """a per-group callable returning one row (pandas ``groupby.apply``),
+    as ``applyInPandas``.  Each group travels to one Python worker, so use it
+    for groups of bounded size (for example one entity's periods)."""
+    return df.groupBy(*keys).applyInPandas(fn, schema=schema)
 
 
 def features_of(module: ModuleType) -> list[Callable]:
@@ -101,6 +115,12 @@ class Cols:
 
 
 def _columns(fn: Callable, c: Cols) -> list[Column]:
+    if getattr(fn, "kind", "native") == "pandas":
+        from pyspark.sql.functions import pandas_udf
+
+        (name, dtype), = fn.schema
+        udf = pandas_udf(fn, returnType=dtype)
+        return [udf(*[F.col(i) for i in fn.inputs]).alias(name)]
     out = fn(c)
     cols = list(out) if isinstance(out, (list, tuple)) else [out]
     if len(cols) != len(fn.schema):
