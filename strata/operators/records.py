@@ -457,3 +457,39 @@ def json_key_coverage(df: DataFrame, id_col: str, json_col: str, max_depth: int
     out = counts.join(smp, on="path", how="left").crossJoin(total)
     return out.select("path", "records", (F.lit(100.0) * F.col("records") / F.col("_total")).alias("percent"),
                       F.coalesce("samples", F.lit("")).alias("samples"))
+
+
+def category_coverage(df: DataFrame, id_col: str, array_col: str, tag: str = "category",
+                      value: str = "amount") -> DataFrame:
+    """Q2: per category of a nested list: records having it, records with a
+    value, and the mean value."""
+    e = df.select(id_col, F.explode_outer(array_col).alias("_x")).where(F.col("_x").isNotNull())
+    e = e.select(id_col, F.col(f"_x.{tag}").alias("category"), F.col(f"_x.{value}").alias("_v"))
+    return e.groupBy("category").agg(
+        F.count_distinct(id_col).alias("records"),
+        F.count_distinct(F.when(F.col("_v").isNotNull(), F.col(id_col))).alias("records_with_value"),
+        F.avg("_v").alias("mean_value"))
+
+
+def attribute_coverage(df: DataFrame, id_col: str, lists: dict, tag: str = "sport",
+                       attrs: Sequence[str] = ("intramural", "intercollegiate", "scholarship")) -> DataFrame:
+    """Q3: per tag value (sport): records listing it in each list, and records
+    where each attribute is reported (not null)."""
+    parts = None
+    for label, col in lists.items():
+        e = df.select(id_col, F.lit(label).alias("_list"), F.explode_outer(col).alias("_x")).where(F.col("_x").isNotNull())
+        parts = e if parts is None else parts.unionByName(e)
+    t = parts.select(id_col, "_list", F.col(f"_x.{tag}").alias(tag), *[F.col(f"_x.{a}").alias(a) for a in attrs])
+    aggs = [F.count_distinct(F.when(F.col("_list") == lab, F.col(id_col))).alias(f"records_{lab}") for lab in lists]
+    aggs.append(F.count_distinct(id_col).alias("records_any"))
+    aggs += [F.count_distinct(F.when(F.col(a).isNotNull(), F.col(id_col))).alias(f"records_with_{a}") for a in attrs]
+    return t.groupBy(tag).agg(*aggs)
+
+
+def coverage_report(cov: DataFrame, total_col: str = "records", top: int = 20) -> DataFrame:
+    """The top paths by record count (ties by path) with their
+    samples escaped and cut for a Markdown table."""
+    from ..functions.scalars import table_cell
+
+    return (cov.orderBy(F.col(total_col).desc(), F.col("path")).limit(top)
+            .withColumn("examples", table_cell(F.col("samples"))))

@@ -205,3 +205,42 @@ def _profile_sql() -> str:
 @register("table_profile", sql=_profile_sql(), ops="Q5")
 def table_profile(spark, sf_dir):
     return finish(PR.table_profile(table(spark, sf_dir, "lineitem"), list(NUMERIC)))
+
+
+@register("category_coverage", sql=f"""
+WITH t AS (SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Private' ELSE 'In-state' END AS category,
+                  CASE WHEN c_acctbal > 0 THEN c_acctbal * 3.0 END AS v FROM customer
+           UNION ALL SELECT c_custkey, 'Out-of-state', CAST(20000 + c_custkey % 10000 AS DOUBLE) FROM customer)
+SELECT category, count(DISTINCT id) AS records, count(DISTINCT CASE WHEN v IS NOT NULL THEN id END) AS records_with_value,
+       {r6('avg(v)')} AS mean_value FROM t GROUP BY category""", ops="Q2")
+def category_coverage(spark, sf_dir):
+    rec = RB.records(spark, sf_dir)
+    return finish(RC.category_coverage(rec, "ordinal", "tuition_and_fees.tuition"))
+
+
+@register("athletics_coverage", sql=f"""
+WITH s AS (SELECT {_sql_list(RB.SPORT_NAMES)} AS names),
+t AS (SELECT c_custkey AS id, 'men' AS lst, names[c_custkey % 12 + 1] AS sport, c_custkey % 2 = 0 AS sch FROM customer, s
+      UNION ALL SELECT c_custkey, 'men', names[(c_custkey * 7) % 12 + 1], false FROM customer, s
+      UNION ALL SELECT c_custkey, 'women', names[(c_custkey * 5) % 12 + 1], false FROM customer, s
+                WHERE c_custkey % 6 <> 0)
+SELECT sport, count(DISTINCT CASE WHEN lst = 'men' THEN id END) AS records_men,
+       count(DISTINCT CASE WHEN lst = 'women' THEN id END) AS records_women, count(DISTINCT id) AS records_any,
+       count(DISTINCT id) AS records_with_intramural, count(DISTINCT id) AS records_with_intercollegiate,
+       count(DISTINCT id) AS records_with_scholarship
+FROM t GROUP BY sport""", ops="Q3")
+def athletics_coverage(spark, sf_dir):
+    rec = RB.records(spark, sf_dir)
+    return RC.attribute_coverage(rec, "ordinal", {"men": "athletics.`Men's Sports`", "women": "athletics.`Women's Sports`"})
+
+
+@register("coverage_report", sql=f"""
+WITH cov AS ({_cov_sql()})
+SELECT path, records, percent, samples,
+       CASE WHEN length(replace(replace(replace(samples, '|', '\\|'), '[', '\\['), ']', '\\]')) > 100
+            THEN substring(replace(replace(replace(samples, '|', '\\|'), '[', '\\['), ']', '\\]'), 1, 97) || '...'
+            ELSE replace(replace(replace(samples, '|', '\\|'), '[', '\\['), ']', '\\]') END AS examples
+FROM cov ORDER BY records DESC, path LIMIT 5""", ops="Q4, O3, X23 (top-k report: the limit is the feature)")
+def coverage_report(spark, sf_dir):
+    cov = RC.json_key_coverage(_cov_json_spark(spark, sf_dir), "id", "doc")
+    return finish(RC.coverage_report(cov, top=5))

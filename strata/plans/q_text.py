@@ -80,16 +80,20 @@ SELECT page_id, CAST(pos - 1 AS INTEGER) AS link_pos, href, text, {sql_year('tex
        {sql_basename('href')} AS filename,
        (ends_with(href, '.csv') OR ends_with(href, '.xls') OR ends_with(href, '.xlsx')
         OR ends_with(href, '.zip')) AS is_data_file,
-       'https://example.com' || href AS absolute_url
+       'https://example.com' || href AS absolute_url,
+       replace(replace(replace(replace('https://example.com' || href, 'https://', ''), 'http://', ''), '/', '_'), ':', '')
+         AS url_file,
+       regexp_replace(text, '[<>:"/\\|?*]', '_', 'g') AS safe_name
 FROM (SELECT page_id, href, {sql_html_text('raw')} AS text, pos
       FROM (SELECT page_id,
                    unnest(regexp_extract_all(html, '{LINK_SQL}', 1)) AS href,
                    unnest(regexp_extract_all(html, '{LINK_SQL}', 2)) AS raw,
                    unnest(generate_series(1, len(regexp_extract_all(html, '{LINK_SQL}', 1)))) AS pos
-            FROM pages) a) b""", ops="D16, X13, X15, N7")
+            FROM pages) a) b""", ops="D16, X13, X14, X15, N7")
 def page_links(spark, sf_dir):
     links = PG.page_links(table(spark, sf_dir, "pages"))
-    return links.withColumn("absolute_url", F.concat(F.lit("https://example.com"), F.col("href")))
+    links = links.withColumn("absolute_url", F.concat(F.lit("https://example.com"), F.col("href")))
+    return links.withColumns({"url_file": X.url_filename("absolute_url"), "safe_name": X.safe_filename("text")})
 
 
 @register("candidate_urls", sql=f"""
