@@ -37,15 +37,15 @@ def get_grade_level_std(grades: pd.Series) -> pd.Series:
     return grades.map(one)
 
 
-def period_slope(pdf: pd.DataFrame) -> pd.DataFrame:
+def period_slope(pdf: pd.DataFrame) -> dict:
     """OLS slope of ``value`` over the group's periods in order (0.0 with
     fewer than two), one output row per group."""
-    g = pdf.sort_values("period")
-    y = g["value"].astype(float).to_numpy()
+    order = np.argsort(pdf["period"].to_numpy(), kind="stable")
+    y = pdf["value"].to_numpy(dtype=float)[order]
     n = len(y)
     if n < 2:
         slope = 0.0
     else:
         i = np.arange(n, dtype=float)
         slope = float(((i - i.mean()) * (y - y.mean())).sum() / ((i - i.mean()) ** 2).sum())
-    return pd.DataFrame({"entity": [g["entity"].iloc[0]], "n_periods": [n], "value_slope": [slope]})
+    return {"entity": pdf["entity"].iat[0], "n_periods": n, "value_slope": slope}

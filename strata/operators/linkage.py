@@ -47,7 +47,8 @@ def similarity_ratio(a, b) -> Column:
 
 def link_best_match(cands: DataFrame, entity: str = "University", pos: str = "candidate_pos",
                     name: str = "University", town: str = "Town", scraped_name: str = "Scraped_Name",
-                    scraped_location: str = "Scraped_Location", success: str = "Scrape_Success") -> DataFrame:
+                    scraped_location: str = "Scraped_Location", success: str = "Scrape_Success",
+                    fast: bool = True) -> DataFrame:
     """Per entity the first overall match, else the first name match,
     else the scraped candidate with the highest similarity (first on ties);
     entities whose scrapes all failed keep one status row.
@@ -66,8 +67,9 @@ def link_best_match(cands: DataFrame, entity: str = "University", pos: str = "ca
     w_ent = Window.partitionBy(entity)
     has_exact = F.max(F.when(ok, F.col("Name_Match")).otherwise(F.lit(False))).over(w_ent)
     c = c.withColumn("_exact", has_exact)
+    ratio = similarity_ratio_arrow if fast else similarity_ratio
     sim = F.when(F.col(scraped_name).isNull(), F.lit(0)).otherwise(
-        similarity_ratio(norm_text(F.col(name)), norm_text(F.col(scraped_name))))
+        ratio(norm_text(F.col(name)), norm_text(F.col(scraped_name))))
     c = c.withColumn("Name_Similarity", F.when(ok & ~F.col("_exact"), sim))
     tier = (F.when(~ok, F.lit(9)).when(F.col("Overall_Match"), F.lit(1)).when(F.col("Name_Match"), F.lit(2))
             .otherwise(F.lit(3)))
@@ -96,3 +98,42 @@ def link_accept(results: DataFrame, order: str = "row_id") -> DataFrame:
     g = t.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]),
                                       F.struct(F.col("tier"), F.col(order))).alias("_r"))
     return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def _lcs_bits(a: str, b: str) -> int:
+    """LCS length by the bit-parallel recurrence (Allison-Dix / Hyyrö):
+    one machine-word operation per character of ``b`` (Python ints scale)."""
+    if not a or not b:
+        return 0
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    v = full
+    for ch in b:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - bin(v).count("1")
+
+
+def _ratio_series(a, b):
+    import pandas as pd
+
+    out = []
+    for x, y in zip(a, b):
+        if x is None or y is None or not x or not y:
+            out.append(0)
+            continue
+        r = 100.0 * ((2.0 * _lcs_bits(x, y)) / float(len(x) + len(y)))
+        out.append(int(round(r)))  # half-even, as bround
+    return pd.Series(out, dtype="int32")
+
+
+def similarity_ratio_arrow(a, b) -> Column:
+    """X9 fast path: the same ratio as ``similarity_ratio`` through an
+    Arrow-batched pandas UDF with a bit-parallel LCS (for long strings, where
+    the interpreted higher-order-function loop is slow)."""
+    from pyspark.sql.functions import pandas_udf
+
+    udf = pandas_udf(_ratio_series, returnType="int")
+    return udf(_c(a), _c(b))
