@@ -61,6 +61,24 @@ def compare(spark_rows, spark_cols, oracle_rows, oracle_cols, digits=6):
     return problems
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT",
+                  "tinyint": "TINYINT", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_problems(df, res) -> list[str]:
+    """Column types that would differ between the two results."""
+    duck = {d[0]: str(d[1]).upper() for d in res.description}
+    out = []
+    for f in df.schema.fields:
+        st = f.dataType.simpleString()
+        want = _SPARK_TO_DUCK.get(st, st.upper())
+        got = duck.get(f.name)
+        if got is not None and got != want:
+            out.append(f"{f.name}: spark {st} vs oracle {got}")
+    return out
+
+
 def check_query(spark, q, sf_dir: str, con=None):
     con = con or duckdb_conn(sf_dir)
     df = q.run(spark, sf_dir)
@@ -70,6 +88,9 @@ def check_query(spark, q, sf_dir: str, con=None):
         return {"name": q.name, "rows": len(rows), "oracle": None, "problems": []}
     res = con.execute(q.sql)
     ocols = [d[0] for d in res.description]
+    types = type_problems(df, res)
     orows = res.fetchall()
     probs = compare(rows, cols, orows, ocols)
+    if types:
+        probs.append("types differ: " + "; ".join(types))
     return {"name": q.name, "rows": len(rows), "oracle_rows": len(orows), "problems": probs}

@@ -135,7 +135,8 @@ WITH a AS (SELECT o_custkey AS k FROM orders WHERE year(o_orderdate) = 1995),
      d AS (SELECT count_if(b.k IS NULL) AS only_in_a, count_if(a.k IS NULL) AS only_in_b
            FROM (SELECT DISTINCT k FROM a) a FULL JOIN (SELECT DISTINCT k FROM b) b ON a.k = b.k)
 SELECT (SELECT count(*) FROM a) AS a_count, (SELECT count(*) FROM b) AS b_count,
-       d.only_in_a, d.only_in_b, (d.only_in_a = 0 AND d.only_in_b = 0) AS in_sync FROM d""", ops="U3")
+       CAST(d.only_in_a AS BIGINT) AS only_in_a, CAST(d.only_in_b AS BIGINT) AS only_in_b,
+       (d.only_in_a = 0 AND d.only_in_b = 0) AS in_sync FROM d""", ops="U3")
 def dataset_diff(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     a = o.where(F.year("o_orderdate") == 1995)

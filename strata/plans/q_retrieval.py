@@ -93,8 +93,8 @@ def vector_topk_filtered(spark, sf_dir):
 WITH coll AS (SELECT * FROM embeddings WHERE label < 5
               UNION ALL
               SELECT * FROM embeddings n WHERE label >= 3 AND vec_id NOT IN (SELECT vec_id FROM embeddings WHERE label < 5))
-SELECT count(*) AS n_documents, count(DISTINCT vec_id) AS n_ids, min(len(embedding)) AS min_dim,
-       max(len(embedding)) AS max_dim FROM coll""", ops="V5")
+SELECT count(*) AS n_documents, count(DISTINCT vec_id) AS n_ids, CAST(min(len(embedding)) AS INTEGER) AS min_dim,
+       CAST(max(len(embedding)) AS INTEGER) AS max_dim FROM coll""", ops="V5")
 def collection_stats(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     coll = R.append_documents(e.where(F.col("label") < 5), e.where(F.col("label") >= 3), "vec_id")
