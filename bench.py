@@ -1,7 +1,7 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is forced with the ``noop`` sink (full execution, no collect):
-one warm-up run, then the median of ``$BENCH_REPS`` timed runs.  Prints one
+one warm-up run, then the median of ``$BENCH_REPS`` (default 1) timed runs.  Prints one
 JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 """
 
@@ -21,7 +21,7 @@ HEADLINE = ("features_illuminate", "longitudinal_wide", "vector_batch_topk")
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "1"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from strata.plans.catalog import load_all
