@@ -141,3 +141,18 @@ def link_accept(spark, sf_dir):
     best = LK.link_best_match(candidates(spark, sf_dir), entity="entity_id")
     acc = LK.link_accept(best.withColumn("row_id", F.col("entity_id")))
     return acc.select("Scraped_Name", "Scraped_Location", "URL", "entity_id", "University", "tier")
+
+
+@register("link_totals", sql=f"""
+WITH {_cands_sql()}
+SELECT CAST(count(DISTINCT (University, Town)) AS BIGINT) AS entity_groups,
+       CAST(count(*) AS BIGINT) AS total_urls,
+       CAST(count_if(Scrape_Success) AS BIGINT) AS scraped_urls,
+       CAST(count(DISTINCT URL) AS BIGINT) AS distinct_urls
+FROM c0""", ops="A19")
+def link_totals(spark, sf_dir):
+    c = candidates(spark, sf_dir)
+    return c.agg(F.count_distinct(F.struct("University", "Town")).alias("entity_groups"),
+                 F.count(F.lit(1)).alias("total_urls"),
+                 F.count_if(F.col("Scrape_Success")).alias("scraped_urls"),
+                 F.count_distinct("URL").alias("distinct_urls"))
