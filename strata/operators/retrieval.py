@@ -1,9 +1,9 @@
 """Vector retrieval and its evaluation (V1-V9).
 
-Scores are exact brute force.  The query side is broadcast behind a size
-check; ``row_number() <= k`` per query lets Spark insert a partial
-``WindowGroupLimit`` before the shuffle, so each partition ships at most k
-rows per query and no (query, document) pair is ever shuffled.
+Scores are exact brute force.  The query set is size-checked and embedded
+as constants (no join); ``row_number() <= k`` per query lets Spark insert a
+partial ``WindowGroupLimit`` before the shuffle, so each partition ships at
+most k rows per query and no (query, document) pair is ever shuffled.
 """
 
 from __future__ import annotations
@@ -92,9 +92,14 @@ def batch_topk(docs: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l
                doc_vec: str = "vec", query_id: str = "query_id", query_vec: str = "qvec",
                where: Column | None = None, max_query_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Top-k documents per query: (query_id, rank (1-based), doc_id, score).
-    Ties go to the smaller document id.  The query table must be small: it is
-    broadcast after its actual size is checked (a count of the query rows),
-    and a larger one is refused rather than joined pair-wise."""
+    Ties go to the smaller document id.
+
+    The query set must be small: its real size is checked (a count), then its
+    vectors are embedded in the projection as a constant array, so every
+    document row scores itself against each query without any join; the
+    ``row_number() <= k`` filter is planned as a partial ``WindowGroupLimit``
+    before the shuffle (at most k rows per query per partition move).
+    """
     q_bytes = estimated_bytes(queries)
     if q_bytes > max_query_bytes:
         # the estimate of a derived table is an upper bound; check the real size
@@ -102,17 +107,20 @@ def batch_topk(docs: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l
                                                                    F.max("_d").alias("d")).first()
         q_bytes = int(sample["n"] or 0) * (int(sample["d"] or 0) * 8 + 64)
     if q_bytes > max_query_bytes:
-        raise ValueError("query side too large to broadcast; split the queries into batches")
+        raise ValueError("query set too large; split the queries into batches")
+    qs = queries.select(F.col(query_id).alias("q"), F.col(query_vec).alias("v")).collect()  # bounded above
+    if not qs:
+        raise ValueError("no queries")
+    consts = F.array(*[F.struct(F.lit(r["q"]).alias("_q"),
+                                F.array(*[F.lit(float(x)) for x in r["v"]]).alias("_qv")) for r in qs])
     d = docs if where is None else docs.where(where)
-    d = d.select(F.col(doc_id).alias("_doc"), unit(doc_vec).alias("_dv"), *[c for c in d.columns
-                                                                            if c not in (doc_id, doc_vec)])
-    q = F.broadcast(queries.select(F.col(query_id).alias("_q"), unit(query_vec).alias("_qv")))
-    s = d.join(q, how="cross").withColumn("score", score("_dv", "_qv", metric))
+    extra = [c for c in d.columns if c not in (doc_id, doc_vec)]
+    d = d.select(F.col(doc_id).alias("_doc"), unit(doc_vec).alias("_dv"), *extra)
+    s = d.select("*", F.inline(consts)).withColumn("score", score("_dv", unit("_qv"), metric))
     order = F.col("score").desc() if metric == "ip" else F.col("score").asc()
     w = Window.partitionBy("_q").orderBy(order, F.col("_doc").asc())
     ranked = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    keep = [c for c in ranked.columns if c not in ("_doc", "_dv", "_q", "_qv", "rank", "score")]
-    return ranked.select(F.col("_q").alias(query_id), "rank", F.col("_doc").alias(doc_id), "score", *keep)
+    return ranked.select(F.col("_q").alias(query_id), "rank", F.col("_doc").alias(doc_id), "score", *extra)
 
 
 def vector_topk(docs: DataFrame, query_vec: Sequence[float], k: int = 5, where: Column | None = None,
