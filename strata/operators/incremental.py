@@ -28,15 +28,16 @@ def upsert_latest(existing: DataFrame, new: DataFrame, key: str | Sequence[str],
 
 
 def dataset_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """One row: counts of each side, keys only in a / only in b, in-sync."""
-    ka = a.select(F.col(key).alias("_k")).distinct().withColumn("_a", F.lit(True))
-    kb = b.select(F.col(key).alias("_k")).distinct().withColumn("_b", F.lit(True))
-    j = ka.join(kb, on="_k", how="full")
-    counts = j.agg(F.count_if(F.col("_a").isNotNull() & F.col("_b").isNull()).alias("only_in_a"),
-                   F.count_if(F.col("_b").isNotNull() & F.col("_a").isNull()).alias("only_in_b"))
-    ca = a.agg(F.count(F.lit(1)).alias("a_count"))
-    cb = b.agg(F.count(F.lit(1)).alias("b_count"))
-    out = ca.crossJoin(cb).crossJoin(counts)  # three one-row frames
+    """One row: rows of each side, keys only in a / only in b, in-sync.
+
+    Both sides are tagged and unioned, reduced per key (partial aggregation
+    before the shuffle), then summed: one pass, no join."""
+    t = (a.select(F.col(key).alias("_k"), F.lit(1).alias("_a"), F.lit(0).alias("_b"))
+         .unionByName(b.select(F.col(key).alias("_k"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
+    per = t.groupBy("_k").agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    out = per.agg(F.sum("_na").cast("bigint").alias("a_count"), F.sum("_nb").cast("bigint").alias("b_count"),
+                  F.count_if(F.col("_k").isNotNull() & (F.col("_na") > 0) & (F.col("_nb") == 0)).alias("only_in_a"),
+                  F.count_if(F.col("_k").isNotNull() & (F.col("_nb") > 0) & (F.col("_na") == 0)).alias("only_in_b"))
     return out.withColumn("in_sync", (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0))
 
 

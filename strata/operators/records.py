@@ -454,7 +454,9 @@ def json_key_coverage(df: DataFrame, id_col: str, json_col: str, max_depth: int
     w = Window.partitionBy("path").orderBy("val")
     top = dv.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= samples)
     smp = top.groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("val")), " | ").alias("samples"))
-    out = counts.join(smp, on="path", how="left").crossJoin(total)
+    one = F.lit(1).alias("_one")
+    out = (counts.join(smp, on="path", how="left").select("*", one)
+           .join(F.broadcast(total.select("*", one)), on="_one", how="inner").drop("_one"))  # one row
     return out.select("path", "records", (F.lit(100.0) * F.col("records") / F.col("_total")).alias("percent"),
                       F.coalesce("samples", F.lit("")).alias("samples"))
 

@@ -175,9 +175,8 @@ def attach_scores(detail: DataFrame, scores: DataFrame, query_id: str, score_col
 def retrieval_metrics(detail: DataFrame, query_id: str, doc_id: str, group_col: str,
                       score_col: str = "score", relevance_col: str | None = None) -> DataFrame:
     """V6: totals, success rate, score statistics, per-question counts,
-    diversity and filter usage in one aggregate (+ one per-question level)."""
+    diversity and filter usage in one aggregate."""
     ok = F.col(doc_id).cast("string") != "ERROR"
-    per_q = detail.where(ok).groupBy(query_id).agg(F.count(F.lit(1)).alias("_n"))
     aggs = [F.count(F.lit(1)).alias("total_retrievals"), F.count_if(ok).alias("successful_retrievals"),
             F.count_if(~ok).alias("failed_retrievals"),
             (F.count_if(ok) / F.count(F.lit(1))).alias("success_rate"),
@@ -190,9 +189,10 @@ def retrieval_metrics(detail: DataFrame, query_id: str, doc_id: str, group_col:
             F.count_if(ok & ~F.col("metadata_filter").isin("No filter", "ERROR")).alias("with_filters")]
     if relevance_col:
         aggs.append(F.avg(F.when(ok, F.col(relevance_col))).alias("relevance_mean"))
-    m = detail.agg(*aggs)
-    q = per_q.agg(F.count(F.lit(1)).alias("total_questions"), F.avg("_n").alias("avg_docs_per_question"))
-    return m.crossJoin(q)  # two one-row frames
+    # questions with results, and their mean number of documents, from the same pass
+    n_q = F.count_distinct(F.when(ok, F.col(query_id)))
+    aggs += [n_q.alias("total_questions"), F.try_divide(F.count_if(ok), n_q).cast("double").alias("avg_docs_per_question")]
+    return detail.agg(*aggs)
 
 
 def contexts_per_question(detail: DataFrame, query_id: str, doc_id: str, text_col: str = "content_preview") -> DataFrame:
