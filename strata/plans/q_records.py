@@ -109,7 +109,6 @@ def record_metadata(spark, sf_dir):
     return finish(RC.extract_metadata(_cleaned(spark, sf_dir)))
 
 
-@register("record_markdown", sql=None, ops="D12, D12a-g, X11, X21, X22, N12 (rows-only; fixture tests)")
 def record_markdown(spark, sf_dir):
     docs = RC.render_documents(_cleaned(spark, sf_dir), "ordinal")
     return docs.select("document_id", "university_name", "filename", "slug", "json_index",
@@ -244,3 +243,154 @@ FROM cov ORDER BY records DESC, path LIMIT 5""", ops="Q4, O3, X23 (top-k report:
 def coverage_report(spark, sf_dir):
     cov = RC.json_key_coverage(_cov_json_spark(spark, sf_dir), "id", "doc")
     return finish(RC.coverage_report(cov, top=5))
+
+
+# ----------------------------- Markdown oracle ----------------------------- #
+def _disp(x: str) -> str:
+    s = f"CAST({x} AS VARCHAR)"
+    return (f"(CASE WHEN {s} IS NULL OR trim({s}) = '' THEN 'Not Reported' "
+            f"WHEN lower({s}) IN ('true', 'yes', 'y') THEN 'Yes' WHEN lower({s}) IN ('false', 'no', 'n') THEN 'No' "
+            f"ELSE regexp_replace({s}, '^\\s+|\\s+$', '', 'g') END)")
+
+
+def _yn(b: str) -> str:
+    return f"(CASE WHEN {b} IS NULL THEN 'Not Reported' WHEN {b} THEN 'Yes' ELSE 'No' END)"
+
+
+def _pre(x: str, prefix: str = "", suffix: str = "") -> str:
+    d = _disp(x)
+    return f"(CASE WHEN {d} = 'Not Reported' THEN {d} ELSE '{prefix}' || {d} || '{suffix}' END)"
+
+
+def _lines_sql(*parts: str) -> str:
+    return "concat_ws(chr(10), " + ", ".join(parts) + ")"
+
+
+def _markdown_sql() -> str:
+    k = "c_custkey"
+    nl = "chr(10)"
+    sp = _sql_list(RB.SPORT_NAMES)
+    applied = "(n_orders * 100)"
+    rate = f"({k} % 90 + 5)"
+    accepted = f"CAST(floor({applied} * {rate} / 100) AS BIGINT)"
+    f_app = f"CAST(floor({applied} * ({k} % 60 + 20) / 100) AS BIGINT)"
+    tot = f"({k} % 500 + 20)"
+    full = f"CAST(floor({tot} * 2 / 3) AS BIGINT)"
+    male = f"CAST(floor({tot} / 2) AS BIGINT)"
+    person = (f"CASE WHEN {k} % 4 = 0 THEN '- **Contact Person:** Dean ' || CAST({k} AS VARCHAR) || ' (Director)' "
+              f"WHEN {k} % 2 = 0 THEN '- **Contact Person:** Dean ' || CAST({k} AS VARCHAR) "
+              f"ELSE '- **Contact Person:** Not Reported' END")
+    phone = f"CASE WHEN {k} % 3 <> 0 THEN '555-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') END"
+    zipc = f"lpad(CAST({k} % 100000 AS VARCHAR), 5, '0')"
+    general = _lines_sql("'## General Information'", "''",
+                         f"'- **Location:** ' || {_disp('n_name')} || ', ' || {_disp('st')} || ', United States'",
+                         f"'- **Address:** ' || CAST({k} AS VARCHAR) || ' College Ave, ' || {_disp('n_name')} || ', ' "
+                         f"|| {_disp('st')} || ' ' || {zipc}",
+                         f"'- **Phone:** ' || {_disp(phone)}", "'- **Fax:** Not Reported'",
+                         f"'- **Email:** admissions' || CAST({k} AS VARCHAR) || '@example.edu'", person, "''")
+    prog = lambda name, a, b: f"'- ' || {name} || ' (Bachelors: ' || {_yn(b)} || ', Associates: ' || {_yn(a)} || ')'"
+    progs = (prog(f"'Program ' || CAST({k} % 7 AS VARCHAR)", f"({k} % 2 = 0)", "true") + f" || {nl} || "
+             + prog(f"'Program ' || CAST({k} % 7 + 1 AS VARCHAR)", "false", f"({k} % 3 = 0)"))
+    majors = (f"CASE WHEN {k} % 5 = 0 THEN 'No major and degree information reported.' || {nl} "
+              f"ELSE '#### ' || {_disp('c_mktsegment')} || {nl} || {nl} || {progs} || {nl} END")
+    ratio = (f"CASE WHEN {k} % 7 = 0 THEN '0:1' WHEN {k} % 7 = 1 THEN 'x:1' WHEN {k} % 7 = 2 THEN NULL "
+             f"ELSE CAST({k} % 20 + 5 AS VARCHAR) || ':1' END")
+    academics = _lines_sql("'## Academics'", "''", "'### Majors and Degrees'", "''", majors, "'### Faculty'", "''",
+                           f"'- **Total Faculty:** ' || CAST({tot} AS VARCHAR)",
+                           f"'- **Student-Faculty Ratio:** ' || {_disp(ratio)}",
+                           f"'- **Full-time Faculty:** ' || CAST({full} AS VARCHAR)",
+                           f"'- **Part-time Faculty:** ' || CAST({tot} - {full} AS VARCHAR)",
+                           f"'- **Male Faculty:** ' || CAST({male} AS VARCHAR)",
+                           f"'- **Female Faculty:** ' || CAST({tot} - {male} AS VARCHAR)", "''")
+    has_g = f"({applied} IS NOT NULL)"
+    req = (f"CASE {k} % 4 WHEN 0 THEN '#### Required' || {nl} || {nl} || '- Essay' || {nl} || '- Transcript' || {nl} "
+           f"|| {nl} || '#### Recommended' || {nl} || {nl} || '- Interview' || {nl} "
+           f"WHEN 1 THEN '#### Required' || {nl} || {nl} || '- Essay' || {nl} "
+           f"ELSE 'No specific requirements reported.' || {nl} END")
+    closing = f"CASE WHEN {k} % 4 <> 0 THEN '01-' || lpad(CAST({k} % 28 + 1 AS VARCHAR), 2, '0') END"
+    dl = (f"'- **Fall freshmen:** Closing Date: ' || {_disp(closing)} || ', Notification: 04-01, Rolling Admissions: ' "
+          f"|| {_yn(f'({k} % 2 = 1)')} || {nl} || '- **Early decision:** Closing Date: ' || "
+          f"{_disp(f'CASE WHEN {k} % 3 <> 0 THEN {chr(39)}11-15{chr(39)} END')} "
+          f"|| ', Notification: Not Reported, Rolling Admissions: No'")
+    d = lambda e: _disp(f"CAST({e} AS DOUBLE)")
+    tests = (f"CASE WHEN {k} % 5 = 0 THEN '- No specific test score data reported.' ELSE "
+             f"'- **SAT Critical Reading:** Average: ' || {d(f'400 + {k} % 300')} || ', 25th Percentile: ' || "
+             f"{d(f'350 + {k} % 300')} || ', 75th Percentile: ' || "
+             f"{_disp(f'CASE WHEN {k} % 6 <> 0 THEN CAST(450 + {k} % 300 AS DOUBLE) END')} || {nl} || "
+             f"'- **SAT Math:** Average: ' || {d(f'420 + {k} % 280')} || ', 25th Percentile: ' || {d(f'370 + {k} % 280')} "
+             f"|| ', 75th Percentile: ' || {d(f'470 + {k} % 280')} || {nl} || "
+             f"'- **ACT Composite:** Average: ' || {d(f'15 + {k} % 20')} || ', 25th Percentile: ' || {d(f'12 + {k} % 20')} "
+             f"|| ', 75th Percentile: ' || {d(f'18 + {k} % 20')} END")
+    admissions = _lines_sql(
+        "'## Admissions'", "''", "'### Overview'", "''",
+        f"'- **Acceptance Rate:** ' || {_pre(f'CAST({rate} AS DOUBLE)', suffix='%')}",
+        f"'- **Applied:** ' || {_disp(applied)}", f"'- **Accepted:** ' || {_disp(accepted)}",
+        f"'- **Enrolled:** ' || {_disp(f'CAST(floor({accepted} / 3) AS BIGINT)')}",
+        f"'- **Female Applied:** ' || {_disp(f'CASE WHEN {has_g} THEN {f_app} END')}",
+        "'- **Female Accepted:** Not Reported'",
+        f"'- **Female Acceptance Rate:** ' || {_pre(f'CASE WHEN {has_g} THEN CAST({k} % 50 + 10 AS DOUBLE) END', suffix='%')}",
+        f"'- **Male Applied:** ' || {_disp(f'CASE WHEN {has_g} THEN {applied} - {f_app} END')}",
+        "'- **Male Accepted:** Not Reported'", "'- **Male Acceptance Rate:** Not Reported'",
+        "''", "'### Application Details'", "''",
+        f"'- **Application Fee:** ' || {_pre(f'CAST(({k} % 10) * 10 AS DOUBLE)', prefix='$')}",
+        f"'- **Average High School GPA:** ' || {_disp(f'2.5 + ({k} % 15) / 10.0')}",
+        "''", "'### Requirements'", "''", req, "'### Application Deadlines'", "''", dl, "''",
+        "'### Test Scores Accepted'", "''", tests, "''")
+    cat1 = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'Private' ELSE 'In-state' END"
+    tu = (f"'- **Tuition (' || {cat1} || '):** ' || {_pre('CASE WHEN c_acctbal > 0 THEN c_acctbal * 3.0 END', prefix='$')}"
+          f" || {nl} || '- **Tuition (Out-of-state):** ' || {_pre(f'CAST(20000 + {k} % 10000 AS DOUBLE)', prefix='$')}")
+    fe = (f"'- **Fees (Room & board):** ' || {_pre(f'CAST(8000 + {k} % 3000 AS DOUBLE)', prefix='$')} || {nl} || "
+          f"'- **Fees (Full-time student fees):** ' || "
+          f"{_pre(f'CASE WHEN {k} % 2 <> 0 THEN CAST(500 + {k} % 500 AS DOUBLE) END', prefix='$')}")
+    aid = [("Average Financial Aid Package", f"CAST(10000 + {k} % 5000 AS DOUBLE)"),
+           ("Average Freshman Financial Aid Package", f"CASE WHEN {k} % 3 <> 0 THEN CAST(9000 + {k} % 4000 AS DOUBLE) END"),
+           ("Average International Financial Aid Package", "CAST(NULL AS DOUBLE)"),
+           ("Average Loan Aid", f"CAST(5000 + {k} % 2000 AS DOUBLE)"),
+           ("Average Grant Aid", f"CAST(6000 + {k} % 3000 AS DOUBLE)"),
+           ("Average Scholarship and Grant Aid Awarded", f"CAST(7000 + {k} % 3500 AS DOUBLE)")]
+    cov = [("Students with Need Receiving Aid", f"CAST({k} % 100 AS DOUBLE)"),
+           ("Average Percentage of Need Met", f"CAST(50 + {k} % 50 AS DOUBLE)"),
+           ("Students with Need Fully Met", f"CASE WHEN {k} % 4 <> 0 THEN CAST({k} % 30 AS DOUBLE) END")]
+    tuition = _lines_sql("'## Tuition and Financial Aid'", "''", "'### Tuition & Fees'", "''", tu, fe, "''",
+                         "'### Financial Aid Overview'", "''",
+                         *[f"'- **{lab}:** ' || {_pre(e, prefix='$')}" for lab, e in aid],
+                         *[f"'- **{lab}:** ' || {_pre(e, suffix='%')}" for lab, e in cov], "''")
+    sec = "CASE WHEN c_custkey % 2 = 0 THEN '[\"24-hour patrols\", \"Late-night transport\"]' ELSE '{\"patrols\": true}' END"
+    campus = _lines_sql("'## Campus Life'", "''", "'### Housing'", "''",
+                        f"'- **College-owned Housing:** ' || {_yn(f'({k} % 3 <> 0)')}",
+                        f"'- **Housing Required (First Year):** ' || {_yn(f'({k} % 2 = 0)')}",
+                        f"'- **Housing Options:** ' || CASE WHEN {k} % 4 <> 0 THEN 'Co-ed dorms, Apartments' "
+                        f"ELSE 'Not Reported' END",
+                        f"'- **Undergraduates in College Housing:** ' || "
+                        f"{_pre(f'CASE WHEN {k} % 7 <> 0 THEN CAST({k} % 100 AS DOUBLE) END', suffix='%')}",
+                        "''", "'### Campus Security and Safety'", "''", f"'- ' || {_disp(sec)}", "''")
+    div = f"'Division ' || CAST({k} % 3 + 1 AS VARCHAR)"
+    sport = lambda name, sch, intra: (f"'- **' || {name} || ':** Intercollegiate: ' || {div} || ', Scholarship: ' || "
+                                      f"{_yn(sch)} || ', Intramural: ' || {_yn(intra)}")
+    men = sport(f"{sp}[{k} % 12 + 1]", f"({k} % 2 = 0)", f"({k} % 3 = 0)") + f" || {nl} || " + \
+        sport(f"{sp}[({k} * 7) % 12 + 1]", "false", "true")
+    women = (f"CASE WHEN {k} % 6 <> 0 THEN " + sport(f"{sp}[({k} * 5) % 12 + 1]", "false", "false")
+             + " ELSE '- No women''s sports data reported.' END")
+    athletics = _lines_sql("'## Athletics'", "''", "'### Men''s Sports'", "''", men, "''",
+                           "'### Women''s Sports'", "''", women, "''")
+    n_sports = f"CAST(2 + CASE WHEN {k} % 6 <> 0 THEN 1 ELSE 0 END AS VARCHAR)"
+    mark = lambda cond, lab: f"CASE WHEN {cond} THEN '- ✅ {lab}' ELSE '- ❌ {lab}' END"
+    complete = _lines_sql("'## Data Completeness'", "''", mark("n_name IS NOT NULL", "Location"),
+                          mark(f"{k} % 5 <> 0", "Majors and Degrees"), mark(f"{applied} IS NOT NULL", "Admissions"),
+                          mark("true", "Tuition"), mark("true", "Financial Aid"), mark("true", "Campus Life"),
+                          mark("true", "Athletics"), f"'- Sports listed: ' || {n_sports}", "''")
+    doc_id = _doc_id_sql()
+    md = _lines_sql("'# ' || c_name", "''", f"'**Document ID:** `' || {doc_id} || '`'", "''",
+                    general, academics, admissions, tuition, campus, athletics, complete)
+    return f"""
+SELECT document_id, university_name, filename, slug, json_index, CAST(length(markdown) AS INTEGER) AS chars, markdown
+FROM (SELECT {doc_id} AS document_id, c_name AS university_name,
+             {sql_slug('c_name')} || '_' || {doc_id} || '.md' AS filename, {sql_slug('c_name')} AS slug,
+             c_custkey AS json_index, {md} AS markdown
+      FROM (SELECT *, {STATE_SQL} AS st FROM {CUST} x) y) z"""
+
+
+MARKDOWN_SQL = _markdown_sql()
+
+
+register("record_markdown", sql=MARKDOWN_SQL, ops="D12, D12a-g, X11, X21, X22, N12")(record_markdown)
