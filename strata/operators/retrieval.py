@@ -8,6 +8,7 @@ most k rows per query and no (query, document) pair is ever shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,12 +112,21 @@ def batch_topk(docs: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l
     qs = queries.select(F.col(query_id).alias("q"), F.col(query_vec).alias("v")).collect()  # bounded above
     if not qs:
         raise ValueError("no queries")
+
+    def unit_py(v):
+        # same IEEE operations as ``unit``: sequential sum of squares, sqrt, divide
+        acc = 0.0
+        for x in v:
+            acc = acc + float(x) * float(x)
+        norm = math.sqrt(acc)
+        return [float(x) / norm for x in v]
+
     consts = F.array(*[F.struct(F.lit(r["q"]).alias("_q"),
-                                F.array(*[F.lit(float(x)) for x in r["v"]]).alias("_qv")) for r in qs])
+                                F.array(*[F.lit(x) for x in unit_py(r["v"])]).alias("_qv")) for r in qs])
     d = docs if where is None else docs.where(where)
     extra = [c for c in d.columns if c not in (doc_id, doc_vec)]
     d = d.select(F.col(doc_id).alias("_doc"), unit(doc_vec).alias("_dv"), *extra)
-    s = d.select("*", F.inline(consts)).withColumn("score", score("_dv", unit("_qv"), metric))
+    s = d.select("*", F.inline(consts)).withColumn("score", score("_dv", "_qv", metric))
     order = F.col("score").desc() if metric == "ip" else F.col("score").asc()
     w = Window.partitionBy("_q").orderBy(order, F.col("_doc").asc())
     ranked = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
