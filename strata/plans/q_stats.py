@@ -129,7 +129,8 @@ FROM math JOIN verbal USING (segment)"""
 
 @register("qq_r2", sql=_qq_sql(), ops="W10, X24, X26, Q7")
 def qq_r2(spark, sf_dir):
-    out = stats.qq_r2(_errors(spark, sf_dir), ["segment"], TARGETS, TIE)
+    # segments are labels of three boolean flags: at most eight groups
+    out = stats.qq_r2(_errors(spark, sf_dir), ["segment"], TARGETS, TIE, bounded_groups=True)
     return finish(out.select("segment", F.col("n_students").cast("bigint").alias("n_students"),
                              "math_qq_r2", "verbal_qq_r2", "math_qq_assessment", "verbal_qq_assessment"))
 
@@ -232,7 +233,7 @@ def threshold_table(spark, sf_dir):
     e = _errors(spark, sf_dir)
     info = _seg_info(spark, sf_dir).select(F.col("segment_label").alias("segment"), "combined_rmse",
                                           "uncertainty_level")
-    out = stats.threshold_table(e, "segment", FLAGS, TARGETS, TIE, info)
+    out = stats.threshold_table(e, "segment", FLAGS, TARGETS, TIE, info, bounded_groups=True)
     return finish(out.withColumn("n_students", F.col("n_students").cast("bigint")))
 
 
