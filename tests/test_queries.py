@@ -75,3 +75,12 @@ def test_registry_validation():
         feature(1, float)
     with pytest.raises(TypeError):
         feature("x", "not-a-type")
+
+
+def test_bounded_groups_broadcast_block_table(spark):
+    df = REG["qq_r2"].run(spark, SF_SMOKE)
+    df.collect()
+    plan = _plan(df)
+    # the (partition, segment) block-offset join is broadcast: the ranked rows are not re-shuffled
+    assert "BroadcastHashJoin [_pid" in plan
+    assert "SortMergeJoin [_pid" not in plan
