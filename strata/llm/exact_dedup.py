@@ -9,8 +9,8 @@ longest text.
 
 Scale: a round's group sizes are a hash aggregate with map-side combine, so a
 group of a third of all rows reaches the reducers as one row per task.  Only
-groups of two or more are written and joined back; both join sides are plain
-exchanges, which AQE splits where a group is hot.  Rows that are done give up
+groups of two or more are written and joined back, always by a merge join: both
+of its sides are plain exchanges, which AQE splits where a group is hot.  Rows that are done give up
 their bytes, so later rounds move only texts that still share a prefix.
 """
 
@@ -56,7 +56,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id",
                   .where("n > 1"))
         groups = stage.save(groups, f"groups{level}")
         ended = F.length("digit") < width
-        split = (rows.withColumn("digit", digit).join(groups, ["gid", "digit"], "left")
+        split = (rows.withColumn("digit", digit).join(groups.hint("merge"), ["gid", "digit"], "left")
                  .select("row", "rid", "n", "top", F.col("top.rid").alias("gid"),
                          F.when(F.col("n").isNotNull() & ~ended,
                                 F.expr(f"substring(rest, {width + 1})")).alias("rest")))
