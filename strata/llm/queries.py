@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, minhash, mixing, packing  # noqa: F401
+from . import exact_dedup, minhash, mixing, packing, quality  # noqa: F401
 from .common import QUERIES
 
 __all__ = ["QUERIES"]
