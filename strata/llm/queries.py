@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, minhash, mixing, packing, quality, warc  # noqa: F401
+from . import exact_dedup, minhash, mixing, packing, quality, topk, warc  # noqa: F401
 from .common import QUERIES
 
 __all__ = ["QUERIES"]
