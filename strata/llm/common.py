@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -68,6 +69,9 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
-        """Delete a staged table that nothing reads any more."""
+        """Delete a staged table that nothing reads any more, and let Spark's cleaner
+        delete the shuffle files of the finished steps (it acts when the driver's JVM collects)."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark._jvm.System.gc()
