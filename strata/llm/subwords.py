@@ -67,11 +67,15 @@ class WordBpe:
             return b"".join(map(self.piece, self.PIECES.findall(text.lower())))
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def packed(self, text: bytes) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
+    def lookup(self):
+        """A function from a word's bytes to its packed ids."""
         if len(self.words) >= CACHE_WORDS:
             self.words.clear()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return self.words.__getitem__
+
+    def packed(self, text: bytes) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit numbers."""
+        return b"".join(map(self.lookup(), text.split()))
 
 
 class _Words(dict):
