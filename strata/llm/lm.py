@@ -12,9 +12,8 @@
    texts: each part of the data takes its own steps, and the parts' weights
    are averaged (``ROUNDS`` times).  Both grow with the corpus.
 4. Every text is scored in overlapping windows, each id once.  The score takes
-   each word's probability as (1 - WORD_SHARE) times the attention model's,
-   multiplied over its subword ids, and WORD_SHARE times its share of the
-   training words.  ``attention_score`` is the attention model's alone.
+   each word's probability as a mixture of the attention model's, multiplied
+   over its subword ids, and the word's share of the training words.  ``attention_score`` is the attention model's alone.
 
 What is broadcast (code vectors, class shares, weights) is bounded by the
 tokenizer's vocabulary.
@@ -42,7 +41,7 @@ DOCS_PER_PART = 4096
 EVERY, ROUNDS = 24, 3
 RATES = (1e-2, 5e-3, 2e-3)
 LEAST_STEPS = 120  # a part's windows are gone over again until it has taken so many steps
-WORD_SHARE = 0.25
+WORD_WEIGHT = 8  # the words' share of a score is N / (N + WORD_WEIGHT * V): more where more words recur
 HOLD_MODULUS, HOLD_REST = 7, 2
 VOCABULARY, END = 49408, 49407  # of the tokenizer; its end-of-text id closes a text
 NO_IDS = -50.0  # natural log for a word that the tokenizer gives no ids
@@ -231,6 +230,7 @@ OUT = "id long, held_out boolean, n_tokens long, n_known long, base_score double
 def _score(shared, path: str, total: int, distinct: int, learnt: int):
     """Scores of the blocks' texts."""
     lowest = total + distinct + 1
+    share = total / max(total + WORD_WEIGHT * distinct, 1)
 
     def one(row: dict) -> pa.RecordBatch:
         word_at, words = np.frombuffer(row["a"], np.int64), np.frombuffer(row["b"], np.uint32).astype(np.int64)
@@ -247,7 +247,7 @@ def _score(shared, path: str, total: int, distinct: int, learnt: int):
         ends = np.cumsum(per_word)
         model = np.where(per_word > 0, run[ends] - run[ends - per_word], NO_IDS)
         plain = np.add.reduceat(np.log10((c + 1) / lowest), first)
-        mixed = np.log10(WORD_SHARE * c / max(total, 1) + (1 - WORD_SHARE) * np.exp(model) + 1e-300)
+        mixed = np.log10(share * c / max(total, 1) + (1 - share) * np.exp(model) + 1e-300)
         return pa.RecordBatch.from_arrays([
             pa.array(row["keys"], pa.int64()), pa.array(row["held"], pa.bool_()),
             pa.array(np.diff(word_at) + 1), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),

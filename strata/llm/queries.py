@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, lm, minhash, mixing, packing, quality, suffix_dedup, topk, warc  # noqa: F401
+from . import exact_dedup, line_dedup, lm, minhash, mixing, packing, quality, suffix_dedup, topk, warc  # noqa: F401
 from .common import QUERIES
 
 __all__ = ["QUERIES"]
