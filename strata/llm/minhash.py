@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     out = signed.select("id", "rid", "n", "set_key").join(
         classes.select("set_key", F.col("id").alias("node")).hint("merge"), "set_key", "left")
     out = out.join(comp.hint("merge"), "node", "left").select(
-        "id", "rid", "n", F.coalesce("component", "node", "id").alias("component_id"))
+        "id", "rid", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"))
     if carry:
         out = out.join(rows.drop("id", "body"), "rid")
     return out.select(F.col("id").alias(key), *[F.col(f"carry_{c}").alias(c) for c in carry],
