@@ -134,6 +134,8 @@ class Scorer:
         self.k, self.v = tables.code @ w["k"], tables.code @ w["v"]
         self.own = tables.code @ w["h"][:CODE] + w["hb"]
         self.mask = mask(w["age"])
+        # a class without ids takes no probability
+        self.bias = np.where(np.bincount(tables.kind, minlength=CLASSES) > 0, w["ob"], HIDE)
 
     def log_probs(self, ids: np.ndarray, sizes: np.ndarray, end: int, step: int = 512) -> np.ndarray:
         """Natural-log probability of each id; ``ids`` and ``sizes`` as for ``windows``."""
@@ -150,7 +152,7 @@ class Scorer:
             np.exp(a, out=a)
             mixed = (a @ self.v[x]) / a.sum(-1, keepdims=True)
             z = np.maximum(self.own[now] + mixed @ h2, 0).reshape(-1, HIDDEN) @ self.w["o"]
-            z += self.w["ob"]
+            z += self.bias
             z -= z.max(-1, keepdims=True)
             real = np.flatnonzero(y >= 0)
             z, y = z[real], y[real]
