@@ -11,47 +11,63 @@ GRADE_HS = ("HS", "HIGH SCHOOL")
 
 # --- Fixed values: withdrawal reason -> group (X2) ------------------------- #
 WITHDRAWAL_GROUPS = {
-    "Graduated/Completed": [
-        "Year End", "High School Graduation", "Advanced to another school in district",
-    ],
-    "Transfer": [
-        "SB10 Public Schools Transfer", "SB10 Private Schools Tranfer", "SB10 State Schools Transfer",
-        "School Choice Transfer", "USCO", "Transfer to Another Public GA School",
-        "Transferred Out of State", "Transferred Out of Country", "Transferred to Private School",
-        "Transferred to a Dept of Defense School", "Transferred Under the Jurisdiction of DJJ",
-        "Transferred to another school in district", "Department of Defense",
-    ],
-    "Legal/Disciplinary": [
-        "Court Order or Legal Requirement", "Expelled", "Incarcerated", "Removed for Lack of Attendance",
-    ],
-    "Personal/Family": [
-        "Marriage", "Pregnant/Parent", "Financial Hardship/Job-Related", "Low Grades/School Failure",
-        "Serious Illness/Accident", "Displaced Due to Natural Disaster",
-    ],
-    "Alternative Education": [
-        "Adult Education/Post Secondary", "Attend Home School", "Withdrew to TCSG Dual Achieve Program",
-        "No Longer Participating in Dexter Mosely", "Youth Challenge", "Summer Semester",
-    ],
-    "Other": [
-        "Unknown", "Military", "Death", "Under the Age of Compulsory School Attendance",
-    ],
+    "Year End": "Graduated/Completed",
+    "High School Graduation": "Graduated/Completed",
+    "Advanced to another school in district": "Graduated/Completed",
+    "SB10 Public Schools Transfer": "Transfer",
+    "SB10 Private Schools Tranfer": "Transfer",
+    "SB10 State Schools Transfer": "Transfer",
+    "School Choice Transfer": "Transfer",
+    "USCO": "Transfer",
+    "Transfer to Another Public GA School": "Transfer",
+    "Transferred Out of State": "Transfer",
+    "Transferred Out of Country": "Transfer",
+    "Transferred to Private School": "Transfer",
+    "Transferred to a Dept of Defense School": "Transfer",
+    "Transferred Under the Jurisdiction of DJJ": "Transfer",
+    "Transferred to another school in district": "Transfer",
+    "Department of Defense": "Transfer",
+    "Court Order or Legal Requirement": "Legal/Disciplinary",
+    "Expelled": "Legal/Disciplinary",
+    "Incarcerated": "Legal/Disciplinary",
+    "Removed for Lack of Attendance": "Legal/Disciplinary",
+    "Marriage": "Personal/Family",
+    "Pregnant/Parent": "Personal/Family",
+    "Financial Hardship/Job-Related": "Personal/Family",
+    "Low Grades/School Failure": "Personal/Family",
+    "Serious Illness/Accident": "Personal/Family",
+    "Displaced Due to Natural Disaster": "Personal/Family",
+    "Adult Education/Post Secondary": "Alternative Education",
+    "Attend Home School": "Alternative Education",
+    "Withdrew to TCSG Dual Achieve Program": "Alternative Education",
+    "No Longer Participating in Dexter Mosely": "Alternative Education",
+    "Youth Challenge": "Alternative Education",
+    "Summer Semester": "Alternative Education",
+    "Unknown": "Other",
+    "Military": "Other",
+    "Death": "Other",
+    "Under the Age of Compulsory School Attendance": "Other",
 }
 
 # --- Fixed values: enrolment reason -> group (X2) -------------------------- #
 ENROLLMENT_GROUPS = {
-    "New Enrollment": ["Never attended school before", "Admitted from home school"],
-    "Re-entry": [
-        "Re-entered after withdrawal, this school this year", "Re-entered - Other",
-        "Re-entered after illness", "Re-entered after incarceration",
-    ],
-    "Transfer": [
-        "Entered from a Department of Defense School", "Entered From Another State or U.S. Territory",
-        "Entered From Another Country", "Transferred from another state or country",
-        "Transferred from another GA district", "Transferred from private school",
-        "Transfered/promoted within the same school system",
-    ],
-    "School Choice": ["Admitted under SB10", "Admitted under School Choice", "Admitted under USCO"],
-    "Continuing": ["Continuing in same school"],
+    "Never attended school before": "New Enrollment",
+    "Admitted from home school": "New Enrollment",
+    "Re-entered after withdrawal, this school this year": "Re-entry",
+    "Re-entered - Other": "Re-entry",
+    "Re-entered after illness": "Re-entry",
+    "Re-entered after incarceration": "Re-entry",
+    "Entered from a Department of Defense School": "Transfer",
+    "Entered From Another State or U.S. Territory": "Transfer",
+    "Entered From Another Country": "Transfer",
+    "Transferred from another state or country": "Transfer",
+    "Transferred from another GA district": "Transfer",
+    "Transferred from private school": "Transfer",
+    "Transfered/promoted within the same school system": "Transfer",
+    "Admitted under SB10": "School Choice",
+    "Admitted under School Choice": "School Choice",
+    "Admitted under USCO": "School Choice",
+    "Continuing in same school": "Continuing",
 }
 
 # --- Fixed values: state code -> state name (X3) --------------------------- #
@@ -72,16 +88,57 @@ STATE_NAMES = {
 
 # --- Fixed values: state name -> census region (X4), default "Other" ------- #
 CENSUS_REGIONS = {
-    "Pacific": ["California", "Oregon", "Washington", "Alaska", "Hawaii"],
-    "Mountain": ["Arizona", "Colorado", "Idaho", "Montana", "Nevada", "New Mexico", "Utah", "Wyoming"],
-    "West North Central": ["Iowa", "Kansas", "Minnesota", "Missouri", "Nebraska", "North Dakota", "South Dakota"],
-    "West South Central": ["Arkansas", "Louisiana", "Oklahoma", "Texas"],
-    "East North Central": ["Illinois", "Indiana", "Michigan", "Ohio", "Wisconsin"],
-    "East South Central": ["Alabama", "Kentucky", "Mississippi", "Tennessee"],
-    "South Atlantic": ["Delaware", "Florida", "Georgia", "Maryland", "North Carolina", "South Carolina",
-                       "Virginia", "West Virginia", "Washington DC"],
-    "Mid-Atlantic": ["New Jersey", "New York", "Pennsylvania"],
-    "New England": ["Connecticut", "Maine", "Massachusetts", "New Hampshire", "Rhode Island", "Vermont"],
+    "California": "Pacific",
+    "Oregon": "Pacific",
+    "Washington": "Pacific",
+    "Alaska": "Pacific",
+    "Hawaii": "Pacific",
+    "Arizona": "Mountain",
+    "Colorado": "Mountain",
+    "Idaho": "Mountain",
+    "Montana": "Mountain",
+    "Nevada": "Mountain",
+    "New Mexico": "Mountain",
+    "Utah": "Mountain",
+    "Wyoming": "Mountain",
+    "Iowa": "West North Central",
+    "Kansas": "West North Central",
+    "Minnesota": "West North Central",
+    "Missouri": "West North Central",
+    "Nebraska": "West North Central",
+    "North Dakota": "West North Central",
+    "South Dakota": "West North Central",
+    "Arkansas": "West South Central",
+    "Louisiana": "West South Central",
+    "Oklahoma": "West South Central",
+    "Texas": "West South Central",
+    "Illinois": "East North Central",
+    "Indiana": "East North Central",
+    "Michigan": "East North Central",
+    "Ohio": "East North Central",
+    "Wisconsin": "East North Central",
+    "Alabama": "East South Central",
+    "Kentucky": "East South Central",
+    "Mississippi": "East South Central",
+    "Tennessee": "East South Central",
+    "Delaware": "South Atlantic",
+    "Florida": "South Atlantic",
+    "Georgia": "South Atlantic",
+    "Maryland": "South Atlantic",
+    "North Carolina": "South Atlantic",
+    "South Carolina": "South Atlantic",
+    "Virginia": "South Atlantic",
+    "West Virginia": "South Atlantic",
+    "Washington DC": "South Atlantic",
+    "New Jersey": "Mid-Atlantic",
+    "New York": "Mid-Atlantic",
+    "Pennsylvania": "Mid-Atlantic",
+    "Connecticut": "New England",
+    "Maine": "New England",
+    "Massachusetts": "New England",
+    "New Hampshire": "New England",
+    "Rhode Island": "New England",
+    "Vermont": "New England",
 }
 
 # --- Fixed values: sport key -> accepted names (N11) ----------------------- #

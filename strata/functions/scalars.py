@@ -219,16 +219,22 @@ def ratio_value(c) -> Column:
     return F.when(ok, F.split(c, ":").getItem(0).cast("double"))
 
 
+def strip(c) -> Column:
+    """Text without white space (tabs and line ends, too) at either end."""
+    return F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", "")
+
+
 def display(c, default: str = "Not Reported") -> Column:
     """Display text of a scalar: null / '' / blank -> default, yes/no
     words -> Yes/No, anything else as trimmed text (use ``display_bool`` and
     ``display_list`` for boolean and array columns)."""
     s = _c(c).cast("string")
     low = F.lower(s)
-    return (F.when(s.isNull() | (F.trim(s) == ""), F.lit(default))
+    text = strip(s)
+    return (F.when(s.isNull() | (text == ""), F.lit(default))
             .when(low.isin("true", "yes", "y"), F.lit("Yes"))
             .when(low.isin("false", "no", "n"), F.lit("No"))
-            .otherwise(F.regexp_replace(s, r"^\s+|\s+$", "")))
+            .otherwise(text))
 
 
 def display_bool(c, default: str = "Not Reported") -> Column:
@@ -268,7 +274,7 @@ def table_cell(c, width: int = 97) -> Column:
 def standard_grade(c) -> Column:
     """Grade-level standardisation."""
     raw = _c(c).cast("string")
-    t = F.trim(raw)
+    t = strip(raw)
     u = F.upper(t)
     # int(float(x)): parse as double, truncate toward zero, keep 1..12
     num_int = t.try_cast("double").try_cast("bigint")
@@ -282,9 +288,8 @@ def standard_grade(c) -> Column:
 
 def reason_group(c, kind: str) -> Column:
     """Reason description -> group; 'Unclassified' when unknown."""
-    table = {"withdrawal": K.WITHDRAWAL_GROUPS, "enrollment": K.ENROLLMENT_GROUPS}[kind]
-    flat = {code: grp for grp, codes in table.items() for code in codes}
-    return F.coalesce(F.try_element_at(lit_map(flat), _c(c)), F.lit("Unclassified"))
+    groups = {"withdrawal": K.WITHDRAWAL_GROUPS, "enrollment": K.ENROLLMENT_GROUPS}[kind]
+    return F.coalesce(F.try_element_at(lit_map(groups), _c(c)), F.lit("Unclassified"))
 
 
 def state_name(c) -> Column:
@@ -294,8 +299,7 @@ def state_name(c) -> Column:
 
 def region_of(state) -> Column:
     """State name (or code) -> census region, default 'Other'."""
-    flat = {s: r for r, states in K.CENSUS_REGIONS.items() for s in states}
-    return F.coalesce(F.try_element_at(lit_map(flat), _c(state)), F.lit("Other"))
+    return F.coalesce(F.try_element_at(lit_map(K.CENSUS_REGIONS), _c(state)), F.lit("Other"))
 
 
 def gifted(c) -> Column:

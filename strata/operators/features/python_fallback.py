@@ -13,28 +13,12 @@ import pandas as pd
 from .registry import feature
 
 
-@feature("grade_level_std", str, stage="post", kind="pandas", inputs=("GradeLevel",))
-def get_grade_level_std(grades: pd.Series) -> pd.Series:
-    """X1 as plain Python per value: the pandas twin of ``standard_grade``."""
-    def one(g):
-        if g is None or (isinstance(g, float) and np.isnan(g)):
-            return None
-        s = str(g).strip()
-        u = s.upper()
-        if u in ("KINDERGARTEN", "KK", "K"):
-            return "K"
-        if u in ("PK", "PRE-K", "PREK"):
-            return "PK"
-        if u in ("HS", "HIGH SCHOOL"):
-            return "HS"
-        try:
-            n = int(float(s))
-            if 1 <= n <= 12:
-                return str(n)
-        except (ValueError, TypeError, OverflowError):
-            pass
-        return s
-    return grades.map(one)
+@feature("grade_level_slug", str, stage="post", kind="pandas", inputs=("GradeLevel",))
+def grade_level_slug(grades: pd.Series) -> pd.Series:
+    """Grade level as an ASCII key: accents taken off (Unicode decomposition,
+    which no built-in function has), lower case, other runs as one hyphen."""
+    plain = grades.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+    return plain.str.lower().str.replace("[^a-z0-9]+", "-", regex=True).str.strip("-")
 
 
 def period_slope(pdf: pd.DataFrame) -> dict:

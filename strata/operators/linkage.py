@@ -54,8 +54,8 @@ def link_best_match(cands: DataFrame, entity: str = "University", pos: str = "ca
     entities whose scrapes all failed keep one status row.
 
     Candidates of one entity are few (its search results), so the window
-    per entity is bounded; the similarity is computed only for entities
-    without an exact match.
+    per entity is bounded; the similarity is computed (by an Arrow-batched
+    function, unless ``fast`` is false) only for entities without an exact match.
     """
     ok = F.coalesce(F.col(success), F.lit(False))
     name_match = F.when(F.col(scraped_name).isNull(), F.lit(False)).otherwise(
@@ -68,9 +68,13 @@ def link_best_match(cands: DataFrame, entity: str = "University", pos: str = "ca
     has_exact = F.max(F.when(ok, F.col("Name_Match")).otherwise(F.lit(False))).over(w_ent)
     c = c.withColumn("_exact", has_exact)
     ratio = similarity_ratio_arrow if fast else similarity_ratio
-    sim = F.when(F.col(scraped_name).isNull(), F.lit(0)).otherwise(
-        ratio(norm_text(F.col(name)), norm_text(F.col(scraped_name))))
-    c = c.withColumn("Name_Similarity", F.when(ok & ~F.col("_exact"), sim))
+    # only rows that are ranked by similarity are compared: a Python function is
+    # evaluated for every row it is given, whatever condition stands around it
+    needs = ok & ~F.col("_exact")
+    compared = needs & F.col(scraped_name).isNotNull()
+    c = c.where(compared).withColumn(
+        "Name_Similarity", ratio(norm_text(F.col(name)), norm_text(F.col(scraped_name)))).unionByName(
+        c.where(~compared).withColumn("Name_Similarity", F.when(needs, F.lit(0))))
     tier = (F.when(~ok, F.lit(9)).when(F.col("Overall_Match"), F.lit(1)).when(F.col("Name_Match"), F.lit(2))
             .otherwise(F.lit(3)))
     w = Window.partitionBy(entity).orderBy(tier, F.col("Name_Similarity").desc_nulls_last(), F.col(pos))

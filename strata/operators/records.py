@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import cut_lineage
 from ..functions.scalars import (display, display_bool, record_id, region_of, slug, state_name,
                                  with_prefix)
 
@@ -416,38 +417,42 @@ def load_documents(texts: DataFrame, mapping: DataFrame, text: str = "text", sou
 # --------------------------------------------------------------------------- #
 # JSON key coverage (Q1-Q4)                                                   #
 # --------------------------------------------------------------------------- #
-def json_key_coverage(df: DataFrame, id_col: str, json_col: str, max_depth: int = 4,
-                      samples: int = 3) -> DataFrame:
+def json_key_coverage(df: DataFrame, id_col: str, json_col: str, samples: int = 3) -> DataFrame:
     """Q1: for every key path (array items as ``[0]``, first item only) the
     number of records having it (null values count), its percent, and up to
-    ``samples`` smallest distinct non-null scalar values (as text).
-
-    Paths are found by exploding the parsed ``VARIANT`` level by level to a
-    bounded depth; counts are per (path, record) then per path, and the
-    samples come from a per-path top-n with a partial window limit, so no
-    path's values are gathered in one task.
+    ``samples`` smallest distinct non-null scalar values (as text; a list of
+    plain values offers its first item).
+
+    The parsed ``VARIANT`` is taken apart level by level, to whatever depth the
+    records have.  Each level is one pass that gives object entries and first
+    array items together, written to the shared checkpoint folder, so the JSON
+    is read and parsed once.  Counts are per (path, record), then per path,
+    and the samples come from a per-path top-n with a partial window limit, so
+    no path's values are gathered in one task.
     """
-    v = df.select(F.col(id_col).alias("_id"), F.try_parse_json(F.col(json_col)).alias("_v"))
-    level = v.select("_id", F.lit("").alias("path"), "_v")
+    def kind(v):
+        return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+
+    def plain(v):
+        return F.when(~kind(v).isin("OBJECT", "ARRAY") & ~F.is_variant_null(v), F.try_variant_get(v, "$", "string"))
+
+    level = df.select(F.col(id_col).alias("_id"), F.lit("").alias("path"), F.try_parse_json(F.col(json_col)).alias("_v"))
     found = None
-    for _ in range(max_depth):
-        is_obj = F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT"))
-        is_arr = F.startswith(F.schema_of_variant("_v"), F.lit("ARRAY"))
-        as_map = F.try_variant_get("_v", "$", "map<string,variant>")
-        objs = level.where(is_obj).select("_id", "path", F.explode(as_map).alias("key", "value"))
-        objs = objs.select(
-            "_id", F.when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")).alias("path"),
-            F.col("value").alias("_v"))
-        arrs = level.where(is_arr).select("_id", F.concat(F.col("path"), F.lit("[0]")).alias("path"),
-                                          F.try_variant_get("_v", "$[0]", "variant").alias("_v"))
-        arrs = arrs.where(F.col("_v").isNotNull())
-        nxt = objs.unionByName(arrs)
-        keys = objs  # only object keys are reported as paths
-        found = keys if found is None else found.unionByName(keys)
-        level = nxt
-    scalar = ~F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")) & \
-        ~F.startswith(F.schema_of_variant("_v"), F.lit("ARRAY")) & ~F.is_variant_null("_v")
-    vals = found.select("_id", "path", F.when(scalar, F.try_variant_get("_v", "$", "string")).alias("val"))
+    while True:
+        entries = F.transform(F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")), lambda e: F.struct(
+            F.when(F.col("path") == "", e["key"]).otherwise(F.concat_ws(".", "path", e["key"])).alias("path"),
+            e["value"].alias("_v"), F.lit(True).alias("_key")))
+        first = F.array(F.struct(F.concat(F.col("path"), F.lit("[0]")).alias("path"),
+                                 F.try_variant_get("_v", "$[0]", "variant").alias("_v"), F.lit(False).alias("_key")))
+        inner = F.when(kind("_v") == "OBJECT", entries).when(kind("_v") == "ARRAY", first)
+        level = cut_lineage(level.select("_id", F.inline(inner)).where(F.col("_v").isNotNull()))
+        if level.isEmpty():
+            break
+        found = level if found is None else found.unionByName(level)
+    if found is None:
+        found = level
+    item = F.try_variant_get("_v", "$[0]", "variant")
+    vals = found.where("_key").select("_id", "path", F.when(kind("_v") == "ARRAY", plain(item)).otherwise(plain(F.col("_v"))).alias("val"))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     counts = vals.select("_id", "path").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("records"))
     dv = vals.where(F.col("val").isNotNull()).select("path", "val").distinct()
@@ -488,10 +493,10 @@ def attribute_coverage(df: DataFrame, id_col: str, lists: dict, tag: str = "spor
     return t.groupBy(tag).agg(*aggs)
 
 
-def coverage_report(cov: DataFrame, total_col: str = "records", top: int = 20) -> DataFrame:
-    """The top paths by record count (ties by path) with their
-    samples escaped and cut for a Markdown table."""
+def coverage_report(cov: DataFrame, total_col: str = "records", top: int | None = None) -> DataFrame:
+    """The paths by record count (ties by path) with their samples
+    escaped and cut for a Markdown table; all of them, or the first ``top``."""
     from ..functions.scalars import table_cell
 
-    return (cov.orderBy(F.col(total_col).desc(), F.col("path")).limit(top)
-            .withColumn("examples", table_cell(F.col("samples"))))
+    ranked = cov.orderBy(F.col(total_col).desc(), F.col("path"))
+    return (ranked if top is None else ranked.limit(top)).withColumn("examples", table_cell(F.col("samples")))

@@ -146,19 +146,21 @@ def dataset_diff(spark, sf_dir):
 
 # --------------------------------------------------------------------------- #
 @register("batches_ntile", sql="""
-SELECT c_custkey, CAST(ntile(7) OVER (ORDER BY c_acctbal, c_custkey) - 1 AS INTEGER) AS batch FROM customer""",
+SELECT c_custkey, c_name, c_mktsegment, CAST(ntile(7) OVER (ORDER BY c_acctbal, c_custkey) - 1 AS INTEGER) AS batch
+FROM customer""",
           ops="W8")
 def batches_ntile(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return BT.batches(c, 7, ["c_acctbal", "c_custkey"]).select("c_custkey", "batch")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name", "c_mktsegment")
+    return BT.batches(c, 7, ["c_acctbal", "c_custkey"]).select("c_custkey", "c_name", "c_mktsegment", "batch")
 
 
 @register("batches_fixed", sql="""
-SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) // 100 AS INTEGER) AS batch
+SELECT c_custkey, c_name, c_mktsegment,
+       CAST((row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) // 100 AS INTEGER) AS batch
 FROM customer""", ops="W9")
 def batches_fixed(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return BT.batches_fixed(c, 100, ["c_acctbal", "c_custkey"]).select("c_custkey", "batch")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name", "c_mktsegment")
+    return BT.batches_fixed(c, 100, ["c_acctbal", "c_custkey"]).select("c_custkey", "c_name", "c_mktsegment", "batch")
 
 
 @register("deterministic_sample", sql=None, ops="O4 (rows-only: xxhash64 has no DuckDB twin)")

@@ -109,7 +109,7 @@ def _longitudinal_sql() -> str:
         sii = f"(({nd} - 1) * {nd} * (2 * {nd} - 1) / 6)"
         den = f"({nd} * {sii} - {si} * {si})"
         y = f"CAST({n} AS DOUBLE)"
-        expr = (f"CASE WHEN count({n}) < count(*) THEN NULL WHEN count(*) < 2 THEN 0.0 WHEN {den} = 0 THEN 0.0 "
+        expr = (f"CASE WHEN count(*) < 2 THEN 0.0 WHEN count({n}) < count(*) THEN NULL WHEN {den} = 0 THEN 0.0 "
                 f"ELSE ({nd} * sum(i * {y}) - {si} * sum({y})) / {den} END")
         cols.append(f"{r6(expr)} AS {n}_slope")
     sel = ",\n  ".join(cols)

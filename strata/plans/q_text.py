@@ -157,8 +157,8 @@ def text_scalars(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- #
-WITHDRAWAL = [r for rs in K.WITHDRAWAL_GROUPS.values() for r in rs] + ["Moved Away"]
-ENROLMENT = [r for rs in K.ENROLLMENT_GROUPS.values() for r in rs] + ["Other Reason"]
+WITHDRAWAL = list(K.WITHDRAWAL_GROUPS) + ["Moved Away"]
+ENROLMENT = list(K.ENROLLMENT_GROUPS) + ["Other Reason"]
 
 
 def _sql_list(xs) -> str:
@@ -166,7 +166,7 @@ def _sql_list(xs) -> str:
 
 
 def _sql_map_case(x: str, groups: dict) -> str:
-    whens = " ".join(f"WHEN {x} IN ({', '.join(repr(r) for r in rs)}) THEN '{g}'" for g, rs in groups.items())
+    whens = " ".join(f"WHEN {x} = '{value}' THEN '{group}'" for value, group in groups.items())
     return f"CASE {whens} ELSE 'Unclassified' END"
 
 
@@ -197,8 +197,7 @@ def _sql_state(x: str) -> str:
 
 
 def _sql_region(x: str) -> str:
-    whens = " ".join(f"WHEN {x} IN ({', '.join(repr(s) for s in ss)}) THEN '{r}'"
-                     for r, ss in K.CENSUS_REGIONS.items())
+    whens = " ".join(f"WHEN {x} = '{state}' THEN '{region}'" for state, region in K.CENSUS_REGIONS.items())
     return f"CASE {whens} ELSE 'Other' END"
 
 

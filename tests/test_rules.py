@@ -276,3 +276,69 @@ def test_page_heading_fallbacks(spark):
     df = spark.createDataFrame([('<h1 class="mb-1 pr-3 pl-0 h3 text-white"> Name U </h1><title>T</title>',),
                                 ("<title>Big U - Tuition and Acceptance Rate 2024</title>",), ("<p>x</p>",)], "h string")
     assert [r[0] for r in df.select(pages.page_heading("h")).collect()] == ["Name U", "Big U", "Unknown University"]
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_positions_keep_every_row_and_column(spark, reuse):
+    """Against row_number, with payload columns, with and without groups."""
+    from pyspark.sql import Window
+
+    from strata.operators.batches import batches
+    from strata.operators.ordering import group_positions
+
+    orders = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", F.pmod("o_custkey", F.lit(300)).alias("grp"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        for group in ([], ["grp"]):
+            got = group_positions(orders, group, ["o_totalprice", "o_orderkey"], num_partitions=40)
+            w = Window.partitionBy(*group).orderBy("o_totalprice", "o_orderkey")
+            want = orders.withColumn("_pos", F.row_number().over(w) - 1)
+            cols = [*orders.columns, "_pos"]
+            assert got.count() == orders.count()
+            assert got.select(*cols).exceptAll(want.select(*cols)).isEmpty()
+        sizes = [r["count"] for r in batches(orders, 7, ["o_totalprice", "o_orderkey"]).groupBy("batch").count().collect()]
+        assert len(sizes) == 7 and max(sizes) - min(sizes) <= 1
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_key_coverage_reaches_any_depth(spark):
+    import json
+
+    from strata.operators.records import coverage_report, json_key_coverage
+
+    deep = {"a": {"b": {"c": [{"d": [[{"e": {"f": {"g": [3, 4]}}}]]}]}}, "majors": [{"programs": [{"name": "x"}, {"other": 1}]}],
+            "tags": ["t1", "t2"], "none": None, "empty": [], "nothing": {}}
+    df = spark.createDataFrame([(1, json.dumps(deep)), (2, '{"tags": ["t0"]}'), (3, None), (4, "not json"), (5, "[1]")], "id long, doc string")
+    got = {r["path"]: (r["records"], r["samples"]) for r in json_key_coverage(df, "id", "doc").collect()}
+    assert got == {
+        "a": (1, ""), "a.b": (1, ""), "a.b.c": (1, ""), "a.b.c[0].d": (1, ""), "a.b.c[0].d[0][0].e": (1, ""),
+        "a.b.c[0].d[0][0].e.f": (1, ""), "a.b.c[0].d[0][0].e.f.g": (1, "3"), "majors": (1, ""), "majors[0].programs": (1, ""),
+        "majors[0].programs[0].name": (1, "x"), "tags": (2, "t0 | t1"), "none": (1, ""), "empty": (1, ""), "nothing": (1, "")}
+    assert coverage_report(json_key_coverage(df, "id", "doc")).count() == len(got)
+    assert json_key_coverage(df.limit(0), "id", "doc").collect() == []
+
+
+def test_blank_texts_are_stripped_of_all_white_space(spark):
+    r = spark.createDataFrame([("\t", "K\t")], "a string, g string").select(
+        X.display("a").alias("a"), X.standard_grade("g").alias("g")).first()
+    assert (r["a"], r["g"]) == ("Not Reported", "K")
+
+
+def test_one_period_with_a_missing_value_has_slope_zero(spark):
+    from strata.operators.longitudinal import longitudinal_features
+
+    df = spark.createDataFrame([("a", 2020, None), ("b", 2020, 1.0), ("b", 2021, None)], "k string, y int, f double")
+    got = {r["k"]: r["f_slope"] for r in longitudinal_features(df, "k", "y").collect()}
+    assert got == {"a": 0.0, "b": None}
+
+
+def test_trees_take_more_categories_than_the_default_bins(spark):
+    from strata.operators.model import fit_regressors, predict
+
+    df = spark.createDataFrame([(i, f"c{i % 40}", float(i % 40)) for i in range(200)], "k long, cat string, t double")
+    model, _ = fit_regressors(df, "k", ["t"], max_iter=2, max_depth=3)
+    got = predict(model, df, "k", ["t"]).join(df, "k")
+    mean_error = df.select(F.stddev_pop("t")).first()[0]
+    assert got.select(F.sqrt(F.avg((F.col("pred_t") - F.col("t")) ** 2))).first()[0] < mean_error
