@@ -1,14 +1,13 @@
 """Vector retrieval and its evaluation (V1-V9).
 
-Scores are exact brute force.  The query set is size-checked and embedded
-as constants (no join); ``row_number() <= k`` per query lets Spark insert a
-partial ``WindowGroupLimit`` before the shuffle, so each partition ships at
-most k rows per query and no (query, document) pair is ever shuffled.
+Scores are exact brute force.  Queries are packed into blocks of bounded
+size; ``row_number() <= k`` per query lets Spark insert a partial
+``WindowGroupLimit`` before the shuffle, so each partition ships at most k
+rows per query and no (query, document) pair is ever shuffled.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import preview
-from .joins import BROADCAST_MAX_BYTES, estimated_bytes
 
+QUERY_BLOCK = 512
 METRICS = ("l2", "cosine", "ip")
 
 
@@ -91,42 +90,24 @@ def metadata_filter(spec: Mapping, schema: T.StructType | None = None) -> Column
 
 def batch_topk(docs: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", doc_id: str = "doc_id",
                doc_vec: str = "vec", query_id: str = "query_id", query_vec: str = "qvec",
-               where: Column | None = None, max_query_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+               where: Column | None = None, query_block: int = QUERY_BLOCK) -> DataFrame:
     """Top-k documents per query: (query_id, rank (1-based), doc_id, score).
-    Ties go to the smaller document id.
+    Ties go to the smaller document id; without queries the result is empty.
 
-    The query set must be small: its real size is checked (a count), then its
-    vectors are embedded in the projection as a constant array, so every
-    document row scores itself against each query without any join; the
+    Queries of any number are packed into blocks of about ``query_block``, and
+    every document meets every block (a stated query set against all rows).  The
     ``row_number() <= k`` filter is planned as a partial ``WindowGroupLimit``
     before the shuffle (at most k rows per query per partition move).
     """
-    q_bytes = estimated_bytes(queries)
-    if q_bytes > max_query_bytes:
-        # the estimate of a derived table is an upper bound; check the real size
-        sample = queries.select(F.size(query_vec).alias("_d")).agg(F.count(F.lit(1)).alias("n"),
-                                                                   F.max("_d").alias("d")).first()
-        q_bytes = int(sample["n"] or 0) * (int(sample["d"] or 0) * 8 + 64)
-    if q_bytes > max_query_bytes:
-        raise ValueError("query set too large; split the queries into batches")
-    qs = queries.select(F.col(query_id).alias("q"), F.col(query_vec).alias("v")).collect()  # bounded above
-    if not qs:
-        raise ValueError("no queries")
-
-    def unit_py(v):
-        # same IEEE operations as ``unit``: sequential sum of squares, sqrt, divide
-        acc = 0.0
-        for x in v:
-            acc = acc + float(x) * float(x)
-        norm = math.sqrt(acc)
-        return [float(x) / norm for x in v]
-
-    consts = F.array(*[F.struct(F.lit(r["q"]).alias("_q"),
-                                F.array(*[F.lit(x) for x in unit_py(r["v"])]).alias("_qv")) for r in qs])
+    blocks = max(1, -(-queries.count() // query_block))
+    qs = (queries.select(F.struct(F.col(query_id).alias("_q"), unit(query_vec).alias("_qv")).alias("_query"))
+          .groupBy(F.pmod(F.xxhash64("_query._q"), F.lit(blocks)).cast("int").alias("_block"))
+          .agg(F.collect_list("_query").alias("_queries")))
     d = docs if where is None else docs.where(where)
     extra = [c for c in d.columns if c not in (doc_id, doc_vec)]
-    d = d.select(F.col(doc_id).alias("_doc"), unit(doc_vec).alias("_dv"), *extra)
-    s = d.select("*", F.inline(consts)).withColumn("score", score("_dv", "_qv", metric))
+    d = d.select(F.col(doc_id).alias("_doc"), unit(doc_vec).alias("_dv"), *extra,
+                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    s = d.join(qs, "_block").select("_doc", "_dv", *extra, F.inline("_queries")).withColumn("score", score("_dv", "_qv", metric))
     order = F.col("score").desc() if metric == "ip" else F.col("score").asc()
     w = Window.partitionBy("_q").orderBy(order, F.col("_doc").asc())
     ranked = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -13,6 +13,7 @@ from strata.plans.check import check_query, duckdb_conn
 SF_SMOKE = "/root/testdata/sf0.001"
 
 REG = load_all()
+MAY_BE_EMPTY = {"majors_table", "catalogue_links"}  # the layouts they parse are not in the driver's pages (see test_rules.py)
 SLOW = {"gbt_scores", "feature_importance", "scored_students", "split_80_20"}
 
 
@@ -30,7 +31,18 @@ def test_against_oracle(spark, con, name):
 @pytest.mark.parametrize("name", sorted(n for n, q in REG.items() if not q.sql and n not in SLOW))
 def test_rows_only(spark, name):
     df = REG[name].run(spark, SF_SMOKE)
-    assert df.count() >= 0 and len(df.columns) > 0
+    assert df.count() >= (0 if name in MAY_BE_EMPTY else 1) and len(df.columns) > 0
+
+
+def test_batch_topk_takes_many_query_blocks(spark):
+    from strata.operators.retrieval import batch_topk
+
+    v = spark.read.parquet(f"{SF_SMOKE}/embeddings.parquet").select(
+        F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec"))
+    qs = v.select(F.col("doc_id").alias("query_id"), F.col("vec").alias("qvec"))
+    one, many = (sorted(batch_topk(v, qs, k=3, query_block=b).select("query_id", "rank", "doc_id").collect()) for b in (10 ** 6, 7))
+    assert one == many and len(one) == 3 * v.count()
+    assert batch_topk(v, qs.limit(0)).collect() == []
 
 
 def test_entry_contract(spark):
@@ -55,7 +67,8 @@ def test_native_features_have_no_python(spark):
 def test_pushdown_and_pruning(spark):
     df = REG["scan_project_filter"].run(spark, SF_SMOKE)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_returnflag), IsNotNull(l_shipdate)" in plan or "PushedFilters" in plan
+    pushed = plan[plan.index("PushedFilters: ["):].split("ReadSchema")[0]  # cut off after some, in the text
+    assert all(f in pushed for f in ("IsNotNull(l_returnflag)", "IsNotNull(l_discount)", "EqualTo(l_returnflag,R)"))
     assert "l_comment" not in plan
 
 
