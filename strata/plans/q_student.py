@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cohort, coverage, joins, longitudinal, snapshot
-from ..operators.features import illuminate, student
+from ..operators.features import illuminate, milestone, rit, student
 from ..operators.features.registry import FeatureSet
 from ..sources.tables import table
 from . import bindings as B
 from . import oracle_views as V
 from .catalog import finish, r6, register
-from .q_features import _illuminate_sql
+from .q_features import _illuminate_sql, _milestone_sql, _rit_sql, all_features
 
 K = B.STUDENT
 P = "SchoolYearNumberFall"
@@ -88,8 +88,10 @@ def snapshot_lists(spark, sf_dir):
 
 # --------------------------------------------------------------------------- #
 def _longitudinal_sql() -> str:
-    names = [n for f in illuminate.features_of(illuminate) for n, _ in f.schema]
-    ints = {"num_items", "num_assessments", "grade_mode_numeric", "is_on_sat_grade_level"}
+    names = [n for m in (illuminate, milestone, rit) for f in m.features_of(m) for n, _ in f.schema]
+    ints = {"num_items", "num_assessments", "grade_mode_numeric", "is_on_sat_grade_level",
+            "num_subjects_tested", "num_unique_test_dates", "num_test_days", "num_tests"}
+    ints |= {n for n in names if n.startswith("count_quintile_")}
     cols = []
     for n in names:
         last = f"max(CASE WHEN rd = 1 THEN {n} END)"
@@ -114,7 +116,9 @@ def _longitudinal_sql() -> str:
         cols.append(f"{r6(expr)} AS {n}_slope")
     sel = ",\n  ".join(cols)
     return f"""
-WITH feat AS ({_illuminate_sql(rounded=False)}),
+WITH feat AS (SELECT * FROM ({_illuminate_sql(rounded=False)}) x
+  FULL JOIN ({_milestone_sql(rounded=False)}) y USING (mask_studentpersonkey, SchoolYearFall)
+  FULL JOIN ({_rit_sql(rounded=False)}) z USING (mask_studentpersonkey, SchoolYearFall)),
 r AS (SELECT *, row_number() OVER (PARTITION BY mask_studentpersonkey ORDER BY SchoolYearFall) - 1 AS i,
              row_number() OVER (PARTITION BY mask_studentpersonkey ORDER BY SchoolYearFall DESC) AS rd
       FROM feat)
@@ -125,12 +129,9 @@ FROM r GROUP BY mask_studentpersonkey
 """
 
 
-@register("longitudinal_wide", sql=_longitudinal_sql(), ops="W1-W6 over the Illuminate features")
+@register("longitudinal_wide", sql=_longitudinal_sql(), ops="W3-W6 over the Illuminate, Milestone and RIT features")
 def longitudinal_wide(spark, sf_dir):
-    feats = illuminate.illuminate_features(
-        B.illuminate_fact(spark, sf_dir), B.KEYS, B.ILLUMINATE_ORDER,
-        math_keywords=B.ILLUMINATE_MATH, ela_keywords=B.ILLUMINATE_ELA)
-    return finish(longitudinal.longitudinal_features(feats, B.STUDENT, B.YEAR))
+    return finish(longitudinal.longitudinal_features(all_features(spark, sf_dir), B.STUDENT, B.YEAR))
 
 
 # --------------------------------------------------------------------------- #
