@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,14 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
 def read_csv_any_encoding(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
     """S3: per file, UTF-8 when the bytes are valid UTF-8, else latin-1.
 
-    The check runs as a distributed ``binaryFile`` scan; each group of paths
-    is then read with its encoding and the two are unioned by name.
+    The check reads the files line by line, so files of any size are split over
+    tasks, in one pass; one row per file comes to the driver.  Each group of
+    paths is then read with its encoding and the two are unioned by name.
     """
-    probe = (spark.read.format("binaryFile").load(list(paths))
-             .select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("ok")))
-    good = [r.path for r in probe.where("ok").select("path").collect()]  # file names only
-    bad = [r.path for r in probe.where("NOT ok").select("path").collect()]
+    probe = (spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+             .groupBy("path").agg(F.every(F.is_valid_utf8("value")).alias("ok")).collect())
+    good = sorted(unquote(r["path"]) for r in probe if r["ok"])  # file_path is a URI
+    bad = sorted(unquote(r["path"]) for r in probe if not r["ok"])
     parts = []
     if good:
         parts.append(read_csv(spark, good, schema))

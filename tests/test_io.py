@@ -21,13 +21,13 @@ def test_csv_encoding_fallback_and_footer(spark):
     d = _tmp()
     with open(os.path.join(d, "a.csv"), "w", encoding="utf-8") as f:
         f.write("id,name\n1,Zoë\n2,Ann\n")
-    with open(os.path.join(d, "b.csv"), "w", encoding="latin-1") as f:
+    with open(os.path.join(d, "b %41+é.csv"), "w", encoding="latin-1") as f:
         f.write("id,name\n3,José\n,footer\n")
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
-    df = io.read_csv_any_encoding(spark, [os.path.join(d, "a.csv"), os.path.join(d, "b.csv")], schema)
+    df = io.read_csv_any_encoding(spark, [os.path.join(d, "a.csv"), os.path.join(d, "b %41+é.csv")], schema)
     rows = sorted((r["id"], r["name"]) for r in df.where(F.col("id").isNotNull()).collect())
     assert rows == [(1, "Zoë"), (2, "Ann"), (3, "José")]
-    footer_dropped = io.read_csv(spark, os.path.join(d, "b.csv"), schema, encoding="ISO-8859-1", key="id")
+    footer_dropped = io.read_csv(spark, os.path.join(d, "b %41+é.csv"), schema, encoding="ISO-8859-1", key="id")
     assert footer_dropped.count() == 1
 
 
