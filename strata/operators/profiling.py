@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,30 +21,50 @@ def status_summary(log: DataFrame, status: str = "status", seconds: str = "secon
         (F.lit(100.0) * F.count_if(ok) / F.count(F.lit(1))).alias("success_rate"))
 
 
-def table_profile(df: DataFrame, columns=None, approximate: bool = False) -> DataFrame:
-    """Q5: per column n, missing, distinct, min, max, mean, std (sample) and
-    zeros, from one wide aggregate, unpivoted to one row per column.
+NUMBERS = ("integer", "long", "double", "float", "short", "byte", "decimal")
+TIMES = ("date", "timestamp", "timestamp_ntz")
+
+
+def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Q5: one row per column of any plain type: its type, n, missing, distinct
+    values, min, max, mean, std (sample), zeros, least and greatest text, and
+    the most frequent value (ties: the least) with its count.
 
-    ``approximate=True`` uses HyperLogLog distinct counts (no per-column
-    expansion of the data), the choice for very wide or very large tables.
+    Numbers fill ``min`` to ``zeros`` and ``top_number``; texts and times (as
+    ``yyyy-MM-dd HH:mm:ss``) fill ``min_text``, ``max_text`` and ``top_text``.
+    The table is unpivoted to (column, value) and aggregated twice, first per
+    value with map-side combine, so no column's values meet in one task and the
+    data is not expanded once per distinct count.
     """
-    cols = list(columns or [f.name for f in df.schema.fields
-                            if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")])
-    aggs = []
-    for c in cols:
-        x = F.col(c)
-        distinct = F.approx_count_distinct(x) if approximate else F.count_distinct(x)
-        aggs += [F.count(x).alias(f"{c}__n"), (F.count(F.lit(1)) - F.count(x)).alias(f"{c}__missing"),
-                 distinct.alias(f"{c}__distinct"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.max(x).cast("double").alias(f"{c}__max"),
-                 # exact decimal sum: the mean does not depend on summation order
-                 (F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.count_if(x == 0).alias(f"{c}__zeros")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").cast("bigint").alias("n"),
-                     F.col(f"{c}__missing").cast("bigint").alias("missing"),
-                     F.col(f"{c}__distinct").cast("bigint").alias("distinct_values"),
-                     F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
-                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                     F.col(f"{c}__zeros").cast("bigint").alias("zeros")) for c in cols]
-    return wide.select(F.inline(F.array(*rows)))
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields if columns is None or f.name in columns}
+    kinds = {c: k for c, k in kinds.items() if k in (*NUMBERS, *TIMES, "string", "boolean")}
+    none, empty = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def text(c: str, kind: str):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind in TIMES else F.col(c).cast("string")
+
+    cells = F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit("number" if k in NUMBERS else "time" if k in TIMES else "text").alias("type"),
+        (F.col(c).cast("double") if k in NUMBERS else none).alias("num"),
+        (empty if k in NUMBERS else text(c, k)).alias("txt")) for c, k in kinds.items()])
+    values = df.select(F.inline(cells)).groupBy("column_name", "type", "num", "txt").agg(
+        F.count(F.lit(1)).alias("c"), F.sum(F.col("num").cast("decimal(38,10)")).alias("total"))
+    there = F.col("num").isNotNull() | F.col("txt").isNotNull()
+    per = values.groupBy("column_name", "type").agg(
+        F.coalesce(F.sum(F.when(there, F.col("c"))), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(~there, F.col("c"))), F.lit(0)).alias("missing"),
+        F.count_if(there).alias("distinct_values"), F.min("num").alias("min"), F.max("num").alias("max"),
+        # exact decimal sum: the mean does not depend on summation order
+        F.sum("total").cast("double").alias("total"), F.sum(F.when(F.col("num") == 0, F.col("c"))).alias("zeros"),
+        F.min("txt").alias("min_text"), F.max("txt").alias("max_text"),
+        F.min(F.when(there, F.struct((-F.col("c")).alias("c"), "num", "txt"))).alias("top"))
+    numbers = [c for c, k in kinds.items() if k in NUMBERS]
+    spread = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numbers)] or [F.count("*")])
+    spread = spread.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("std"))
+                                              for i, c in enumerate(numbers)]))) if numbers else \
+        df.sparkSession.createDataFrame([], "column_name string, std double")
+    return per.join(spread, "column_name", "left").select(
+        "column_name", "type", "n", "missing", "distinct_values", "min", "max",
+        (F.col("total") / F.nullif("n", F.lit(0))).alias("mean"), "std",
+        F.when(F.col("type") == "number", F.coalesce("zeros", F.lit(0))).alias("zeros"), "min_text", "max_text",
+        F.col("top.num").alias("top_number"), F.col("top.txt").alias("top_text"), (-F.col("top.c")).alias("top_count"))

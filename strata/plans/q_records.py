@@ -198,19 +198,29 @@ NUMERIC = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
            "l_tax")
 
 
+TEXTS = {"l_returnflag": "text", "l_linestatus": "text", "l_shipdate": "time"}
+
+
 def _profile_sql() -> str:
     parts = []
     for c in NUMERIC:
-        parts.append(f"""SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n,
+        top = f"(SELECT struct_pack(v := {c}, c := count(*)) FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+        parts.append(f"""SELECT '{c}' AS column_name, 'number' AS type, CAST(count({c}) AS BIGINT) AS n,
   CAST(count(*) - count({c}) AS BIGINT) AS missing, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values,
   {r6(f'min({c})')} AS min, {r6(f'max({c})')} AS max, {r6(f'CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c})')} AS mean,
-  {r6(f'stddev_samp({c})')} AS std, CAST(count_if({c} = 0) AS BIGINT) AS zeros FROM lineitem""")
+  {r6(f'stddev_samp({c})')} AS std, CAST(count_if({c} = 0) AS BIGINT) AS zeros, NULL AS min_text, NULL AS max_text,
+  {r6(f'{top}.v')} AS top_number, NULL AS top_text, CAST({top}.c AS BIGINT) AS top_count FROM lineitem""")
+    for c, kind in TEXTS.items():
+        x = f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if kind == "time" else c
+        top = f"(SELECT struct_pack(v := {x}, c := count(*)) FROM lineitem WHERE {c} IS NOT NULL GROUP BY {x} ORDER BY count(*) DESC, {x} LIMIT 1)"
+        parts.append(f"""SELECT '{c}', '{kind}', CAST(count({c}) AS BIGINT), CAST(count(*) - count({c}) AS BIGINT),
+  CAST(count(DISTINCT {x}) AS BIGINT), NULL, NULL, NULL, NULL, NULL, min({x}), max({x}), NULL, {top}.v, CAST({top}.c AS BIGINT) FROM lineitem""")
     return " UNION ALL ".join(parts)
 
 
-@register("table_profile", sql=_profile_sql(), ops="Q5")
+@register("table_profile", sql=_profile_sql(), ops="Q5 (type, counts, range, mean, std, top value; all columns)")
 def table_profile(spark, sf_dir):
-    return finish(PR.table_profile(table(spark, sf_dir, "lineitem"), list(NUMERIC)))
+    return finish(PR.table_profile(table(spark, sf_dir, "lineitem"), [*NUMERIC, *TEXTS]))
 
 
 @register("category_coverage", sql=f"""

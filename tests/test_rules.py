@@ -342,3 +342,18 @@ def test_trees_take_more_categories_than_the_default_bins(spark):
     got = predict(model, df, "k", ["t"]).join(df, "k")
     mean_error = df.select(F.stddev_pop("t")).first()[0]
     assert got.select(F.sqrt(F.avg((F.col("pred_t") - F.col("t")) ** 2))).first()[0] < mean_error
+
+
+def test_table_profile_covers_every_kind_of_column(spark):
+    from strata.operators.profiling import table_profile
+
+    df = spark.sql("""SELECT * FROM VALUES (1, 'a', DATE'2020-01-01', true), (1, 'b', null, false), (0, 'b', DATE'2021-01-01', null),
+                      (null, null, null, null) AS t(i, s, d, b)""")
+    got = {r["column_name"]: r for r in table_profile(df).collect()}
+    assert (got["i"]["n"], got["i"]["missing"], got["i"]["distinct_values"], got["i"]["zeros"], got["i"]["top_number"],
+            got["i"]["top_count"]) == (3, 1, 2, 1, 1.0, 2)
+    assert got["i"]["mean"] == pytest.approx(2 / 3) and got["i"]["std"] == pytest.approx(0.57735, abs=1e-5)
+    assert (got["s"]["min_text"], got["s"]["top_text"], got["s"]["top_count"]) == ("a", "b", 2)
+    assert (got["d"]["max_text"], got["d"]["top_text"], got["d"]["missing"]) == ("2021-01-01 00:00:00", "2020-01-01 00:00:00", 2)
+    assert (got["b"]["distinct_values"], got["b"]["top_text"]) == (2, "false")
+    assert {r["n"] for r in table_profile(df.limit(0)).collect()} <= {0}
