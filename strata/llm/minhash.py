@@ -7,11 +7,10 @@
    similarity 0.8 shares no bucket with probability 5e-8.
 3. Every member of a bucket is first paired with the bucket's smallest member,
    never with all.  Pairs are confirmed on the full sets and joined into
-   components.  Members of one bucket that are still apart are then compared:
-   in blocks of ``BLOCK`` members, by signature (a pair of 0.8 falls below
-   ``ESTIMATE`` with probability 1e-8), nearest partners first; the pairs
-   that remain apart after that are all confirmed or refuted on the full sets.
-   So no link between different sets is lost to a cap.
+   components.  In a bucket whose other members still lie in different
+   components, these are compared on the full sets, too: blocks of ``BLOCK``
+   members meet as units, and a unit returns no more links than it takes to
+   join what is apart.  So no link between different sets is lost to a cap.
 4. Components come from alternating large-star and small-star.
 """
 
@@ -31,9 +30,7 @@ from .common import Stage, bytes_of, query, table
 from .components import components
 
 PERMS, ROWS = 128, 4
-ESTIMATE = 0.6
 BLOCK = 1024
-NEAREST = 4
 _U = np.uint64
 _A, _B = numbers(PERMS, 11) | _U(1), numbers(PERMS, 12)
 
@@ -129,34 +126,71 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _apart(nearest: int):
-    """Pairs of a unit's two blocks that lie in different components and look alike."""
+def common_counts(sets: list[np.ndarray], split: int, chunk: int = 4096) -> np.ndarray:
+    """Intersection sizes of each of the first ``split`` sets with each of the rest (with each of them all: split 0)."""
+    sizes = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, df = np.unique(np.concatenate(sets) if sets else np.empty(0, _U), return_inverse=True, return_counts=True)
+    shared = df[column] > 1  # a shingle of one set alone is in no intersection
+    number = np.cumsum(df > 1) - 1
+    column, owner = number[column[shared]], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((split, len(sets) - split) if split else (len(sets), len(sets)), np.float32)
+    for c in range(0, int(number[-1]) + 1 if len(number) else 0, chunk):
+        i, j = np.searchsorted(column, [c, c + chunk])
+        m = np.zeros((len(sets), chunk), np.float32)
+        m[owner[i:j], column[i:j] - c] = 1
+        out += m[:split] @ m[split:].T if split else m @ m.T
+    return out.astype(np.int64)
+
+
+def _meet(k: int, percent: int):
+    """Links between the members of a unit's two blocks that lie in different components, as many as join them."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if pdf["lo"].iloc[0] == pdf["hi"].iloc[0]:
-            right = left
-        out_a, out_b = [], []
-        if len(left) and len(right):
-            sb = _matrix(pa.array(right["sig"].tolist(), pa.binary()))
-            sa = _matrix(pa.array(left["sig"].tolist(), pa.binary()))
-            lb, nb = right["label"].to_numpy(), right["node"].to_numpy()
-            for s, label, node in zip(sa, left["label"].to_numpy(), left["node"].to_numpy()):
-                other = np.flatnonzero(lb != label)
-                if not len(other):
-                    continue
-                alike = (sb[other] == s).mean(axis=1)
-                good = np.flatnonzero(alike >= ESTIMATE)
-                if nearest:
-                    good = good[np.argsort(-alike[good], kind="stable")[:nearest]]
-                out_b.append(nb[other[good]])
-                out_a.append(np.full(len(good), node))
-        a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        pdf = pdf.sort_values(["side", "node"])
+        one = pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
+        split = 0 if one else int((pdf["side"] == 0).sum())
+        out: list[tuple[int, int]] = []
+        if one or 0 < split < len(pdf):
+            sets = sets_of(pa.array(pdf["body"].tolist(), pa.binary()), k)
+            size = np.array([len(x) for x in sets])
+            inter = common_counts(sets, split)
+            rows, cols = (slice(None), slice(None)) if one else (slice(0, split), slice(split, None))
+            node, label = pdf["node"].to_numpy(), pdf["label"].to_numpy()
+            alike = 100 * inter >= percent * (size[rows, None] + size[None, cols] - inter)
+            alike &= label[rows, None] != label[None, cols]
+            parent = {x: x for x in label.tolist()}
+
+            def root(x):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for i, j in np.argwhere(alike):
+                a, b = root(label[rows][i]), root(label[cols][j])
+                if a != b:
+                    parent[a] = b
+                    out.append((node[rows][i], node[cols][j]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype(np.int64)
 
     return run
 
 
+def _joined(comp: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
+    """Components after more links: the components so far are the nodes that the links join."""
+    ends = links
+    for end in ("a", "b"):
+        named = comp.select(F.col("node").alias(end), F.col("component").alias("to"))
+        ends = ends.join(named.hint("merge"), end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    ends = stage.save(ends, "ends")
+    merged = stage.save(components(ends), "merged")
+    old = comp.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")).hint("merge"),
+                    "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return old.unionAll(merged.join(comp.select("node").hint("merge"), "node", "left_anti"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 2,
                     percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
     """Link texts whose word-shingle sets have 100 * intersection >= percent * union.
@@ -195,39 +229,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     texts = stage.save(rows.select("rid", "body").join(
         stage.save(wanted, "wanted").hint("shuffle_hash"), "rid").select("node", "body"), "texts")
 
-    def confirmed(candidates: DataFrame, name: str) -> DataFrame:
-        sides = candidates.join(texts.select(F.col("node").alias("b"), F.col("body").alias("ta")).hint("merge"), "b") \
-            .join(texts.select(F.col("node").alias("a"), F.col("body").alias("tb")).hint("merge"), "a")
-        return stage.save(sides.select("a", "b", "ta", "tb").mapInArrow(
-            _verify(shingle, percent), "a long, b long"), name)
-
-    links = confirmed(pairs, "links0")
-    tested = pairs
-    for step, nearest in ((1, NEAREST), (2, 0)):
-        comp = stage.save(components(links), f"comp{step}")
-        labelled = members.join(comp.hint("merge"), "node", "left").select(
-            "bucket", "node", "head", "size", F.coalesce("component", "node").alias("label"))
-        labelled = stage.save(labelled, f"labelled{step}")
-        # the head was paired with all; a bucket matters if its other members lie in several components
-        open_ = labelled.where("size > 2 and node <> head").groupBy("bucket").agg(
-            F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("bucket")
-        inside = labelled.join(stage.save(open_, f"open{step}").hint("merge"), "bucket").where("node <> head")
-        inside = stage.save(inside.select("bucket", "node", "label", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
-                            f"inside{step}")
-        if inside.isEmpty():
-            break
+    sides = pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("ta")).hint("merge"), "b") \
+        .join(texts.select(F.col("node").alias("a"), F.col("body").alias("tb")).hint("merge"), "a")
+    links = stage.save(sides.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, percent), "a long, b long"), "links")
+    comp = stage.save(components(links), "components")
+
+    # the head was paired with all; a bucket matters further if its other members lie in several components
+    labelled = members.where("size > 2 and node <> head").join(comp.hint("merge"), "node", "left") \
+        .select("bucket", "node", "size", F.coalesce("component", "node").alias("label"))
+    labelled = stage.save(labelled, "labelled")
+    several = labelled.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
+    inside = labelled.join(stage.save(several.select("bucket"), "several").hint("merge"), "bucket")
+    inside = stage.save(inside.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")), "inside")
+    if not inside.isEmpty():
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         units = inside.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))) \
             .select("bucket", "node", "label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                     (F.col("block") > F.col("other")).cast("int").alias("side"))
-        units = units.join(heads.select("node", "sig").hint("merge"), "node")
-        near = units.groupBy("bucket", "lo", "hi").applyInPandas(_apart(nearest), "a long, b long").distinct()
-        fresh = stage.save(near.join(tested, ["a", "b"], "left_anti"), f"pairs{step}")
-        if fresh.isEmpty():
-            continue
-        links = links.unionAll(confirmed(fresh, f"links{step}"))
-        tested = tested.unionAll(fresh)
-    comp = stage.save(components(links), "comp")
+        more = units.join(texts.hint("merge"), "node").groupBy("bucket", "lo", "hi").applyInPandas(
+            _meet(shingle, percent), "a long, b long")
+        more = stage.save(more.distinct(), "more_links")
+        if not more.isEmpty():
+            comp = stage.save(_joined(comp, more, stage), "components_joined")
 
     out = signed.select("id", "rid", "n", "set_key").join(
         classes.select("set_key", F.col("id").alias("node")).hint("merge"), "set_key", "left")
