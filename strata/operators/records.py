@@ -310,6 +310,9 @@ def tuition_md() -> Column:
         F.lit("- **Tuition ("), display(t["category"]), F.lit("):** "), _money(t["amount"]))), "\n")
     fe = F.array_join(F.transform(F.coalesce(tf["fees"], F.array()), lambda t: F.concat(
         F.lit("- **Fees ("), display(t["category"]), F.lit("):** "), _money(t["amount"]))), "\n")
+    tu, fe = F.nullif(tu, F.lit("")), F.nullif(fe, F.lit(""))  # an empty list has no line
+    other = display(tf["other_payment_considerations"])
+    other = F.when(other != "Not Reported", F.concat(F.lit("- **Other Payment Considerations:** "), other))
     labels = [("package_stats", "avg_financial_aid_package", "Average Financial Aid Package"),
               ("package_stats", "avg_freshman_financial_aid_package", "Average Freshman Financial Aid Package"),
               ("package_stats", "avg_international_financial_aid_package",
@@ -317,12 +320,12 @@ def tuition_md() -> Column:
               ("amounts", "avg_loan_aid", "Average Loan Aid"), ("amounts", "avg_grant_aid", "Average Grant Aid"),
               ("amounts", "avg_scholarship_and_grant_aid_awarded", "Average Scholarship and Grant Aid Awarded")]
     aid = [F.concat(F.lit(f"- **{lab}:** "), _money(fa[g][f])) for g, f, lab in labels]
-    cov = [("percentage_need_receive_financial_aid", "Students with Need Receiving Aid"),
-           ("avg_percentage_of_financial_need_met", "Average Percentage of Need Met"),
-           ("percentage_students_need_fully_met", "Students with Need Fully Met")]
+    cov = [("percentage_need_receive_financial_aid", "Percentage of Students Receiving Financial Aid Who Had Need"),
+           ("avg_percentage_of_financial_need_met", "Average Percentage of Financial Need Met"),
+           ("percentage_students_need_fully_met", "Percentage of Students Whose Financial Need Was Fully Met")]
     cov_md = [F.concat(F.lit(f"- **{lab}:** "), _pct_or(fa["coverage_stats"][f])) for f, lab in cov]
     return _lines(F.lit("## Tuition and Financial Aid"), F.lit(""), F.lit("### Tuition & Fees"), F.lit(""),
-                  tu, fe, F.lit(""), F.lit("### Financial Aid Overview"), F.lit(""), *aid, *cov_md, F.lit(""))
+                  tu, fe, other, F.lit(""), F.lit("### Financial Aid Overview"), F.lit(""), *aid, *cov_md, F.lit(""))
 
 
 def campus_life_md() -> Column:

@@ -365,10 +365,11 @@ def _markdown_sql() -> str:
            ("Average Loan Aid", f"CAST(5000 + {k} % 2000 AS DOUBLE)"),
            ("Average Grant Aid", f"CAST(6000 + {k} % 3000 AS DOUBLE)"),
            ("Average Scholarship and Grant Aid Awarded", f"CAST(7000 + {k} % 3500 AS DOUBLE)")]
-    cov = [("Students with Need Receiving Aid", f"CAST({k} % 100 AS DOUBLE)"),
-           ("Average Percentage of Need Met", f"CAST(50 + {k} % 50 AS DOUBLE)"),
-           ("Students with Need Fully Met", f"CASE WHEN {k} % 4 <> 0 THEN CAST({k} % 30 AS DOUBLE) END")]
-    tuition = _lines_sql("'## Tuition and Financial Aid'", "''", "'### Tuition & Fees'", "''", tu, fe, "''",
+    cov = [("Percentage of Students Receiving Financial Aid Who Had Need", f"CAST({k} % 100 AS DOUBLE)"),
+           ("Average Percentage of Financial Need Met", f"CAST(50 + {k} % 50 AS DOUBLE)"),
+           ("Percentage of Students Whose Financial Need Was Fully Met", f"CASE WHEN {k} % 4 <> 0 THEN CAST({k} % 30 AS DOUBLE) END")]
+    tuition = _lines_sql("'## Tuition and Financial Aid'", "''", "'### Tuition & Fees'", "''", tu, fe,
+                         f"CASE WHEN {k} % 4 = 0 THEN '- **Other Payment Considerations:** Installment plans' END", "''",
                          "'### Financial Aid Overview'", "''",
                          *[f"'- **{lab}:** ' || {_pre(e, prefix='$')}" for lab, e in aid],
                          *[f"'- **{lab}:** ' || {_pre(e, suffix='%')}" for lab, e in cov], "''")

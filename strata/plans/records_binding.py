@@ -129,6 +129,8 @@ def records(spark, sf_dir):
             F.array(cat_amount(F.lit("Room & board"), _d(8000 + _mod(k, 3000))),
                     cat_amount(F.lit("Full-time student fees"), F.when(_mod(k, 2) != 0, _d(500 + _mod(k, 500)))))
             .alias("fees"),
+            F.when(_mod(k, 4) == 0, F.lit("Installment plans")).when(_mod(k, 4) == 1, F.lit(" "))
+            .alias("other_payment_considerations"),
         ).alias("tuition_and_fees"),
         F.struct(
             F.struct(_d(10000 + _mod(k, 5000)).alias("avg_financial_aid_package"),
