@@ -163,11 +163,13 @@ def batches_fixed(spark, sf_dir):
     return BT.batches_fixed(c, 100, ["c_acctbal", "c_custkey"]).select("c_custkey", "c_name", "c_mktsegment", "batch")
 
 
-@register("deterministic_sample", sql=None, ops="O4 (rows-only: xxhash64 has no DuckDB twin)")
+@register("deterministic_sample", sql="""
+SELECT * FROM lineitem ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, '42')), l_orderkey, l_linenumber, l_partkey,
+  l_suppkey, l_shipdate, l_extendedprice LIMIT 500""", ops="O4 (the limit is the sample)")
 def deterministic_sample(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return BT.deterministic_sample(li, 500, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                             "l_shipdate", "l_extendedprice"])
+    return BT.deterministic_sample(li, 500, ["l_orderkey", "l_linenumber"],
+                                   ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"])
 
 
 # --------------------------------------------------------------------------- #
