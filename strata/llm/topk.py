@@ -72,7 +72,7 @@ def partial_scores(q: np.ndarray, v: np.ndarray, lists: int) -> list[np.ndarray]
     """Score matrices (queries x vectors) of each slice of the dimensions; missing components are 0."""
     dim = min(q.shape[1], v.shape[1])
     q, v = q[:, :dim], v[:, :dim]
-    top = (np.abs(q).max(initial=0)) * (np.abs(v).max(initial=0)) * max(dim, 1)
+    top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(dim, 1)
     if top >= 2.0 ** 53:
         q, v = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (q, v))
     return [q[:, i::lists] @ v[:, i::lists].T if dim else np.zeros((len(q), len(v))) for i in range(lists)]
@@ -111,11 +111,13 @@ def _search(k: int, lists: int, with_cutoff: bool):
                         np.put_along_axis(take, at, True, axis=1)
                 rows, cols = np.nonzero(take & ~own)
                 total = sum(p[rows, cols] for p in parts)
+                if total.dtype == object:
+                    total = np.array([min(max(s, _LONG.min), _LONG.max) for s in total], object)
                 if with_cutoff:
                     reach = (total >= low[rows]).astype(bool)
                     rows, cols, total = rows[reach], cols[reach], total[reach]
                 pick = best(rows, cols, total, vid, k)
-                score = [min(max(int(s), _LONG.min), _LONG.max) for s in total[pick]]
+                score = [int(s) for s in total[pick]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(qid[rows[pick]]), pa.array(vid[cols[pick]]), pa.array(score, pa.int64())],
                     names=["query_id", "vec_id", "score"])
@@ -133,7 +135,7 @@ def top_k(df: DataFrame, queries: Column, k: int = K, key: str = "vec_id", vecto
     all of them.  Vectors that are null or hold a null or non-finite
     component, and null keys, take no part; rows that repeat a key count once,
     as the greatest vector; a shorter vector's missing components count 0;
-    sums beyond a long are held at its bounds.  An empty table, or one without queries, gives an
+    sums beyond a long count as its bounds.  An empty table, or one without queries, gives an
     empty result.  Other columns play no part.
     """
     stage = Stage(df.sparkSession, "topk")
