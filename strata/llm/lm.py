@@ -37,7 +37,8 @@ from .bytesnp import LOWER, buffer_of, by_size, word_hashes, word_spans
 from .common import Stage, bytes_of, query, table
 from .subwords import default_path, word_bpe
 
-BLOCK = 4 << 20
+BLOCK = 2 << 20
+CACHE_WORDS = 200_000  # per Python worker; a block looks each of its words up once
 DOCS_PER_PART = 4096
 EVERY, ROUNDS = 24, 3
 RATES = (1e-2, 5e-3, 2e-3)
@@ -83,7 +84,7 @@ def expand(words: np.ndarray, word_at: np.ndarray, ids: np.ndarray, id_at: np.nd
 
 def word_ends(path: str) -> np.ndarray:
     """Which ids close a word."""
-    vocabulary = word_bpe(path).whole.get_vocab()
+    vocabulary = word_bpe(path, CACHE_WORDS).whole.get_vocab()
     out = np.zeros(VOCABULARY + 1, bool)
     for piece, i in vocabulary.items():
         out[i] = piece.endswith("</w>")
@@ -94,7 +95,7 @@ def word_ends(path: str) -> np.ndarray:
 def _read(path: str, parts: int):
     """Blocks, word lists, training windows and context counts of the texts of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, closes = word_bpe(path), word_ends(path)
+        bpe, closes = word_bpe(path, CACHE_WORDS), word_ends(path)
         counts = np.zeros((VOCABULARY, A.CONTEXTS), np.int32)
         block = TaskContext.get().partitionId() << 32
         for batch in by_size(batches, "body", BLOCK):
@@ -288,11 +289,14 @@ def lm_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenize
     added = read.where(F.col("kind") == WORDS).select("block", "part", "a", "b").groupBy("part").applyInPandas(
         _add_up, "block long, part int, counts binary, v long, n long")
     added = stage.save(added, "added")
+    stage.drop(f"read/kind={WORDS}")
     words = added.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
     learnt = texts.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     total, distinct = (words["n"] or 0) + learnt, (words["v"] or 0) + (learnt > 0)
 
     tables, weights = fit(stage, read.where(F.col("kind") == WINDOWS), read.where(F.col("kind") == CELLS))
+    stage.drop(f"read/kind={WINDOWS}")
+    stage.drop(f"read/kind={CELLS}")
     shared = spark.sparkContext.broadcast((tables, weights, stage.root))
     counts = added.groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("parts"))
     scored = texts.select("block", "keys", "held", "a", "b", "c", "d").join(counts, "block", "left") \

@@ -41,9 +41,11 @@ class WordBpe:
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
     SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+\Z")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int | None = None):
         from tokenizers import Tokenizer
 
+        self.most_words, self.most_pieces = cache or CACHE_WORDS, cache or CACHE_PIECES
+
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         letters = _byte_letters()
@@ -56,7 +58,7 @@ class WordBpe:
         if got is None:
             text = p if p.isascii() else "".join(self.letter.get(c, c) for c in p)
             got = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-            if len(self.pieces) >= CACHE_PIECES:
+            if len(self.pieces) >= self.most_pieces:
                 self.pieces.clear()
             self.pieces[p] = got
         return got
@@ -69,7 +71,7 @@ class WordBpe:
 
     def lookup(self):
         """A function from a word's bytes to its packed ids."""
-        if len(self.words) >= CACHE_WORDS:
+        if len(self.words) >= self.most_words:
             self.words.clear()
         return self.words.__getitem__
 
@@ -90,8 +92,8 @@ class _Words(dict):
 _LOADED: dict[str, WordBpe] = {}
 
 
-def word_bpe(path: str) -> WordBpe:
-    """One tokenizer (and cache) per Python worker and file."""
+def word_bpe(path: str, cache: int | None = None) -> WordBpe:
+    """One tokenizer (and cache of so many words) per Python worker and file."""
     if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
+        _LOADED[path] = WordBpe(path, cache)
     return _LOADED[path]
