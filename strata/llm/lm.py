@@ -110,7 +110,7 @@ def _read(path: str, parts: int):
             held = batch["held"].to_numpy(zero_copy_only=False)
             yield _rows(TEXTS, block=[block], keys=[batch["id"].to_pylist()], held=[held.tolist()],
                         a=[word_at.astype(np.int64).tobytes()], b=[words.astype(np.uint32).tobytes()],
-                        c=[np.diff(id_at).astype(np.uint16).tobytes()], d=[ids.tobytes()])
+                        c=[np.diff(id_at).astype(np.uint32).tobytes()], d=[ids.tobytes()])
             learnt = np.repeat(~held, np.diff(word_at))
             tf = np.bincount(words[learnt], minlength=len(hashes)).astype(np.uint32)
             cut = np.searchsorted(part_of(hashes, parts), np.arange(parts + 1))
@@ -236,7 +236,7 @@ def _score(shared, path: str, total: int, distinct: int, learnt: int):
     def one(row: dict) -> pa.RecordBatch:
         word_at, words = np.frombuffer(row["a"], np.int64), np.frombuffer(row["b"], np.uint32).astype(np.int64)
         ids = np.frombuffer(row["d"], np.uint16)
-        id_at = np.concatenate([[0], np.cumsum(np.frombuffer(row["c"], np.uint16), dtype=np.int64)])
+        id_at = np.concatenate([[0], np.cumsum(np.frombuffer(row["c"], np.uint32), dtype=np.int64)])
         parts = sorted((x["part"], x["counts"]) for x in row["parts"] or ())
         counts = np.frombuffer(b"".join(x for _, x in parts), np.uint32).astype(np.int64)
         # each text's words, closed by the end

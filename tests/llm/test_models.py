@@ -155,6 +155,17 @@ def test_scores_of_empty_and_untrained_tables(docs_of):
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (4, 0, 0, 0.0) and math.isfinite(r["score"])
 
 
+def test_a_word_of_many_ids_leaves_its_neighbours_alone(docs_of):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["the", "stone", "river", "of", "lamp"]) for _ in range(40))) for i in range(30)]
+    held = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2)  # no part in training
+    digits = "7" * 70_000  # one id each
+    short, long = ({r["doc_id"]: r["attention_score"] for r in lm.lm_scores(docs_of([*rows, (held, t)], 1)).collect()}
+                   for t in ("77", digits))
+    assert all(math.isclose(short[i], long[i], rel_tol=1e-3) for i, _ in rows)
+    assert long[held] < 1000 * short[held]
+
+
 # web archives --------------------------------------------------------------------------------------
 
 def lines_of(data: bytes):
