@@ -100,8 +100,8 @@ def mask(age: np.ndarray) -> np.ndarray:
     return np.stack([rest, first]).astype(np.float32)
 
 
-def windows(ids: np.ndarray, sizes: np.ndarray, end: int, none: int) -> tuple[np.ndarray, ...]:
-    """Windows over all texts: (keys (n, KEYS), targets (n, QUERIES), is a text's first, text).
+def windows(ids: np.ndarray, sizes: np.ndarray, end: int, none: int, pick=slice(None)) -> tuple[np.ndarray, ...]:
+    """Windows over all texts, or those at ``pick``: (keys (n, KEYS), targets (n, QUERIES), is a text's first, text).
 
     ``ids`` holds the texts one after the other, each closed by ``end``; the
     id before a text's first is ``end``, too.  Targets past a text are -1.
@@ -109,6 +109,7 @@ def windows(ids: np.ndarray, sizes: np.ndarray, end: int, none: int) -> tuple[np
     blocks = -(-sizes // QUERIES)
     text = np.repeat(np.arange(len(sizes)), blocks)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    text, nth = text[pick], nth[pick]
     begin = np.cumsum(sizes) - sizes
     place = nth[:, None] * QUERIES + np.arange(QUERIES)
     inside = place < sizes[text][:, None]
@@ -135,31 +136,40 @@ class Scorer:
         self.own = tables.code @ w["h"][:CODE] + w["hb"]
         self.mask = mask(w["age"])
         # a class without ids takes no probability
-        self.bias = np.where(np.bincount(tables.kind, minlength=CLASSES) > 0, w["ob"], HIDE)
+        self.bias = np.where(np.bincount(tables.kind, minlength=CLASSES) > 0, w["ob"], HIDE).astype(np.float32)[:, None]
+        self.o = np.ascontiguousarray(w["o"].T)
 
-    def log_probs(self, ids: np.ndarray, sizes: np.ndarray, end: int, step: int = 512) -> np.ndarray:
+    def log_probs(self, ids: np.ndarray, sizes: np.ndarray, end: int, step: int = 128) -> np.ndarray:
         """Natural-log probability of each id; ``ids`` and ``sizes`` as for ``windows``."""
-        keys, target, first, _ = windows(ids, sizes, end, len(self.t.code) - 1)
         out, done = np.empty(len(ids)), 0
-        pick = first.astype(np.int64)
-        h2 = self.w["h"][CODE:]
-        for i in range(0, len(keys), step):
-            x, y = keys[i:i + step], target[i:i + step].ravel()
-            now = x[:, QUERIES:]
-            a = self.q[now] @ self.k[x].transpose(0, 2, 1)
-            a += self.mask[pick[i:i + step]]
-            a -= a.max(-1, keepdims=True)
-            np.exp(a, out=a)
-            mixed = (a @ self.v[x]) / a.sum(-1, keepdims=True)
-            z = np.maximum(self.own[now] + mixed @ h2, 0).reshape(-1, HIDDEN) @ self.w["o"]
-            z += self.bias
-            z -= z.max(-1, keepdims=True)
-            real = np.flatnonzero(y >= 0)
-            z, y = z[real], y[real]
-            logp = z[np.arange(len(z)), self.t.kind[y]] + self.t.inside[y, self.context[now.ravel()[real]]]
-            np.exp(z, out=z)
-            out[done:done + len(y)] = logp - np.log(z.sum(-1))
-            done += len(y)
+        h2 = self.w["h"][CODE:].T
+        many = int((-(-sizes // QUERIES)).sum())
+        some = max(16 * step, -(-many // 64))  # windows built at a time
+        for j in range(0, many, some):
+            keys, target, first, _ = windows(ids, sizes, end, len(self.t.code) - 1, slice(j, j + some))
+            pick = first.astype(np.int64)
+            for i in range(0, len(keys), step):
+                x, y = keys[i:i + step], target[i:i + step].ravel()
+                now = x[:, QUERIES:]
+                a = self.q[now] @ self.k[x].transpose(0, 2, 1)
+                a += self.mask[pick[i:i + step]]
+                a -= a.max(-1, keepdims=True)
+                np.exp(a, out=a)
+                mixed = (a @ self.v[x]) / a.sum(-1, keepdims=True)
+                now = now.ravel()
+                # positions are columns, so that sums over classes run along rows
+                z = h2 @ mixed.reshape(-1, CODE).T
+                z += self.own[now].T
+                np.maximum(z, 0, out=z)
+                z = self.o @ z
+                z += self.bias
+                z -= z.max(0)
+                real = np.flatnonzero(y >= 0)
+                y = y[real]
+                logp = z[self.t.kind[y], real] + self.t.inside[y, self.context[now[real]]]
+                np.exp(z, out=z)
+                out[done:done + len(y)] = logp - np.log(z.sum(0)[real])
+                done += len(y)
         return out
 
 
@@ -167,36 +177,46 @@ def step(tables: Tables, w: dict[str, np.ndarray], keys: np.ndarray, target: np.
          first: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Loss per id (of the class) and gradients of a batch of windows."""
     e = tables.code[keys]
-    now = e[:, QUERIES:]
+    now = np.ascontiguousarray(e[:, QUERIES:]).reshape(-1, CODE)
+    flat, n = e.reshape(-1, CODE), len(keys)
     scale = np.float32(CODE ** -0.5)
-    q, k, v = now @ w["q"] * scale, e @ w["k"], e @ w["v"]
-    s = q @ k.transpose(0, 2, 1) + mask(w["age"])[first.astype(np.int64)]
-    s -= s.max(-1, keepdims=True)
-    a = np.exp(s)
+    q = (now @ (w["q"] * scale)).reshape(n, QUERIES, CODE)
+    k, v = (flat @ w["k"]).reshape(e.shape), (flat @ w["v"]).reshape(e.shape)
+    a = q @ k.transpose(0, 2, 1)
+    a += mask(w["age"])[first.astype(np.int64)]
+    a -= a.max(-1, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(-1, keepdims=True)
-    mixed = a @ v
-    both = np.concatenate([now, mixed], -1)
-    pre = both @ w["h"] + w["hb"]
-    h = np.maximum(pre, 0)
-    lp = log_softmax(h @ w["o"] + w["ob"])
-    real = target >= 0
-    n = max(int(real.sum()), 1)
-    kind = tables.kind[np.where(real, target, 0)]
-    b, t = np.indices(kind.shape)
-    loss = -float(lp[b, t, kind][real].sum()) / n
-    dz = np.exp(lp)
-    dz[b, t, kind] -= 1
-    dz *= (real / np.float32(n))[..., None]
-    g = {"o": h.reshape(-1, HIDDEN).T @ dz.reshape(-1, CLASSES), "ob": dz.sum((0, 1))}
-    dpre = (dz @ w["o"].T) * (pre > 0)
-    g["h"], g["hb"] = both.reshape(-1, 2 * CODE).T @ dpre.reshape(-1, HIDDEN), dpre.sum((0, 1))
-    dmixed = (dpre @ w["h"].T)[..., CODE:]
-    da = dmixed @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True))
-    dv, dq, dk = a.transpose(0, 2, 1) @ dmixed, ds @ k * scale, ds.transpose(0, 2, 1) @ q
-    flat = e.reshape(-1, CODE).T
-    g["v"], g["k"] = flat @ dv.reshape(-1, CODE), flat @ dk.reshape(-1, CODE)
-    g["q"] = now.reshape(-1, CODE).T @ dq.reshape(-1, CODE)
+    mixed = (a @ v).reshape(-1, CODE)
+    # from here on positions are columns, so that sums over classes run along rows
+    h = w["h"][:CODE].T @ now.T
+    h += w["h"][CODE:].T @ mixed.T
+    h += w["hb"][:, None]
+    np.maximum(h, 0, out=h)
+    dz = w["o"].T @ h
+    dz += w["ob"][:, None]
+    dz -= dz.max(0)
+    target = target.ravel()
+    real = np.flatnonzero(target >= 0)
+    kind = tables.kind[target[real]]
+    hit = dz[kind, real]
+    np.exp(dz, out=dz)
+    total = dz.sum(0)
+    count = max(len(real), 1)
+    loss = -float((hit - np.log(total[real])).sum()) / count
+    dz *= (target >= 0) / (total * np.float32(count))
+    dz[kind, real] -= np.float32(1 / count)
+    g = {"o": h @ dz.T, "ob": dz.sum(1)}
+    dpre = w["o"] @ dz
+    dpre *= h > 0
+    g["h"], g["hb"] = np.concatenate([now.T @ dpre.T, mixed.T @ dpre.T]), dpre.sum(1)
+    dmixed = (dpre.T @ w["h"][CODE:].T).reshape(q.shape)
+    ds = dmixed @ v.transpose(0, 2, 1)
+    ds -= (ds * a).sum(-1, keepdims=True)
+    ds *= a
+    dv, dq, dk = a.transpose(0, 2, 1) @ dmixed, ds @ k, ds.transpose(0, 2, 1) @ q
+    g["v"], g["k"] = flat.T @ dv.reshape(-1, CODE), flat.T @ dk.reshape(-1, CODE)
+    g["q"] = now.T @ dq.reshape(-1, CODE) * scale
     g["age"] = np.bincount(_AGE.clip(0).ravel(), (ds.sum(0) * (_AGE >= 0)).ravel(), KEYS).astype(np.float32)
     return loss, g
 
@@ -205,16 +225,21 @@ class Learner:
     """Adam steps over batches of windows, from weights ``w``."""
 
     def __init__(self, tables: Tables, w: dict[str, np.ndarray], rate: float):
-        self.tables, self.w, self.rate, self.steps = tables, {k: x.copy() for k, x in w.items()}, rate, 0
-        self.m1, self.m2 = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
+        self.tables, self.rate, self.steps = tables, rate, 0
+        # one flat vector that the weights are views of
+        self.names = list(w)
+        self.flat = np.concatenate([w[k].ravel() for k in self.names])
+        cuts = np.cumsum([w[k].size for k in self.names])[:-1]
+        self.w = {k: x.reshape(w[k].shape) for k, x in zip(self.names, np.split(self.flat, cuts))}
+        self.m1, self.m2 = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def learn(self, keys: np.ndarray, target: np.ndarray, first: np.ndarray, batch: int = 64) -> None:
         for i in range(0, len(keys), batch):
             self.steps += 1
             t = self.steps
             _, g = step(self.tables, self.w, keys[i:i + batch], target[i:i + batch], first[i:i + batch])
-            for k, w in self.w.items():
-                self.m1[k] = 0.9 * self.m1[k] + 0.1 * g[k]
-                self.m2[k] = 0.99 * self.m2[k] + 0.01 * g[k] ** 2
-                w -= (self.rate * min(1.0, t / 20) * (self.m1[k] / (1 - 0.9 ** t))
-                      / (np.sqrt(self.m2[k] / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
+            g = np.concatenate([g[k].ravel() for k in self.names])
+            self.m1 = 0.9 * self.m1 + 0.1 * g
+            self.m2 = 0.99 * self.m2 + 0.01 * g ** 2
+            self.flat -= (self.rate * min(1.0, t / 20) * (self.m1 / (1 - 0.9 ** t))
+                          / (np.sqrt(self.m2 / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)

@@ -8,9 +8,10 @@
    word's count is ever held for the whole corpus in one place.
 3. The attention model (attention.py) takes its classes and shares from the
    counts of every subword in its context over all training texts, and its
-   weights from gradient descent on every ``EVERY``-th window of the training
-   texts: each part of the data takes its own steps, and the parts' weights
-   are averaged (``ROUNDS`` times).  Both grow with the corpus.
+   weights from gradient descent on all windows of the training texts: each
+   part of the data takes its own steps on a share of its windows, another one
+   in each of ``ROUNDS`` rounds, and the parts' weights are averaged after each.
+   Both grow with the corpus.
 4. Every text is scored in overlapping windows, each id once.  The score takes
    each word's probability as (1 - WORD_SHARE) times the attention model's,
    multiplied over its subword ids, and WORD_SHARE times its share of the
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -35,26 +37,26 @@ from pyspark.sql import functions as F
 from . import attention as A
 from .bytesnp import LOWER, buffer_of, by_size, word_hashes, word_spans
 from .common import Stage, bytes_of, query, table
-from .subwords import default_path, word_bpe
+from .subwords import default_path, forget, word_bpe
 
 BLOCK = 2 << 20
 CACHE_WORDS = 200_000  # per Python worker; a block looks each of its words up once
 DOCS_PER_PART = 4096
-EVERY, ROUNDS = 24, 3
+AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4", "spark.sql.parquet.columnarReaderBatchSize": "4"}
+ROUNDS = 3
 RATES = (1e-2, 5e-3, 2e-3)
 LEAST_STEPS = 120  # a part's windows are gone over again until it has taken so many steps
 WORD_SHARE = 0.2
 HOLD_MODULUS, HOLD_REST = 7, 2
 VOCABULARY, END = 49408, 49407  # of the tokenizer; its end-of-text id closes a text
 NO_IDS = -50.0  # natural log for a word that the tokenizer gives no ids
-PAST = 65535
 
 ROWS = ("kind int, block long, part int, keys array<long>, held array<boolean>, a binary, b binary, c binary, "
         "d binary, cells array<long>, counts array<long>")
 NAMES = [c.split()[0] for c in ROWS.split(", ")]
 TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4,
          pa.list_(pa.int64()), pa.list_(pa.int64())]
-TEXTS, WORDS, WINDOWS, CELLS = range(4)
+TEXTS, WORDS, CELLS = range(3)
 
 
 def _rows(kind: int, **columns: list) -> pa.RecordBatch:
@@ -93,7 +95,7 @@ def word_ends(path: str) -> np.ndarray:
 
 
 def _read(path: str, parts: int):
-    """Blocks, word lists, training windows and context counts of the texts of a task."""
+    """Blocks, word lists and context counts of the texts of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, closes = word_bpe(path, CACHE_WORDS), word_ends(path)
         counts = np.zeros((VOCABULARY, A.CONTEXTS), np.int32)
@@ -128,12 +130,6 @@ def _read(path: str, parts: int):
                 before[begin] = END
                 cell, n = np.unique(flat * A.CONTEXTS + A.contexts(before, closes), return_counts=True)
                 counts.ravel()[cell] += n.astype(np.int32)
-                keys, target, start, _ = A.windows(flat, sizes, END, VOCABULARY)
-                pick = np.arange(block * 7 % EVERY, len(keys), EVERY)
-                if len(pick):
-                    yield _rows(WINDOWS, block=[block], a=[keys[pick].astype(np.uint16).tobytes()],
-                                b=[np.where(target[pick] < 0, PAST, target[pick]).astype(np.uint16).tobytes()],
-                                c=[start[pick].tobytes()])
             block += 1
         cell = np.flatnonzero(counts)
         if len(cell):
@@ -142,6 +138,28 @@ def _read(path: str, parts: int):
     return run
 
 
+def ids_of(row: dict) -> tuple[np.ndarray, ...]:
+    """Words per text (as offsets), words, ids and ids per word (as offsets) of a block's row."""
+    id_at = np.concatenate([[0], np.cumsum(np.frombuffer(row["c"], np.uint32), dtype=np.int64)])
+    return (np.frombuffer(row["a"], np.int64), np.frombuffer(row["b"], np.uint32).astype(np.int64),
+            np.frombuffer(row["d"], np.uint16), id_at)
+
+
+def training_windows(row: dict, r: int) -> tuple[np.ndarray, ...]:
+    """Round ``r``'s share of the windows of a block's training texts: (keys, targets, is a text's first).
+
+    The shares are dealt at random; together they hold every window once.
+    """
+    word_at, words, ids, id_at = ids_of(row)
+    learnt = ~np.array(row["held"], bool)
+    flat, sizes, _ = expand(words, word_at, ids, id_at)
+    flat, sizes = flat[np.repeat(learnt, sizes)], sizes[learnt]
+    dealt = np.random.default_rng(row["block"]).permutation(int((-(-sizes // A.QUERIES)).sum()))
+    if not len(dealt):
+        return np.empty((0, A.KEYS), np.int64), np.empty((0, A.QUERIES), np.int64), np.empty(0, bool)
+    return A.windows(flat, sizes, END, VOCABULARY, dealt[r::ROUNDS])[:3]
+
+
 def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of a part's words, one row for each block's list; ``v``, ``n``: distinct and all words."""
     lists = [np.frombuffer(x, np.uint64) for x in pdf["a"]]
@@ -164,8 +182,21 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def fit(stage: Stage, windows: DataFrame, cells: DataFrame) -> tuple[A.Tables, dict[str, np.ndarray]]:
-    """Tables and weights from the training windows and context counts of all blocks."""
+@contextmanager
+def few_rows_at_once(spark: SparkSession) -> Iterator[None]:
+    """Blocks are rows of some MB: jobs run inside hold a few of them at a time."""
+    before = {k: spark.conf.get(k) for k in AT_ONCE}
+    try:
+        for k, n in AT_ONCE.items():
+            spark.conf.set(k, n)
+        yield
+    finally:
+        for k, n in before.items():
+            spark.conf.set(k, n)
+
+
+def fit(stage: Stage, texts: DataFrame, cells: DataFrame) -> tuple[A.Tables, dict[str, np.ndarray]]:
+    """Tables and weights from the texts and context counts of all blocks."""
     spark = stage.spark
     summed = cells.select(F.explode(F.arrays_zip("cells", "counts")).alias("x")).groupBy(F.col("x.cells").alias("cell")) \
         .agg(F.sum("x.counts").alias("n")).toPandas()  # at most vocabulary x contexts rows
@@ -180,14 +211,13 @@ def fit(stage: Stage, windows: DataFrame, cells: DataFrame) -> tuple[A.Tables, d
         def learn(batches: Iterator[pa.RecordBatch], r=r, given=given) -> Iterator[pa.RecordBatch]:
             own = A.Tables(*shared.value, np.empty(0))
             learner, n = A.Learner(own, _unpack(given), RATES[r]), 0
+            forget()  # all words are cut by now
             last: list = []
             for batch in batches:
-                for a, b, c in zip(*(batch[x].to_pylist() for x in "abc")):
-                    keys = np.frombuffer(a, np.uint16).reshape(-1, A.KEYS).astype(np.int64)[r::ROUNDS]
-                    target = np.frombuffer(b, np.uint16).reshape(-1, A.QUERIES).astype(np.int64)[r::ROUNDS]
-                    some = keys, np.where(target == PAST, -1, target), np.frombuffer(c, bool)[r::ROUNDS]
+                for i in range(batch.num_rows):
+                    some = training_windows(batch.slice(i, 1).to_pylist()[0], r)
                     learner.learn(*some)
-                    n += len(keys)
+                    n += len(some[0])
                     if learner.steps < LEAST_STEPS:
                         last.append(some)
             while n and learner.steps < LEAST_STEPS:
@@ -204,8 +234,9 @@ def fit(stage: Stage, windows: DataFrame, cells: DataFrame) -> tuple[A.Tables, d
             return pd.DataFrame({"grp": pdf["grp"][:1], "n": [int(n.sum())], "w": [mean.astype(np.float32).tobytes()]})
 
         shape = "grp int, n long, w binary"
-        got = windows.select("a", "b", "c").mapInArrow(learn, shape).where("n > 0") \
-            .groupBy("grp").applyInPandas(lambda pdf: average(pdf), shape).collect()  # 64 rows at most
+        with few_rows_at_once(spark):
+            got = texts.select("block", "held", "a", "b", "c", "d").mapInArrow(learn, shape).where("n > 0") \
+                .groupBy("grp").applyInPandas(lambda pdf: average(pdf), shape).collect()  # 64 rows at most
         if not got:
             break
         got.sort(key=lambda x: x["grp"])
@@ -217,26 +248,24 @@ def fit(stage: Stage, windows: DataFrame, cells: DataFrame) -> tuple[A.Tables, d
 _SCORERS: dict[str, A.Scorer] = {}
 
 
-def _scorer(shared, path: str) -> A.Scorer:
+def _scorer(shared) -> A.Scorer:
     """One per Python worker."""
-    tables, weights, token = shared.value
+    tables, weights, closes, token = shared.value
     if token not in _SCORERS:
         _SCORERS.clear()
-        _SCORERS[token] = A.Scorer(tables, weights, word_ends(path))
+        _SCORERS[token] = A.Scorer(tables, weights, closes)
     return _SCORERS[token]
 
 
 OUT = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, attention_score double"
 
 
-def _score(shared, path: str, total: int, distinct: int, learnt: int):
+def _score(shared, total: int, distinct: int, learnt: int):
     """Scores of the blocks' texts."""
     lowest = total + distinct + 1
 
     def one(row: dict) -> pa.RecordBatch:
-        word_at, words = np.frombuffer(row["a"], np.int64), np.frombuffer(row["b"], np.uint32).astype(np.int64)
-        ids = np.frombuffer(row["d"], np.uint16)
-        id_at = np.concatenate([[0], np.cumsum(np.frombuffer(row["c"], np.uint32), dtype=np.int64)])
+        word_at, words, ids, id_at = ids_of(row)
         parts = sorted((x["part"], x["counts"]) for x in row["parts"] or ())
         counts = np.frombuffer(b"".join(x for _, x in parts), np.uint32).astype(np.int64)
         # each text's words, closed by the end
@@ -244,7 +273,7 @@ def _score(shared, path: str, total: int, distinct: int, learnt: int):
         c = np.insert(counts[words], word_at[1:], learnt)
         first = word_at[:-1] + np.arange(texts)
         flat, sizes, per_word = expand(words, word_at, ids, id_at)
-        run = np.concatenate([[0], np.cumsum(_scorer(shared, path).log_probs(flat, sizes, END))])
+        run = np.concatenate([[0], np.cumsum(_scorer(shared).log_probs(flat, sizes, END))])
         ends = np.cumsum(per_word)
         model = np.where(per_word > 0, run[ends] - run[ends - per_word], NO_IDS)
         plain = np.add.reduceat(np.log10((c + 1) / lowest), first)
@@ -294,13 +323,16 @@ def lm_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenize
     learnt = texts.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     total, distinct = (words["n"] or 0) + learnt, (words["v"] or 0) + (learnt > 0)
 
-    tables, weights = fit(stage, read.where(F.col("kind") == WINDOWS), read.where(F.col("kind") == CELLS))
-    stage.drop(f"read/kind={WINDOWS}")
+    tables, weights = fit(stage, texts, read.where(F.col("kind") == CELLS))
     stage.drop(f"read/kind={CELLS}")
-    shared = spark.sparkContext.broadcast((tables, weights, stage.root))
+    shared = spark.sparkContext.broadcast((tables, weights, word_ends(path), stage.root))
     counts = added.groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("parts"))
     scored = texts.select("block", "keys", "held", "a", "b", "c", "d").join(counts, "block", "left") \
-        .select("keys", "held", "a", "b", "c", "d", "parts").mapInArrow(_score(shared, path, total, distinct, learnt), OUT)
+        .select("keys", "held", "a", "b", "c", "d", "parts").mapInArrow(_score(shared, total, distinct, learnt), OUT)
+    with few_rows_at_once(spark):
+        scored = stage.save(scored, "scored")
+    stage.drop("read")
+    stage.drop("added")
     return scored.select(F.col("id").alias(key), "held_out", "n_tokens", "n_known",
                          F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "attention_score")
 

@@ -97,3 +97,8 @@ def word_bpe(path: str, cache: int | None = None) -> WordBpe:
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path, cache)
     return _LOADED[path]
+
+
+def forget() -> None:
+    """Free the tokenizers and word caches of this Python worker."""
+    _LOADED.clear()

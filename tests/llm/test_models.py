@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from strata.llm import attention, lm, quality, warc
+from strata.llm import attention, lm, quality, subwords, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -166,6 +166,24 @@ def test_a_word_of_many_ids_leaves_its_neighbours_alone(docs_of):
     assert long[held] < 1000 * short[held]
 
 
+def test_rounds_learn_every_window_of_the_training_texts_once(docs_of):
+    rng = random.Random(6)
+    held = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
+    rows = [(i, " ".join(rng.choice(["the", "stone", "river", "of", "lamp"]) for _ in range(rng.choice([0, 1, 30, 900])))) for i in range(60)]
+    docs = docs_of(rows).selectExpr("doc_id as id", "crc32(cast(cast(doc_id as string) as binary)) % 7 = 2 as held", "cast(text as binary) as body")
+    blocks = [r.asDict() for r in docs.mapInArrow(lm._read(subwords.default_path(), 8), lm.ROWS).where(f"kind = {lm.TEXTS}").collect()]
+    shares = [[lm.training_windows(b, r) for b in blocks] for r in range(lm.ROUNDS)]
+    assert all(sum(len(keys) for keys, *_ in share) for share in shares)
+    got = Counter((tuple(k), tuple(t), f) for share in shares for x in share for k, t, f in zip(*map(np.ndarray.tolist, x)))
+    bpe, want = subwords.WordBpe(subwords.default_path()), Counter()
+    for k, text in rows:
+        if not held(k):
+            ids = np.append(np.frombuffer(bpe.packed(text.encode()), "<u4").astype(np.int64), lm.END)
+            keys, target, first, _ = attention.windows(ids, np.array([len(ids)]), lm.END, lm.VOCABULARY)
+            want.update((tuple(a), tuple(b), c) for a, b, c in zip(keys.tolist(), target.tolist(), first.tolist()))
+    assert got == want
+
+
 # web archives --------------------------------------------------------------------------------------
 
 def lines_of(data: bytes):
