@@ -41,7 +41,7 @@ from .subwords import default_path, forget, word_bpe
 
 BLOCK = 2 << 20
 CACHE_WORDS = 200_000  # per Python worker; a block looks each of its words up once
-DOCS_PER_PART = 4096
+PART_BYTES = 32 << 20  # of text for each part that adds up counts; its word lists take a few times that at most
 AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4", "spark.sql.parquet.columnarReaderBatchSize": "4"}
 ROUNDS = 3
 RATES = (1e-2, 5e-3, 2e-3)
@@ -292,6 +292,12 @@ def _score(shared, total: int, distinct: int, learnt: int):
     return run
 
 
+def parts_for(docs: DataFrame, text: str = "text") -> int:
+    """How many parts add up the word counts: by bytes, as texts may be of any length."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    return max(8, -(-size // PART_BYTES))
+
+
 def lm_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: str | None = None) -> DataFrame:
     """Score every text by models learnt from those whose key's crc32 is not ``HOLD_REST`` modulo ``HOLD_MODULUS``.
 
@@ -309,7 +315,7 @@ def lm_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenize
     spark = docs.sparkSession
     stage = Stage(spark, "lm")
     path = tokenizer or default_path()
-    parts = max(8, -(-docs.count() // DOCS_PER_PART))
+    parts = parts_for(docs, text)
     held = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % HOLD_MODULUS == HOLD_REST
     rows = docs.select(F.col(key).cast("long").alias("id"), held.alias("held"), bytes_of(text).alias("body"))
     read = stage.save(rows.mapInArrow(_read(path, parts), ROWS), "read", by=("kind",))

@@ -184,6 +184,12 @@ def test_rounds_learn_every_window_of_the_training_texts_once(docs_of):
     assert got == want
 
 
+def test_parts_follow_the_bytes_of_the_texts(docs_of, monkeypatch):
+    monkeypatch.setattr(lm, "PART_BYTES", 10_000)
+    assert lm.parts_for(docs_of([(1, "é" * 100_000), (2, None), (3, "x" * 5)])) == 21
+    assert lm.parts_for(docs_of([(i, "x") for i in range(50)])) == lm.parts_for(docs_of([])) == 8
+
+
 # web archives --------------------------------------------------------------------------------------
 
 def lines_of(data: bytes):
