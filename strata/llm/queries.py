@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, lm, minhash, mixing, packing, quality, suffix_dedup, topk, warc  # noqa: F401
+from . import (  # noqa: F401
+    byte_bpe,
+    exact_dedup,
+    fim,
+    line_dedup,
+    lm,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    suffix_dedup,
+    topk,
+    warc,
+)
 from .common import QUERIES
 
 __all__ = ["QUERIES"]
