@@ -99,6 +99,7 @@ def _transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         output = pc.replace_with_mask(body, moved, made)
         yield pa.RecordBatch.from_arrays([batch["id"], batch["n"], form, batch["prefix_chars"], batch["middle_chars"], output],
                                          names=["id", "n", "form", "prefix_chars", "middle_chars", "output"])
+        pa.default_memory_pool().release_unused()
 
 
 def fill_in_middle(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 1,
@@ -138,7 +139,7 @@ def _restored(output: pa.Array, form: pa.Array) -> pa.Array:
     """The texts that outputs were made of: a mark occurs once, at its place."""
     out = output
     for kind, begin, between in ((PSM, PREFIX, SUFFIX), (SPM, SUFFIX, PREFIX)):
-        mine = pc.equal(form, kind)
+        mine = pc.fill_null(pc.equal(form, kind), False)
         ends = pc.split_pattern(pc.filter(output, mine), MIDDLE, max_splits=1)
         head, middle = pc.list_element(ends, 0), pc.list_element(ends, 1)
         both = pc.split_pattern(head, between, max_splits=1)
@@ -151,19 +152,21 @@ def _restored(output: pa.Array, form: pa.Array) -> pa.Array:
 def restore(made: DataFrame, output: str = "output", form: str = "form", name: str = "restored") -> DataFrame:
     """Add the exact text (column ``name``) rebuilt from ``output`` and ``form``; ``output`` goes.
 
-    A null output gives null, an unknown or null form is taken as plain, and
-    other columns stay.
+    A null output gives null, an unknown or null form is taken as plain, an
+    output without the marks of its form is an error, and other columns stay.
     """
     kept = [c for c in made.columns if c != output]
-    rows = made.select(F.struct(*kept).alias("row"), F.coalesce(F.col(form), F.lit(PLAIN)).alias("form"),
-                       F.col(output).alias("body"))
-    schema = rows.select("row", F.col("body").alias("restored")).schema
+    rows = made.select(F.struct(*kept).alias("row"), F.when(F.col(output).isNotNull(), F.col(form)).alias("form"),
+                       F.coalesce(F.col(output), F.lit("")).alias("body"), F.col(output).isNull().alias("none"))
+    schema = rows.select("row", F.when(~F.col("none"), F.col("body")).alias("restored")).schema
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, "body", BATCH_BYTES):
             back = _restored(batch["body"], batch["form"])
+            back = pc.if_else(batch["none"], pa.scalar(None, pa.string()), back)
             yield pa.RecordBatch.from_arrays([batch["row"].cast(arrow.field("row").type), back], names=["row", "restored"])
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema).select("row.*", F.col("restored").alias(name))
 

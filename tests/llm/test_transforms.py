@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, fim
+from strata.llm import align, byte_bpe, fim, perfect_hash, subwords
 
 ODD = ["naïve café 日本語のテキスト。かな", "🙂👩‍👩‍👧 é́", "a <P> mark", "line\n\n two\r\n\tend ", "  lead", "\x00\x1c nul", "x" * 700,
        "I'LL can't 's <|endoftext|> <s> <0x0A>", "　wide   space ", "tail   ", "\n", " ", "half <", "P> S> <M"]
@@ -68,6 +69,12 @@ def test_fill_in_middle_edges(docs_of):
     assert {r["form"] for r in got} == {"spm"}
 
 
+def test_restore_of_odd_rows(spark):
+    made = spark.createDataFrame([(1, None, "psm"), (2, "<P>a<S>b<M>c", "psm"), (3, "x", None), (4, "<S>b<P><M>", "spm")],
+                                 "none int, output string, form string")
+    assert sorted((r["none"], r["restored"]) for r in fim.restore(made).collect()) == [(1, None), (2, "acb"), (3, "x"), (4, "b")]
+
+
 # byte-level BPE --------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -113,3 +120,94 @@ def test_cut_off_ids_give_raw_bytes(spark, whole):
     ids = whole.encode_ordinary("🙂 語")[:-1]
     got = byte_bpe.decode(spark.createDataFrame([(1, ids), (2, []), (3, None)], "k int, ids array<int>")).collect()
     assert [None if r["decoded"] is None else bytes(r["decoded"]) for r in got] == [whole.decode_bytes(ids), b"", None]
+
+
+# tokenizer alignment ---------------------------------------------------------------------------------
+
+def align_plain(rows):
+    """Links of all pairs of tokens by their byte ranges, by the two libraries on whole texts."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    path_a, path_b = align.default_paths()
+    a_of, b_of = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a_of.encode_special_tokens = True
+    letters = {c: b for b, c in subwords._byte_letters().items()}
+
+    def spans(parts):
+        at, out = 0, []
+        for p in parts:
+            out.append((at, at + len(p)))
+            at += len(p)
+        return out
+
+    docs, count = [], Counter()
+    for k, t in rows:
+        a, b, links, said = [], [], [], ""
+        if t:
+            body = (" " + t).encode()
+            a = a_of.encode(" " + t, add_special_tokens=False).ids
+            b = b_of.encode(t)
+            bytes_a = [bytes(letters[c] for c in a_of.id_to_token(i)) for i in a]
+            bytes_b = [bytes([int(b_of.id_to_piece(i)[3:5], 16)]) if b_of.is_byte(i)
+                       else b_of.id_to_piece(i).replace("▁", " ").encode() for i in b]
+            if b"".join(bytes_a) != body or b"".join(bytes_b) != body:
+                a, b = [], []
+            else:
+                sa, sb = spans(bytes_a), spans(bytes_b)
+                for (x, y), i in zip(sa, a):
+                    links += [(i, j) for (u, v), j in zip(sb, b) if u < y and x < v]
+                ends = sorted({y for _, y in sa} & {v for _, v in sb})
+                groups, low = [], 0
+                for e in ends:
+                    groups.append(",".join(str(i) for (x, y), i in zip(sa, a) if low <= x and y <= e) + "|"
+                                  + ",".join(str(j) for (u, v), j in zip(sb, b) if low <= u and v <= e))
+                    low = e
+                said = ";".join(groups)
+        count.update(links)
+        docs.append((k, len(a), len(b), said, links))
+    top = {}
+    for (_, j), n in count.items():
+        top[j] = max(top.get(j, 0), n)
+    return [(k, na, nb, len(said.split(";")) if said else 0, len(links), sum(count[x] == top[x[1]] for x in links),
+             sum(count[x] for x in links), said) for k, na, nb, said, links in docs]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_alignment_equals_brute_force(docs_of, monkeypatch, small):
+    if small:  # several parts, rounds, caches, units and levels of the tree
+        for name, n in (("PART_KEYS", 40), ("ROUND_KEYS", 300), ("CACHE_WORDS", 30), ("UNIT", 20), ("FAN_IN", 2),
+                        ("LIST_PAIRS", 16), ("JOINED", 30), ("LONG_WORD", 9)):
+            monkeypatch.setattr(align, name, n)
+    rng = random.Random(3)
+    words = ["stone", "River's", "naïve", "12,5", "x;\ry", "a▁b", "日本語。", "🙂", "end.", "<s>", "<0x0A>", "I'LL", " ", "\xa0", "\tq"]
+    rows = [(i, rng.choice([" ", " ", "\n"]).join(rng.choice(words[:-1] if i % 3 else words[:5]) for _ in range(rng.choice([1, 6, 20]))))
+            for i in range(60)]
+    rows += [(100 + i, t) for i, t in enumerate(ODD)] + [(200, None), (201, ""), (None, "null key"), (7, rows[7][1]),
+                                                         (300, "x" * 400), (301, "tail \n"), (302, "\nlead"), (303, " "), (304, "a  b")]
+    got = sorted((tuple(r) for r in align.align(docs_of(rows, parts=5)).collect()), key=repr)
+    want = sorted(align_plain(rows), key=repr)
+    assert got == want
+    assert sum(r[1] == 0 for r in want) > 2
+
+
+def test_alignment_of_an_empty_table(docs_of):
+    assert align.align(docs_of([])).collect() == []
+    assert [tuple(r)[1:] for r in align.align(docs_of([(1, None), (2, "")])).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
+
+
+def test_perfect_hash():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 31, 20_000))
+    parts = 7
+    built = [perfect_hash.build(keys[perfect_hash.part_of(keys, parts) == p]) for p in range(parts)]
+    assert perfect_hash.build(np.empty(0, np.int64))[2].tolist() == []
+    for first, last in ((0, 7), (2, 5)):
+        some = built[first:last]
+        table = perfect_hash.PerfectHash(parts, first, [s for s, _, _ in some], [b.tobytes() for _, b, _ in some])
+        mine = keys[table.mine(keys)]
+        slots = table.slots(mine)
+        assert sorted(slots.tolist()) == list(range(len(mine)))
+        assert (np.concatenate([k for _, _, k in some])[slots] == mine).all()
+    with pytest.raises(ValueError):
+        perfect_hash.build(np.array([5, 5]))
