@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
+    align,
     byte_bpe,
     exact_dedup,
     fim,
