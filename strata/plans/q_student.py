@@ -100,6 +100,8 @@ def _longitudinal_sql() -> str:
             cols.append(f"CAST({last} AS BIGINT) AS {n}_latest")
         else:
             cols.append(f"{r6(last)} AS {n}_latest")
+    for n in ("GradeLevel", "is_gifted", "RetainedFlag"):
+        cols.append(f"max(CASE WHEN rd = 1 THEN {n} END) AS {n}_latest")
     for n in names:
         last = f"max(CASE WHEN rd = 1 THEN {n} END)"
         first = f"max(CASE WHEN i = 0 THEN {n} END)"
@@ -118,7 +120,10 @@ def _longitudinal_sql() -> str:
     return f"""
 WITH feat AS (SELECT * FROM ({_illuminate_sql(rounded=False)}) x
   FULL JOIN ({_milestone_sql(rounded=False)}) y USING (mask_studentpersonkey, SchoolYearFall)
-  FULL JOIN ({_rit_sql(rounded=False)}) z USING (mask_studentpersonkey, SchoolYearFall)),
+  FULL JOIN ({_rit_sql(rounded=False)}) z USING (mask_studentpersonkey, SchoolYearFall)
+  LEFT JOIN (SELECT mask_studentpersonkey, SchoolYearNumberFall AS SchoolYearFall, GradeLevel, RetainedFlag,
+               coalesce(ActiveGiftedStudentResultRecordFlag, 'N') AS is_gifted FROM ({V.ENROL}) e0) s
+    USING (mask_studentpersonkey, SchoolYearFall)),
 r AS (SELECT *, row_number() OVER (PARTITION BY mask_studentpersonkey ORDER BY SchoolYearFall) - 1 AS i,
              row_number() OVER (PARTITION BY mask_studentpersonkey ORDER BY SchoolYearFall DESC) AS rd
       FROM feat)
@@ -129,7 +134,7 @@ FROM r GROUP BY mask_studentpersonkey
 """
 
 
-@register("longitudinal_wide", sql=_longitudinal_sql(), ops="W3-W6 over the Illuminate, Milestone and RIT features")
+@register("longitudinal_wide", sql=_longitudinal_sql(), ops="W3-W6 over the student, Illuminate, Milestone and RIT features")
 def longitudinal_wide(spark, sf_dir):
     return finish(longitudinal.longitudinal_features(all_features(spark, sf_dir), B.STUDENT, B.YEAR))
 

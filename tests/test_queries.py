@@ -14,7 +14,6 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 REG = load_all()
 MAY_BE_EMPTY = {"majors_table", "catalogue_links"}  # the layouts they parse are not in the driver's pages (see test_rules.py)
-SLOW = {"gbt_scores", "feature_importance", "scored_students", "split_80_20"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +27,7 @@ def test_against_oracle(spark, con, name):
     assert res["problems"] == [], res
 
 
-@pytest.mark.parametrize("name", sorted(n for n, q in REG.items() if not q.sql and n not in SLOW))
+@pytest.mark.parametrize("name", sorted(n for n, q in REG.items() if not q.sql))
 def test_rows_only(spark, name):
     df = REG[name].run(spark, SF_SMOKE)
     assert df.count() >= (0 if name in MAY_BE_EMPTY else 1) and len(df.columns) > 0
