@@ -82,6 +82,13 @@ class Tokenizers:
         self.length_b = np.array([len(x) for x in self.bytes_b])
         self.splits = not any(CROSSES.search(p) for p in names)
         self.lead = self.pieces.encode("x")
+        self._said: list[str] = []
+
+    def said(self) -> list[str]:
+        """Decimal ids, each followed by ``,``, ``|`` and ``;`` in turn (bounded by the vocabularies)."""
+        if not self._said:
+            self._said = [f"{i}{sign}" for i in range(max(len(self.length_a), self.n_b)) for sign in ",|;"]
+        return self._said
 
     def both(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of a text that begins with white space, or None where B's bytes are not the text's.
@@ -113,15 +120,18 @@ class Aligned:
         self.sizes = np.stack([per_segment(x) for x in (ends_a, ends_b, common, ends)], 1)
         self.groups: list[str] = []
         if texts:
-            name_a, name_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-            cut_a, cut_b = (np.searchsorted(x, common, "right").tolist() for x in (ends_a, ends_b))
-            made, i, j = [], 0, 0
-            for k, m in zip(cut_a, cut_b):
-                made.append(",".join(name_a[i:k]) + "|" + ",".join(name_b[j:m]))
-                i, j = k, m
+            # A's ids of a group, then B's: each id with the sign that follows it
+            cut_a, cut_b = (np.searchsorted(x, common, "right") for x in (ends_a, ends_b))
+            per_a, per_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+            said = np.empty(len(a) + len(b), np.int64)
+            sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+            sign_a[cut_a - 1], sign_b[cut_b - 1] = 1, 2
+            said[np.arange(len(a)) + np.repeat(cut_b - per_b, per_a)] = a * 3 + sign_a
+            said[np.arange(len(b)) + np.repeat(cut_a, per_b)] = b * 3 + sign_b
+            words = list(map(tok.said().__getitem__, said.tolist()))
             at = 0
-            for n in self.sizes[:, 2].tolist():
-                self.groups.append(";".join(made[at:at + n]))
+            for n in (self.sizes[:, 0] + self.sizes[:, 1]).tolist():
+                self.groups.append("".join(words[at:at + n])[:-1])
                 at += n
 
 
