@@ -20,10 +20,11 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import groupby
+from itertools import chain, groupby
 from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -176,27 +177,46 @@ def record_id(kind: str, *parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join((kind, *parts)))}>"
 
 
-def convert(arc: ArcRecord, name: str = "", refers_to: str | None = None) -> WarcRecord:
+@dataclass(frozen=True)
+class Known:
+    """What a pass over a record's content gives: each of its bytes is hashed once."""
+
+    head: bytes            # HTTP headers
+    payload_bytes: int
+    payload_sha1: str
+    record_id: str
+
+
+def known(arc: ArcRecord, name: str = "") -> Known:
+    """The record id names the key, url, date, headers and payload."""
+    head, payload = split_http(arc.content)
+    digest = payload_digest(payload)
+    parts = (name, arc.header["url"], warc_date(arc.header["date"]), payload_digest(head), digest)
+    return Known(head, len(payload), digest, record_id("response", *parts))
+
+
+def convert(arc: ArcRecord, name: str = "", refers_to: str | None = None, has: Known | None = None) -> WarcRecord:
     """The WARC record of an ARC record.
 
     The version block becomes a warcinfo record, HTTP content a response, and
     other content a resource.  ``refers_to`` (a record id) makes a response a
-    revisit, which keeps the HTTP headers but not the payload.
+    revisit, which keeps the HTTP headers but not the payload.  ``has`` is
+    what is known of the content.
     """
     url, date = arc.header["url"], warc_date(arc.header["date"])
     if url.startswith("filedesc://"):
         block = f"format: WARC File Format 1.1\r\nconverted-from: ARC/{arc.version} {url[11:]}\r\n".encode()
         return WarcRecord({"WARC-Type": "warcinfo", "WARC-Record-ID": record_id("warcinfo", url, date),
                            "WARC-Date": date, "Content-Type": "application/warc-fields"}, block)
-    head, payload = split_http(arc.content)
+    has = has or known(arc, name)
+    head = has.head
     kind = "revisit" if refers_to and head else "response" if head else "resource"
-    header = {"WARC-Type": kind, "WARC-Record-ID": record_id("response", name, url, date, payload_digest(arc.content)),
-              "WARC-Date": date, "WARC-Target-URI": url}
+    header = {"WARC-Type": kind, "WARC-Record-ID": has.record_id, "WARC-Date": date, "WARC-Target-URI": url}
     if arc.header["ip"] not in ("", "0.0.0.0"):
         header["WARC-IP-Address"] = arc.header["ip"]
-    header["WARC-Payload-Digest"] = "sha1:" + payload_digest(payload)
+    header["WARC-Payload-Digest"] = "sha1:" + has.payload_sha1
     block = head if kind == "revisit" else arc.content
-    header["WARC-Block-Digest"] = "sha1:" + payload_digest(block)
+    header["WARC-Block-Digest"] = "sha1:" + (payload_digest(block) if head else has.payload_sha1)
     if kind == "revisit":
         header |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": refers_to}
     header["Content-Type"] = "application/http;msgtype=response" if head else arc.header["mime"]
@@ -222,14 +242,16 @@ def parse_warc(lines: Iterator[bytes]) -> Iterator[WarcRecord]:
 
 def _by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[bytes]]]:
     """(file, its lines) for the files of a task, which come one after the other."""
-    def rows() -> Iterator[tuple[str, bytes]]:
+    def runs() -> Iterator[tuple[str, list[bytes]]]:
         for batch in batches:
-            name, value = batch["file"], batch["value"]
-            for i in range(batch.num_rows):
-                yield name[i].as_py(), value[i].as_py()
+            names, values = pc.run_end_encode(batch["file"]), batch["value"].to_pylist()
+            begin = 0
+            for end, name in zip(names.run_ends.to_pylist(), names.values.to_pylist()):
+                yield name, values[begin:end]
+                begin = end
 
-    for name, group in groupby(rows(), key=lambda r: r[0]):
-        yield name, (v for _, v in group)
+    for name, group in groupby(runs(), key=lambda r: r[0]):
+        yield name, chain.from_iterable(v for _, v in group)
 
 
 def read_records(spark: SparkSession, path: str, parse: Callable, row: Callable, schema: str) -> DataFrame:
@@ -287,7 +309,9 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
     _write(rows.mapInArrow(run, "record binary"), path, "\n")
 
 
-def http_field(head: bytes, name: str) -> str | None:
+def http_field(content: bytes, name: str) -> str | None:
+    """A field of the HTTP headers that content begins with."""
+    head, _ = split_http(content)
     found = re.search(rb"(?im)^" + name.encode() + rb":[ \t]*(.*?)\r?$", head)
     return found[1].decode("utf-8", "replace") if found else None
 
@@ -309,10 +333,9 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, min_revisit:
     def name_row(file: str, arc: ArcRecord) -> dict | None:
         if arc.header["url"].startswith("filedesc://"):
             return None
-        head, payload = split_http(arc.content)
-        warc = convert(arc, str(_page_id(head)))
-        return {"id": _page_id(head), "digest": payload_digest(payload), "n": len(payload),
-                "record_id": warc.header["WARC-Record-ID"]}
+        page = _page_id(arc.content)
+        has = known(arc, str(page))
+        return {"id": page, "digest": has.payload_sha1, "n": has.payload_bytes, "record_id": has.record_id}
 
     names = stage.save(read_records(spark, arc_path, parse_arc, name_row,
                                     "id long, digest string, n long, record_id string"), "names")
@@ -324,29 +347,27 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, min_revisit:
     again = stage.save(again.distinct(), "again")
 
     def content_row(file: str, arc: ArcRecord) -> dict:
-        head, _ = split_http(arc.content)
-        plain = convert(arc, str(_page_id(head)))
-        return {"record_id": plain.header["WARC-Record-ID"], "version": arc.version,
-                "header": list(arc.header.values()), "content": arc.content, "name": str(_page_id(head))}
+        has = known(arc, str(_page_id(arc.content)))
+        return {"record_id": has.record_id, "version": arc.version, "header": list(arc.header.values()),
+                "content": arc.content, "head": has.head, "digest": has.payload_sha1}
 
     rows = read_records(spark, arc_path, parse_arc, content_row,
-                        "record_id string, version int, header array<string>, content binary, name string")
+                        "record_id string, version int, header array<string>, content binary, head binary, digest string")
     rows = rows.join(again.hint("merge"), "record_id", "left")
 
     def to_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                info = r["header"][0].startswith("filedesc://")
                 names = ARC_FIELDS[1 if len(r["header"]) == len(ARC_FIELDS[1]) else 2]
-                warc = convert(ArcRecord(r["version"], dict(zip(names, r["header"])), r["content"]),
-                               "" if info else r["name"], r["refers_to"])
+                has = Known(r["head"], len(r["content"]) - len(r["head"]), r["digest"], r["record_id"])
+                warc = convert(ArcRecord(r["version"], dict(zip(names, r["header"])), r["content"]), "", r["refers_to"], has)
                 if r["refers_id"] is not None:
                     warc.header["X-Refers-To-Page-Id"] = str(r["refers_id"])
                 out.append(warc.to_bytes())
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    _write(rows.select("version", "header", "content", "name", "refers_to", "refers_id")
+    _write(rows.select("record_id", "version", "header", "content", "head", "digest", "refers_to", "refers_id")
            .mapInArrow(to_warc, "record binary"), warc_path, "\r\n\r\n")
 
 
