@@ -7,9 +7,8 @@ document (largest, mean and smallest per filter) by a small dense layer into
 one probability.
 
 Scale: the network is trained once on the driver from at most ``TRAIN_ROWS``
-labelled rows per label (the documented bound of a classifier's sample, taken
-by a hash of the id; training texts of more than ``TRAIN_BYTES`` bytes are
-passed over).  Scoring is a map over the texts with about 10,000 weights and
+labelled rows per label, whole, and ``TRAIN_BYTES`` bytes (the documented bound
+of a classifier's sample, taken by a hash of the id).  Scoring is a map over the texts with about 10,000 weights and
 no shuffle; every byte of every text is read.
 """
 
@@ -29,7 +28,7 @@ CHUNK, WIDTH, STRIDE = 256, 6, 2
 STEP = CHUNK - (WIDTH - STRIDE)  # chunks overlap so that every window lies in one
 FILTERS, HIDDEN = 32, 16
 WINDOWS = (CHUNK - WIDTH) // STRIDE + 1
-TRAIN_ROWS, TRAIN_BYTES = 1000, 65_536
+TRAIN_ROWS, TRAIN_BYTES = 1000, 8 << 20
 EPOCHS, BATCH = 14, 32
 THRESHOLD = 0.3
 PAD = 256
@@ -158,19 +157,31 @@ class Network:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text",
-                  key: str = "doc_id", rows: int = TRAIN_ROWS) -> list[tuple[bytes, int]]:
-    """At most ``rows`` labelled texts of each label, by a hash of the key (the bounded sample)."""
+                  key: str = "doc_id", rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> list[tuple[bytes, int]]:
+    """The bounded sample: labelled texts, whole, in the order of a hash of the key, of each label at most
+    ``rows`` and no more than fit ``most_bytes`` (the first always does).
+
+    Labels without a document are passed over; of documents that repeat a key
+    one counts.
+    """
     lab = labels.select(F.col(key).alias("id"), F.col(label).alias("y")).where("id is not null and y in (0, 1)") \
         .groupBy("id").agg(F.max("y").alias("y"))
+    body = docs.select(F.col(key).alias("id"), bytes_of(text).alias("body"))
+    sized = body.select("id", F.length("body").alias("size")).join(lab, "id").groupBy("id", "y").agg(F.max("size").alias("size"))
     order = F.md5(F.col("id").cast("string").cast("binary"))
-    picked = [r for y in (0, 1) for r in lab.where(F.col("y") == y).orderBy(order, "id").limit(rows).collect()]
+    picked = []
+    for y in (0, 1):
+        total = 0
+        for i, r in enumerate(sized.where(F.col("y") == y).orderBy(order, "id").limit(rows).collect()):
+            total += r["size"]
+            if i and total > most_bytes:
+                break
+            picked.append((r["id"], r["y"]))
     if not picked:
         return []
-    few = docs.sparkSession.createDataFrame([(r["id"], r["y"]) for r in picked], "id long, y int")
-    got = docs.select(F.col(key).alias("id"), bytes_of(text).alias("body")).join(F.broadcast(few), "id") \
-        .where(F.length("body") <= TRAIN_BYTES).collect()
-    got = sorted(((r["id"], bytes(r["body"]), int(r["y"])) for r in got))
-    return [(body, y) for _, body, y in got]
+    few = docs.sparkSession.createDataFrame(picked, "id long, y int")
+    got = body.join(F.broadcast(few), "id").groupBy("id", "y").agg(F.min("body").alias("body")).collect()
+    return [(b, y) for _, b, y in sorted((r["id"], bytes(r["body"]), int(r["y"])) for r in got)]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text",
