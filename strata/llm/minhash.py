@@ -3,13 +3,14 @@
 1. Each text's set of word shingles is hashed by ``PERMS`` universal functions;
    the minima are its signature.  Texts of one set form a class, and only one
    row of a class goes on.
-2. Bands of ``ROWS`` minima are bucket keys.  With 32 bands of 4, a pair of
-   similarity 0.8 shares no bucket with probability 5e-8.
+2. Bands of minima are bucket keys.  A band holds as many minima as let a pair
+   at the threshold share no bucket with probability ``MISS`` at most: with 32
+   bands of 4 a pair of similarity 0.8 is missed with probability 5e-8.
 3. Every member of a bucket is first paired with the bucket's smallest member,
    never with all.  Pairs are confirmed on the full sets and joined into
    components.  In a bucket whose other members still lie in different
    components, these are compared on the full sets, too: blocks of ``BLOCK``
-   members meet as units, and a unit returns no more links than it takes to
+   members (or ``BLOCK_SHINGLES`` shingles) meet as units, and a unit returns no more links than it takes to
    join what is apart.  So no link between different sets is lost to a cap.
 4. Components come from alternating large-star and small-star.
 """
@@ -29,8 +30,9 @@ from .bytesnp import by_size, mix, numbers, shingles
 from .common import Stage, bytes_of, query, table
 from .components import components
 
-PERMS, ROWS = 128, 4
-BLOCK = 1024
+PERMS = 128
+MISS = 1e-6
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 _U = np.uint64
 _A, _B = numbers(PERMS, 11) | _U(1), numbers(PERMS, 12)
 
@@ -82,20 +84,31 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PERMS)
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit key per text and band."""
-    acc = np.tile(numbers(PERMS // ROWS, 13), (len(sig), 1))
-    for r in range(ROWS):
-        acc = mix(acc * _U(5) + sig[:, r::ROWS].astype(_U))
+def rows_per_band(percent: int) -> int:
+    """The most minima a band may hold for pairs at the threshold to be missed with probability ``MISS`` at most."""
+    for rows in (4, 2, 1):
+        if (1 - (percent / 100) ** rows) ** (PERMS // rows) <= MISS:
+            return rows
+    raise ValueError(f"{PERMS} minima do not find pairs of {percent} percent")
+
+
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key per text and band of ``rows`` minima."""
+    acc = np.tile(numbers(PERMS // rows, 13), (len(sig), 1))
+    for r in range(rows):
+        acc = mix(acc * _U(5) + sig[:, r::rows].astype(_U))
     return acc.view(np.int64)
 
 
-def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = band_keys(_matrix(batch["sig"]))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(keys.ravel()), pa.array(np.repeat(batch["node"].to_numpy(), keys.shape[1]))],
-            names=["bucket", "node"])
+def _band(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = band_keys(_matrix(batch["sig"]), rows)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys.ravel()), pa.array(np.repeat(batch["node"].to_numpy(), keys.shape[1]))],
+                names=["bucket", "node"])
+
+    return run
 
 
 def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -201,7 +214,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 
     Letters A-Z count as a-z.  A text of fewer words than a shingle has its
     whole sequence as one; a null, empty or blank text has the empty set and
-    is linked with nothing.  Keys are integers.  Rows that repeat a key and
+    is linked with nothing.  A ``percent`` below what the minima can find (about
+    11) is refused.  Keys are integers.  Rows that repeat a key and
     text share a component; a row with a null key gets a null component and is
     kept.  An empty table gives an empty result.  Other columns play no part.
     ``docs`` must be re-readable (a table).
@@ -214,10 +228,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         _sign(shingle), "id long, rid long, n long, set_key binary, sig binary"), "signed")
     classes = stage.save(signed.where("n > 0 and id is not null").groupBy("set_key").agg(
         F.min(F.struct("id", "rid")).alias("first")).select("set_key", "first.*"), "classes")
-    heads = signed.join(classes.select("rid", F.col("id").alias("node")).hint("merge"), "rid").select("node", "rid", "sig")
+    heads = signed.join(classes.select("rid", F.col("id").alias("node")).hint("merge"), "rid").select("node", "rid", "n", "sig")
     heads = stage.save(heads, "heads")
 
-    banded = heads.select("node", "sig").mapInArrow(_band, "bucket long, node long")
+    banded = heads.select("node", "sig").mapInArrow(_band(rows_per_band(percent)), "bucket long, node long")
     buckets = stage.save(banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("head"))
                          .where("size > 1"), "buckets")
     members = stage.save(banded.join(buckets.hint("merge"), "bucket"), "members")
@@ -240,7 +254,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     labelled = stage.save(labelled, "labelled")
     several = labelled.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
     inside = labelled.join(stage.save(several.select("bucket"), "several").hint("merge"), "bucket")
-    inside = stage.save(inside.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")), "inside")
+    inside = stage.save(inside.join(heads.select("node", "n").hint("merge"), "node"), "sized")
+    blocks = F.ceil(F.greatest(F.max("size") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    inside = inside.drop("n").join(inside.groupBy("bucket").agg(blocks.alias("blocks")).hint("merge"), "bucket")
+    inside = stage.save(inside, "inside")
     if not inside.isEmpty():
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         units = inside.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))) \
