@@ -165,7 +165,7 @@ def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     lists = [np.frombuffer(x, np.uint64) for x in pdf["a"]]
     words, at = np.unique(np.concatenate(lists), return_inverse=True)
     total = np.bincount(at, np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["b"]]), len(words)).astype(np.int64)
-    back = np.split(total[at].astype(np.uint32), np.cumsum([len(x) for x in lists])[:-1])
+    back = np.split(total[at], np.cumsum([len(x) for x in lists])[:-1])
     first = np.arange(len(pdf)) == 0
     return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "counts": [x.tobytes() for x in back],
                          "v": np.where(first, int((total > 0).sum()), 0), "n": np.where(first, int(total.sum()), 0)})
@@ -267,7 +267,7 @@ def _score(shared, total: int, distinct: int, learnt: int):
     def one(row: dict) -> pa.RecordBatch:
         word_at, words, ids, id_at = ids_of(row)
         parts = sorted((x["part"], x["counts"]) for x in row["parts"] or ())
-        counts = np.frombuffer(b"".join(x for _, x in parts), np.uint32).astype(np.int64)
+        counts = np.frombuffer(b"".join(x for _, x in parts), np.int64)
         # each text's words, closed by the end
         texts = len(word_at) - 1
         c = np.insert(counts[words], word_at[1:], learnt)
