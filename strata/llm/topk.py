@@ -37,10 +37,10 @@ SCALE = 256
 _LONG = np.iinfo(np.int64)
 
 
-def vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, v) of the usable vectors: no null, no NaN, no infinity; of rows that repeat a key the greatest."""
+def vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
+    """(id, v) of the usable vectors: no null, no NaN, no infinity, scaled or not; of rows that repeat a key the greatest."""
     v = F.col(vector).cast("array<double>")
-    usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < F.lit(float("inf"))))
     return df.select(F.col(key).cast("long").alias("id"), v.alias("v")) \
         .where(F.col("id").isNotNull() & F.col("v").isNotNull() & usable) \
         .groupBy("id").agg(F.max("v").alias("v"))
@@ -132,14 +132,14 @@ def top_k(df: DataFrame, queries: Column, k: int = K, key: str = "vec_id", vecto
     ``queries`` is a condition on the column ``id`` (the key).  Components x
     count as floor(scale * x).  Every usable vector but the query's own is a
     candidate; ties go to the smaller key; a query with fewer candidates gets
-    all of them.  Vectors that are null or hold a null or non-finite
-    component, and null keys, take no part; rows that repeat a key count once,
+    all of them.  Vectors that are null or hold a component that is null or not
+    finite (or not once scaled), and null keys, take no part; rows that repeat a key count once,
     as the greatest vector; a shorter vector's missing components count 0;
     sums beyond a long count as its bounds.  An empty table, or one without queries, gives an
     empty result.  Other columns play no part.
     """
     stage = Stage(df.sparkSession, "topk")
-    vecs = stage.save(vectors(df, key, vector), "vectors")
+    vecs = stage.save(vectors(df, key, vector, scale), "vectors")
     v, n = blocks(vecs, VECTOR_BLOCK, scale)
     v = stage.save(v, "vector_blocks")
     q, q_blocks = blocks(vecs.where(queries), QUERY_BLOCK, scale)
