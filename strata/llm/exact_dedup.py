@@ -43,7 +43,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id",
     spark = docs.sparkSession
     stage = Stage(spark, "radix")
     rows = docs.select(
-        F.struct(F.col(key).alias("id"), *[F.col(c).alias(c) for c in carry]).alias("row"),
+        F.struct(F.col(key).alias("id"), *[F.col(c).alias(f"carry_{c}") for c in carry]).alias("row"),
         F.monotonically_increasing_id().alias("rid"),
         F.lit(-1).cast("long").alias("gid"), bytes_of(text).alias("rest"))
     width, level, done = first_digit, 0, []
@@ -72,7 +72,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id",
     for part in done[1:]:
         out = out.unionAll(part)
     return out.select(
-        F.col("row.id").alias(key), *[F.col(f"row.{c}").alias(c) for c in carry],
+        F.col("row.id").alias(key), *[F.col(f"row.carry_{c}").alias(c) for c in carry],
         F.when(F.col("n").isNull(), F.col("row.id")).otherwise(F.col("top.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
         (F.col("n").isNull() | (F.col("rid") == F.col("top.rid"))).alias("kept"))

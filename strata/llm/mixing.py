@@ -91,7 +91,7 @@ def mix(docs: DataFrame, size: str, source: str = "source", key: str = "doc_id",
     stage = Stage(spark, "mix")
     w = F.col(quality).cast("double") if quality else F.lit(1.0)
     rows = docs.select(
-        F.struct(F.col(key).alias("id"), *[F.col(c).alias(c) for c in carry]).alias("row"),
+        F.struct(F.col(key).alias("id"), *[F.col(c).alias(f"carry_{c}") for c in carry]).alias("row"),
         F.col(source).isNull().alias("no_source"), F.coalesce(source, F.lit("")).alias("src"),
         F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size"),
         F.when(w > 0, w).otherwise(1.0).alias("w"))
@@ -141,7 +141,7 @@ def mix(docs: DataFrame, size: str, source: str = "source", key: str = "doc_id",
             F.struct("ekey", F.col("row.id").alias("id")) <= F.col("cut"), F.lit(False))))
     out = rows.join(F.broadcast(goal) if _small(goal) else goal, src)
     out = out.withColumn("copies", F.col("epochs") + within.cast("int"))
-    return out.select(F.col("row.id").alias(key), *[F.col(f"row.{c}").alias(c) for c in carry],
+    return out.select(F.col("row.id").alias(key), *[F.col(f"row.carry_{c}").alias(c) for c in carry],
                       "size", "source_size", "target", "copies",
                       (F.col("size") * F.col("copies")).alias("taken"))
 
