@@ -41,7 +41,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, one document stays."""
     rows = _numbered(docs)
-    kept = minhash.near_duplicates(rows, shingle=SHINGLE_WORDS, percent=SIMILAR_PERCENT, carry=(ROW,)) \
+    kept = minhash.near_duplicates(rows, key=ROW, shingle=SHINGLE_WORDS, percent=SIMILAR_PERCENT) \
         .where("kept").select(ROW)
     return rows.join(kept, ROW, "left_semi").drop(ROW)
 
