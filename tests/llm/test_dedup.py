@@ -204,3 +204,36 @@ def test_segments_cover_every_window():
     text, start, windows, *_ = suffix_hash.segments(raw, offsets, 200)
     seen = Counter((int(t), int(s) + i) for t, s, n in zip(text, start, windows) for i in range(int(n)))
     assert seen == Counter((t, i) for t, n in enumerate(sizes) for i in range(n - 199))
+
+
+def test_carried_columns_of_clashing_names(docs_of):
+    docs = docs_of([(1, "a"), (2, "a"), (3, None)])
+    got = exact_dedup.exact_dedup(docs, carry=("id", "rid", "source")).select("doc_id", "id", "rid", "kept").collect()
+    assert sorted((r["doc_id"], r["id"], r["rid"], r["kept"]) for r in got) == [(1, "x", "x", False), (2, "x", "x", True), (3, "x", "x", True)]
+
+
+@pytest.mark.parametrize("percent", [50, 30])
+def test_bands_follow_the_threshold(docs_of, percent):
+    rng = random.Random(percent)
+    rows = []
+    for i in range(60):
+        base = [f"w{rng.randrange(400)}" for _ in range(40)]
+        keep = rng.randint(12, 36)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:keep] + [f"v{rng.randrange(400)}" for _ in range(40 - keep)]))]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(rows), shingle=1, percent=percent).collect()}
+    assert got == {k: c for k, _, c in near_brute(rows, 1, percent)}
+
+
+def test_thresholds_that_minima_cannot_find_are_refused():
+    assert [minhash.rows_per_band(p) for p in (80, 50, 30)] == [4, 2, 1]
+    with pytest.raises(ValueError):
+        minhash.rows_per_band(5)
+
+
+def test_units_are_cut_by_shingles_too(docs_of, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 30)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(w for w in words if rng.random() < .85)) for i in range(70)]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(rows)).collect()}
+    assert got == {k: c for k, _, c in near_brute(rows, 2, 80)}

@@ -258,3 +258,28 @@ def test_pages_round_trip(spark, tmp_path):
     few = warc.archive_pages(df, min_revisit=5).where("type = 'revisit'").collect()
     assert few and all(r["payload_bytes"] >= 5 for r in few)
     assert warc.archive_pages(df.limit(0)).collect() == []
+
+
+def test_classifier_learns_from_long_texts(spark, docs_of, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, " ".join((junk if i % 2 else prose)(rng) for _ in range(1 + 70_000 // 400))) for i in range(12)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(12)] + [(1000 + i, 1) for i in range(50)], "doc_id long, quality int")
+    docs = docs_of([*rows, rows[0]])
+    assert min(len(t) for _, t in rows) > 30_000
+    assert len(quality.training_rows(docs, labels)) == 12
+    assert len(quality.training_rows(docs, labels, rows=3)) == 6
+    few = quality.training_rows(docs, labels, most_bytes=1)
+    assert len(few) == 2 and {y for _, y in few} == {0, 1}
+    monkeypatch.setattr(quality, "EPOCHS", 2)
+    assert quality.train(docs, labels) is not None
+
+
+def test_word_counts_beyond_32_bits():
+    import pandas as pd
+
+    big = 2 ** 32 - 5
+    words = np.array([3, 9], np.uint64).tobytes()
+    lists = pd.DataFrame({"block": range(4), "part": [0] * 4, "a": [words] * 4,
+                          "b": [np.array([big, 1], np.uint32).tobytes()] * 4})
+    got = lm._add_up(lists)
+    assert np.frombuffer(got["counts"][0], np.int64).tolist() == [4 * big, 4] and got["n"].sum() == 4 * big + 4

@@ -18,7 +18,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) < set(names) and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) < set(names) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
 
 
@@ -51,10 +51,10 @@ def test_stages(spark, stages):
     after = [(r["doc_id"], r["text"]) for r in distinct.collect()]
     assert sorted({t or "" for _, t in have}) == sorted(t or "" for _, t in after)
 
-    keys = [r["doc_id"] for r in far.collect()]
-    want = [k for k, _, c in near_brute(after, 5, 80) if k is None or k == c]
-    order = lambda k: (k is None, k)
-    assert sorted(keys, key=order) == sorted(want, key=order)
+    # rows are told apart by their place: ids may be null or repeat
+    want = [after[i] for i, _, c in near_brute([(i, t) for i, (_, t) in enumerate(after)], 5, 80) if i == c]
+    have = [(r["doc_id"], r["text"]) for r in far.collect()]
+    assert sorted(have, key=repr) == sorted(want, key=repr)
 
     sizes = {r["source"]: r["w"] for r in far.groupBy("source").agg(F.sum(mixing.word_count("text")).alias("w")).collect()}
     got = {r["source"]: r["w"] for r in mixed.groupBy("source").agg(F.sum(mixing.word_count("text")).alias("w")).collect()}
@@ -71,3 +71,11 @@ def test_run_gives_the_last_stage(spark, stages):
     sf, _, out = stages
     got = corpus_pipeline.run(spark, sf)
     assert got.columns == out[-1].columns and got.agg(F.sum("length")).first() == out[-1].agg(F.sum("length")).first()
+
+
+def test_near_stage_tells_rows_apart_by_place(spark, docs_of):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty " * 3
+    other = "quite another text of many words that no one else has written down before now or will write down after"
+    docs = docs_of([(1, long), (5, long + "more"), (5, other), (None, long + "less"), (None, other + " again")], parts=1)
+    kept = [r["text"] for r in corpus_pipeline.near(spark, docs, "").collect()]
+    assert len(kept) == 2 and sum(t.startswith("one two") for t in kept) == 1 and sum(t.startswith("quite") for t in kept) == 1

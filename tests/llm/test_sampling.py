@@ -182,3 +182,15 @@ def test_top_k_of_few_or_no_vectors(spark):
     assert topk.top_k(vector_table(spark, [(1, [1.0])]), F.col("id") % 5 == 0).collect() == []
     got = topk.top_k(vector_table(spark, [(5, [1.0]), (1, [1.0]), (2, [2.0])]), F.col("id") % 5 == 0).collect()
     assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 2, 512 * 256), (2, 1, 65536)]
+
+
+def test_vectors_that_overflow_once_scaled_take_no_part(spark):
+    rows = [(0, [1e307, 1.0]), (1, [1.0, 1.0]), (5, [2.0, 0.5]), (6, [-1e307, 0.0])]
+    got = topk.top_k(vector_table(spark, rows), F.col("id") % 5 == 0).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(5, 1, 1, 512 * 256 + 128 * 256)]
+
+
+def test_mix_carries_columns_of_clashing_names(docs_of):
+    docs = docs_of([(1, "a b", "s"), (2, None, "s")]).withColumn("size", mixing.word_count("text"))
+    got = mixing.mix(docs, "size", carry=("id", "n")).collect()
+    assert sorted((r["doc_id"], r["id"], r["n"]) for r in got) == [(1, "x", "x"), (2, "x", "x")]
