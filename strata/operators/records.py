@@ -13,10 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..session import cut_lineage
-from ..functions.scalars import (display, display_bool, record_id, region_of, slug, state_name,
+from ..functions.scalars import (display, display_bool, display_list, record_id, region_of, slug, state_name,
                                  with_prefix)
 
 
@@ -328,20 +329,99 @@ def tuition_md() -> Column:
                   tu, fe, other, F.lit(""), F.lit("### Financial Aid Overview"), F.lit(""), *aid, *cov_md, F.lit(""))
 
 
-def campus_life_md() -> Column:
-    """D12e (housing and lists; the list-or-dict security field is rendered
-    from its JSON text)."""
-    h = F.col("campus_life.housing")
-    opts = F.coalesce(h["housing_options"], F.array())
-    return _lines(F.lit("## Campus Life"), F.lit(""), F.lit("### Housing"), F.lit(""),
-                  F.concat(F.lit("- **College-owned Housing:** "), display_bool(h["college_owned_housing"])),
-                  F.concat(F.lit("- **Housing Required (First Year):** "), display_bool(h["housing_requirements"])),
-                  F.concat(F.lit("- **Housing Options:** "),
-                           F.when(F.size(opts) > 0, F.array_join(opts, ", ")).otherwise(F.lit("Not Reported"))),
-                  F.concat(F.lit("- **Undergraduates in College Housing:** "),
-                           _pct_or(h["percent_undergrads_in_college_housing"])),
-                  F.lit(""), F.lit("### Campus Security and Safety"), F.lit(""),
-                  F.concat(F.lit("- "), display(F.col("campus_life.campus_security_and_safety_json"))), F.lit(""))
+def _field(section: T.DataType | None, path: str, kind: str) -> Column:
+    """``<section>.<path>``, or a missing value of ``kind`` where the schema has no such field."""
+    at = section
+    for name in path.split(".")[1:]:
+        if not isinstance(at, T.StructType) or name not in at.names:
+            return F.lit(None).cast(kind)
+        at = at[name].dataType
+    return F.col(path)
+
+
+def _bullets(items: Column) -> Column:
+    """One line per item, in order; missing where there are none."""
+    return F.nullif(F.array_join(F.transform(items, lambda x: F.concat(F.lit("- "), x)), "\n"), F.lit(""))
+
+
+def _reported(value: Column, before: str, after: str = "") -> Column:
+    """A line for a value that is reported; missing otherwise."""
+    v = display(value)
+    return F.when(v != "Not Reported", F.concat(F.lit(before), v, F.lit(after)))
+
+
+SECURITY_FIELDS = [  # field, line if it is "True", how another value begins (none: not shown)
+    ("emergency_services", "24-hour emergency telephone/alarm services", "Emergency services: "),
+    ("patrols", "24-hour patrols by trained officers", "Patrols: "),
+    ("student_patrols", "Student patrols", None),
+    ("transport_services", "Late-night transport/escort services", "Transport services: "),
+    ("dormitory_entrances", "Controlled dormitory entrances", None),
+    ("other_security", None, "Additional security: "),
+]
+
+
+def security_lines(text: Column) -> Column:
+    """The security field, JSON text of a list or of an object, as lines.
+
+    A list gives its items, in order.  An object gives a line per known field
+    that is reported, in the order of ``SECURITY_FIELDS``.  An empty or
+    missing list, an object without such fields and any other value are not
+    reported."""
+    v = F.try_parse_json(text)
+    kind = F.schema_of_variant(v)
+    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.try_variant_get(x, "$", "string"))
+    said = []
+    for name, if_true, begin in SECURITY_FIELDS:
+        d = display(F.try_variant_get(v, f"$.{name}", "string"))
+        line = F.when(d == "Not Reported", F.lit(None))
+        if if_true is not None:
+            line = line.when(d == "True", F.lit(f"- {if_true}"))
+        if begin is not None:
+            said.append(line.when(d != "False", F.concat(F.lit(f"- {begin}"), d)))
+        else:
+            said.append(line)
+    lines = F.when(kind.startswith("ARRAY"), _bullets(F.filter(items, lambda x: x.isNotNull()))) \
+        .when(kind.startswith("OBJECT"), F.nullif(F.concat_ws("\n", *said), F.lit("")))
+    return F.coalesce(lines, F.lit("- Not Reported"))
+
+
+def campus_life_md(section: T.DataType | None = None) -> Column:
+    """D12e: nine parts, in order.  Student body, most popular organisations and events only show with
+    data; activities, services and organisations say so where there is none.  ``section`` is the type of
+    ``campus_life``: fields that it lacks are missing."""
+    def f(path: str, kind: str = "string") -> Column:
+        return _field(section, f"campus_life.{path}", kind)
+
+    strings = "array<string>"
+    body = section["student_body"].dataType if isinstance(section, T.StructType) and "student_body" in section.names else None
+    male, female = (display(f(f"student_body.gender_distribution.{g}")) for g in ("male", "female"))
+    gender = F.when((male != "Not Reported") & (female != "Not Reported"), F.concat(
+        F.lit("- **Gender Distribution:** Male: "), male, F.lit("%, Female: "), female, F.lit("%")))
+    student_body = F.when(present(f("student_body"), body), _lines(
+        F.lit("### Student Body"), F.lit(""),
+        _reported(f("student_body.total_undergrad_students"), "- **Total Undergraduate Students:** "),
+        _reported(f("student_body.international_students_percentage"), "- **International Students:** ", "%"),
+        _reported(f("student_body.out_of_state_students_percentage"), "- **Out-of-State Students:** ", "%"),
+        gender, F.lit("")))
+
+    def listed(title: str, path: str) -> list[Column]:
+        return [F.lit(f"### {title}"), F.lit(""), F.coalesce(_bullets(f(path, strings)), F.lit("- Not Reported"))]
+
+    popular = _bullets(f("most_popular_organizations", strings))
+    events = _bullets(f("campus_events", strings))
+    return _lines(
+        F.lit("## Campus Life"), F.lit(""), student_body, F.lit("### Housing"), F.lit(""),
+        F.concat(F.lit("- **College-Owned Housing Available:** "), display(f("housing.college_owned_housing"))),
+        F.concat(F.lit("- **Housing Requirements:** "), display(f("housing.housing_requirements"))),
+        F.concat(F.lit("- **Housing Options:** "), display_list(f("housing.housing_options", strings))),
+        F.concat(F.lit("- **Percent Undergrads in College Housing:** "),
+                 _pct_or(f("housing.percent_undergrads_in_college_housing"))), F.lit(""),
+        *listed("Student Activities", "student_activities"), F.lit(""),
+        *listed("Student Services", "student_services"), F.lit(""),
+        *listed("Student Organizations", "student_organizations"),
+        F.when(popular.isNotNull(), _lines(F.lit(""), F.lit("#### Most Popular Organizations"), F.lit(""), popular)), F.lit(""),
+        F.when(events.isNotNull(), _lines(F.lit("### Campus Events"), F.lit(""), events, F.lit(""))),
+        F.lit("### Campus Security and Safety"), F.lit(""), security_lines(f("campus_security_and_safety_json")), F.lit(""))
 
 
 def sport_line(s: Column) -> Column:
@@ -362,20 +442,85 @@ def athletics_md() -> Column:
                   block("athletics.`Women's Sports`", "- No women's sports data reported."), F.lit(""))
 
 
-def completeness_md() -> Column:
-    """D12g: a check mark per section with data."""
-    def mark(cond, label):
-        return F.concat(F.when(cond, F.lit("- ✅ ")).otherwise(F.lit("- ❌ ")), F.lit(label))
-    ath = F.coalesce(F.size("athletics.`Men's Sports`"), F.lit(0)) + F.coalesce(F.size("athletics.`Women's Sports`"), F.lit(0))
+def present(c: Column, kind: T.DataType | None) -> Column:
+    """Whether a value counts as there: not missing, not an empty text or list, not zero or false, and
+    of an object, with any field that is not missing.  ``kind`` None: the schema has no such value."""
+    if kind is None:
+        return F.lit(False)
+    if isinstance(kind, T.ArrayType):
+        ok = F.size(c) > 0
+    elif isinstance(kind, T.StructType):
+        ok = F.lit(False)
+        for name in kind.names:
+            ok = ok | c.getField(name).isNotNull()
+        ok = c.isNotNull() & ok
+    elif isinstance(kind, T.StringType):
+        ok = c != ""
+    elif isinstance(kind, T.BooleanType):
+        ok = c
+    else:
+        ok = c != 0
+    return F.coalesce(ok, F.lit(False))
+
+
+# Sections of the overview, with the parts of a record of which any makes them present.
+COMPLETENESS = [("Location and Contact Information", ["location_contact"]),
+                ("Academic Information", ["majors_and_degrees", "faculty"]),
+                ("Admissions Information", ["admissions"]),
+                ("Tuition and Financial Aid", ["tuition_and_fees", "financial_aid"]),
+                ("Campus Life Information", ["campus_life"]), ("Athletics Information", ["athletics"])]
+# Sections with details, and the label of each field.
+DETAILS = [("campus_life", "Campus Life Details", [
+                ("Housing Information", "housing"), ("Student Activities", "student_activities"),
+                ("Student Services", "student_services"), ("Student Organizations", "student_organizations"),
+                ("Campus Security", "campus_security_and_safety_json"),
+                ("Most Popular Organizations", "most_popular_organizations"), ("Campus Events", "campus_events"),
+                ("Student Body Demographics", "student_body")]),
+           ("admissions", "Admissions Details", [
+                ("Overall Statistics", "overall"), ("Gender-based Statistics", "by_gender"), ("Requirements", "requirements"),
+                ("Application Deadlines", "application_deadlines"), ("Test Score Information", "test_scores_accepted")]),
+           ("athletics", "Athletics Details", [("Men's Sports", "Men's Sports"), ("Women's Sports", "Women's Sports")])]
+
+
+def completeness_md(schema: T.StructType) -> Column:
+    """D12g: the sections with data, then those without, then what the sections with details hold.
+    Both orders are those of the lists above; sports come with their numbers."""
+    def there(path: list[str]) -> Column:
+        kind: T.DataType | None = schema
+        for name in path:
+            kind = kind[name].dataType if isinstance(kind, T.StructType) and name in kind.names else None
+        if kind is None:
+            return F.lit(False)
+        c = F.col(".".join(f"`{p}`" for p in path))
+        if path[-1].endswith("_json"):  # JSON text: empty lists, objects and texts are not there
+            return F.coalesce(~F.regexp_replace(c, r"\s+", "").isin("", "[]", "{}", "null", '""'), F.lit(False))
+        return present(c, kind)
+
+    def sign(ok: Column) -> Column:
+        return F.when(ok, F.lit("✅")).otherwise(F.lit("❌"))
+
+    seen = []
+    for label, parts in COMPLETENESS:
+        ok = F.lit(False)
+        for part in parts:
+            ok = ok | there([part])
+        seen.append((label, ok))
+    overview = [F.when(ok, F.lit(f"✅ {label}")) for label, ok in seen] + [F.when(~ok, F.lit(f"❌ {label}")) for label, ok in seen]
+    details = []
+    for section, title, fields in DETAILS:
+        lines = []
+        for label, name in fields:
+            line = F.concat(F.lit(f"- {label}: "), sign(there([section, name])))
+            if section == "athletics":
+                known = isinstance(schema[section].dataType, T.StructType) and name in schema[section].dataType.names \
+                    if section in schema.names else False
+                n = F.coalesce(F.size(F.col(f"`{section}`.`{name}`")), F.lit(0)) if known else F.lit(0)
+                line = F.concat(line, F.lit(" ("), n.cast("string"), F.lit(" sports)"))
+            lines.append(line)
+        details.append(F.when(there([section]), _lines(F.lit(f"**{title}:**"), *lines, F.lit(""))))
     return _lines(F.lit("## Data Completeness"), F.lit(""),
-                  mark(F.col("location_contact.address.city").isNotNull(), "Location"),
-                  mark(F.coalesce(F.size("majors_and_degrees"), F.lit(0)) > 0, "Majors and Degrees"),
-                  mark(F.col("admissions.overall.applied").isNotNull(), "Admissions"),
-                  mark(F.coalesce(F.size("tuition_and_fees.tuition"), F.lit(0)) > 0, "Tuition"),
-                  mark(F.col("financial_aid.package_stats").isNotNull(), "Financial Aid"),
-                  mark(F.col("campus_life.housing").isNotNull(), "Campus Life"),
-                  mark(ath > 0, "Athletics"),
-                  F.concat(F.lit("- Sports listed: "), ath.cast("string")), F.lit(""))
+                  F.lit("This section shows which data categories are available for this university:"), F.lit(""),
+                  *overview, F.lit(""), F.lit("### Detailed Data Availability"), F.lit(""), *details)
 
 
 def render_documents(records: DataFrame, ordinal: str) -> DataFrame:
@@ -388,8 +533,8 @@ def render_documents(records: DataFrame, ordinal: str) -> DataFrame:
     name = F.coalesce(F.col("university_name"), F.lit("N/A"))
     md = _lines(F.concat(F.lit("# "), name), F.lit(""),
                 F.concat(F.lit("**Document ID:** `"), doc_id, F.lit("`")), F.lit(""),
-                general_md(), academics_md(), admissions_md(), tuition_md(), campus_life_md(), athletics_md(),
-                completeness_md())
+                general_md(), academics_md(), admissions_md(), tuition_md(),
+                campus_life_md(records.schema["campus_life"].dataType), athletics_md(), completeness_md(records.schema))
     return records.select(doc_id.alias("document_id"), name.alias("university_name"),
                           F.concat(slug(name), F.lit("_"), doc_id, F.lit(".md")).alias("filename"),
                           slug(name).alias("slug"), F.col(ordinal).alias("json_index"), md.alias("markdown"))

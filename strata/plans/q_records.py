@@ -110,7 +110,7 @@ def record_metadata(spark, sf_dir):
 
 
 def record_markdown(spark, sf_dir):
-    docs = RC.render_documents(_cleaned(spark, sf_dir), "ordinal")
+    docs = RC.render_documents(RB.with_campus_life(_cleaned(spark, sf_dir)), "ordinal")
     return docs.select("document_id", "university_name", "filename", "slug", "json_index",
                        F.length("markdown").alias("chars"), "markdown")
 
@@ -223,6 +223,52 @@ def table_profile(spark, sf_dir):
     return finish(PR.table_profile(table(spark, sf_dir, "lineitem"), [*NUMERIC, *TEXTS]))
 
 
+def _per_number(sql: str, sep: str = " UNION ALL ") -> str:
+    return sep.join(sql.replace("{c}", c) for c in NUMERIC)
+
+
+@register("table_quantiles", sql=_per_number(
+    "SELECT '{c}' AS column_name, " + ", ".join(r6(f"quantile_cont(CAST({{c}} AS DOUBLE), {q})") + f" AS {p}"
+                                                 for p, q in PR.QUANTILES.items()) + " FROM lineitem"), ops="Q5 (quantiles)")
+def table_quantiles(spark, sf_dir):
+    return finish(PR.table_quantiles(table(spark, sf_dir, "lineitem"), NUMERIC))
+
+
+@register("table_histogram", sql="WITH e AS (" + _per_number(
+    "SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS most FROM lineitem") + """),
+v AS (""" + _per_number("SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM lineitem WHERE {c} IS NOT NULL") + """),
+w AS (SELECT *, (most - least) / 10.0::DOUBLE AS width FROM e),
+h AS (SELECT column_name, CASE WHEN width = 0 THEN 0 ELSE least(floor((value - least) / width), 9) END AS bin, count(*) AS n
+      FROM v JOIN w USING (column_name) GROUP BY ALL),
+g AS (SELECT w.*, CAST(t.b AS INTEGER) AS bin FROM w, range(0, 10) t(b))
+SELECT column_name, g.bin, """ + r6("least + g.bin * width") + " AS low, " + r6(
+    "CASE WHEN g.bin = 9 THEN most ELSE least + (g.bin + 1) * width END") + """ AS high, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM g LEFT JOIN h USING (column_name, bin)""", ops="Q5 (histogram)")
+def table_histogram(spark, sf_dir):
+    return finish(PR.table_histogram(table(spark, sf_dir, "lineitem"), NUMERIC))
+
+
+@register("table_correlations", sql=" UNION ALL ".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, CAST(count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS BIGINT) AS n, "
+    f"{r6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS r FROM lineitem"
+    for i, a in enumerate(NUMERIC) for b in NUMERIC[i + 1:]), ops="Q5 (correlations)")
+def table_correlations(spark, sf_dir):
+    return finish(PR.correlations(table(spark, sf_dir, "lineitem"), NUMERIC))
+
+
+DUPLICATES = """SELECT l_partkey % 40 AS part, l_quantity, CASE WHEN l_linenumber > 3 THEN l_returnflag END AS flag, l_linestatus
+FROM lineitem"""
+
+
+@register("duplicate_rows", sql=f"""
+SELECT CAST(sum(k) AS BIGINT) AS n_rows, CAST(count_if(k > 1) AS BIGINT) AS duplicate_groups, CAST(sum(k - 1) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS k FROM ({DUPLICATES}) GROUP BY part, l_quantity, flag, l_linestatus)""", ops="Q5 (duplicate rows)")
+def duplicate_rows(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return PR.duplicate_rows(li.select((F.col("l_partkey") % 40).alias("part"), "l_quantity",
+                                       F.when(F.col("l_linenumber") > 3, F.col("l_returnflag")).alias("flag"), "l_linestatus"))
+
+
 @register("category_coverage", sql=f"""
 WITH t AS (SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Private' ELSE 'In-state' END AS category,
                   CASE WHEN c_acctbal > 0 THEN c_acctbal * 3.0 END AS v FROM customer
@@ -373,15 +419,35 @@ def _markdown_sql() -> str:
                          "'### Financial Aid Overview'", "''",
                          *[f"'- **{lab}:** ' || {_pre(e, prefix='$')}" for lab, e in aid],
                          *[f"'- **{lab}:** ' || {_pre(e, suffix='%')}" for lab, e in cov], "''")
-    sec = "CASE WHEN c_custkey % 2 = 0 THEN '[\"24-hour patrols\", \"Late-night transport\"]' ELSE '{\"patrols\": true}' END"
-    campus = _lines_sql("'## Campus Life'", "''", "'### Housing'", "''",
-                        f"'- **College-owned Housing:** ' || {_yn(f'({k} % 3 <> 0)')}",
-                        f"'- **Housing Required (First Year):** ' || {_yn(f'({k} % 2 = 0)')}",
-                        f"'- **Housing Options:** ' || CASE WHEN {k} % 4 <> 0 THEN 'Co-ed dorms, Apartments' "
-                        f"ELSE 'Not Reported' END",
-                        f"'- **Undergraduates in College Housing:** ' || "
-                        f"{_pre(f'CASE WHEN {k} % 7 <> 0 THEN CAST({k} % 100 AS DOUBLE) END', suffix='%')}",
-                        "''", "'### Campus Security and Safety'", "''", f"'- ' || {_disp(sec)}", "''")
+    life = f"({k} % 11 <> 0)"
+    opt = lambda cond, *lines: f"CASE WHEN {life} AND {cond} THEN {_lines_sql(*lines)} END"
+    or_none = lambda cond, *lines: (f"CASE WHEN {life} AND {cond} THEN {_lines_sql(*lines)} "
+                                    "ELSE '- Not Reported' END")
+    num = lambda cond, x: f"CASE WHEN {cond} THEN CAST(CAST({x} AS DOUBLE) AS VARCHAR) END"
+    campus = _lines_sql(
+        "'## Campus Life'", "''",
+        opt(f"{k} % 3 <> 2", "'### Student Body'", "''",
+            f"'- **Total Undergraduate Students:** ' || CASE WHEN {k} % 5 <> 0 THEN CAST({k} % 9000 + 100 AS VARCHAR) END",
+            f"'- **International Students:** ' || {num(f'{k} % 4 <> 0', f'{k} % 30')} || '%'",
+            f"'- **Out-of-State Students:** ' || {num(f'{k} % 6 <> 0', f'{k} % 60')} || '%'",
+            f"'- **Gender Distribution:** Male: ' || {num(f'{k} % 2 = 0', f'{k} % 100')} || '%, Female: ' || "
+            f"{num(f'{k} % 8 <> 0', f'100 - {k} % 100')} || '%'", "''"),
+        "'### Housing'", "''",
+        f"'- **College-Owned Housing Available:** ' || CASE WHEN {life} THEN {_yn(f'({k} % 3 <> 0)')} ELSE 'Not Reported' END",
+        f"'- **Housing Requirements:** ' || CASE WHEN {life} THEN {_yn(f'({k} % 2 = 0)')} ELSE 'Not Reported' END",
+        f"'- **Housing Options:** ' || CASE WHEN {life} AND {k} % 4 <> 0 THEN 'Co-ed dorms, Apartments' ELSE 'Not Reported' END",
+        f"'- **Percent Undergrads in College Housing:** ' || CASE WHEN {life} THEN "
+        f"{_pre(f'CASE WHEN {k} % 7 <> 0 THEN CAST({k} % 100 AS DOUBLE) END', suffix='%')} ELSE 'Not Reported' END", "''",
+        "'### Student Activities'", "''", or_none(f"{k} % 3 = 1", "'- Band'", "'- Choir'"), "''",
+        "'### Student Services'", "''", or_none(f"{k} % 4 <> 0", "'- Health service'"), "''",
+        "'### Student Organizations'", "''", or_none(f"{k} % 5 <> 0", "'- Chess, and go'", "'- Debate'"),
+        opt(f"{k} % 4 = 1", "''", "'#### Most Popular Organizations'", "''", "'- Zeta'", "'- Alpha'"), "''",
+        opt(f"{k} % 5 = 1", "'### Campus Events'", "''", "'- Homecoming'", "''"),
+        "'### Campus Security and Safety'", "''",
+        f"CASE WHEN {life} AND {k} % 5 = 0 THEN '- 24-hour patrols' || {nl} || '- Late-night transport' "
+        f"WHEN {life} AND {k} % 5 = 1 THEN '- Patrols: Yes' "
+        f"WHEN {life} AND {k} % 5 = 3 THEN {_lines_sql(repr('- Emergency services: Yes'), repr('- Patrols: No'), repr('- Transport services: Until midnight'), repr('- Additional security: Cameras'))} "
+        "ELSE '- Not Reported' END", "''")
     div = f"'Division ' || CAST({k} % 3 + 1 AS VARCHAR)"
     sport = lambda name, sch, intra: (f"'- **' || {name} || ':** Intercollegiate: ' || {div} || ', Scholarship: ' || "
                                       f"{_yn(sch)} || ', Intramural: ' || {_yn(intra)}")
@@ -389,14 +455,31 @@ def _markdown_sql() -> str:
         sport(f"{sp}[({k} * 7) % 12 + 1]", "false", "true")
     women = (f"CASE WHEN {k} % 6 <> 0 THEN " + sport(f"{sp}[({k} * 5) % 12 + 1]", "false", "false")
              + " ELSE '- No women''s sports data reported.' END")
-    athletics = _lines_sql("'## Athletics'", "''", "'### Men''s Sports'", "''", men, "''",
-                           "'### Women''s Sports'", "''", women, "''")
-    n_sports = f"CAST(2 + CASE WHEN {k} % 6 <> 0 THEN 1 ELSE 0 END AS VARCHAR)"
-    mark = lambda cond, lab: f"CASE WHEN {cond} THEN '- ✅ {lab}' ELSE '- ❌ {lab}' END"
-    complete = _lines_sql("'## Data Completeness'", "''", mark("n_name IS NOT NULL", "Location"),
-                          mark(f"{k} % 5 <> 0", "Majors and Degrees"), mark(f"{applied} IS NOT NULL", "Admissions"),
-                          mark("true", "Tuition"), mark("true", "Financial Aid"), mark("true", "Campus Life"),
-                          mark("true", "Athletics"), f"'- Sports listed: ' || {n_sports}", "''")
+    sports = f"({k} % 13 <> 0)"
+    athletics = _lines_sql("'## Athletics'", "''", "'### Men''s Sports'", "''",
+                           f"CASE WHEN {sports} THEN {men} ELSE '- No men''s sports data reported.' END", "''",
+                           "'### Women''s Sports'", "''",
+                           f"CASE WHEN {sports} THEN {women} ELSE '- No women''s sports data reported.' END", "''")
+    sign = lambda cond: f"CASE WHEN {cond} THEN '✅' ELSE '❌' END"
+    shown = [("Location and Contact Information", "true"), ("Academic Information", "true"), ("Admissions Information", "true"),
+             ("Tuition and Financial Aid", "true"), ("Campus Life Information", life), ("Athletics Information", sports)]
+    complete = _lines_sql(
+        "'## Data Completeness'", "''",
+        "'This section shows which data categories are available for this university:'", "''",
+        *[f"CASE WHEN {c} THEN '✅ {lab}' END" for lab, c in shown], *[f"CASE WHEN NOT {c} THEN '❌ {lab}' END" for lab, c in shown],
+        "''", "'### Detailed Data Availability'", "''",
+        f"CASE WHEN {life} THEN " + _lines_sql(
+            "'**Campus Life Details:**'", "'- Housing Information: ✅'", f"'- Student Activities: ' || {sign(f'{k} % 3 = 1')}",
+            f"'- Student Services: ' || {sign(f'{k} % 4 <> 0')}", f"'- Student Organizations: ' || {sign(f'{k} % 5 <> 0')}",
+            f"'- Campus Security: ' || {sign(f'{k} % 5 IN (0, 1, 3)')}",
+            f"'- Most Popular Organizations: ' || {sign(f'{k} % 4 = 1')}", f"'- Campus Events: ' || {sign(f'{k} % 5 = 1')}",
+            f"'- Student Body Demographics: ' || {sign(f'{k} % 3 <> 2')}", "''") + " END",
+        "'**Admissions Details:**'", "'- Overall Statistics: ✅'", f"'- Gender-based Statistics: ' || {sign(f'{applied} IS NOT NULL')}",
+        f"'- Requirements: ' || {sign(f'{k} % 4 IN (0, 1)')}", "'- Application Deadlines: ✅'",
+        f"'- Test Score Information: ' || {sign(f'{k} % 5 <> 0')}", "''",
+        f"CASE WHEN {sports} THEN " + _lines_sql(
+            "'**Athletics Details:**'", "'- Men''s Sports: ✅ (2 sports)'",
+            f"'- Women''s Sports: ' || CASE WHEN {k} % 6 <> 0 THEN '✅ (1 sports)' ELSE '❌ (0 sports)' END", "''") + " END")
     doc_id = _doc_id_sql()
     md = _lines_sql("'# ' || c_name", "''", f"'**Document ID:** `' || {doc_id} || '`'", "''",
                     general, academics, admissions, tuition, campus, athletics, complete)

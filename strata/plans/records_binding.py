@@ -167,3 +167,38 @@ def records(spark, sf_dir):
         k.alias("ordinal"),
     )
     return rec
+
+
+CAMPUS_SECURITY = {0: '["24-hour patrols", "Late-night transport"]', 1: '{"patrols": true, "student_patrols": true}', 2: "[]",
+                   3: '{"emergency_services": "yes", "patrols": false, "transport_services": "Until midnight", '
+                      '"other_security": " Cameras "}'}
+
+
+def with_campus_life(rec):
+    """Records with every part of campus life present in some rows and absent in others; some records
+    have no campus life, or no athletics, at all."""
+    k = F.col("ordinal")
+
+    def texts(cond, *values):
+        return F.when(cond, F.array(*[F.lit(v) for v in values]))
+
+    body = F.struct(
+        F.when(_mod(k, 5) != 0, (_mod(k, 9000) + 100).cast("bigint")).alias("total_undergrad_students"),
+        F.when(_mod(k, 4) != 0, _d(_mod(k, 30))).alias("international_students_percentage"),
+        F.when(_mod(k, 6) != 0, _d(_mod(k, 60))).alias("out_of_state_students_percentage"),
+        F.when(_mod(k, 2) == 0, F.struct(_d(_mod(k, 100)).alias("male"),
+                                         F.when(_mod(k, 8) != 0, _d(F.lit(100) - _mod(k, 100))).alias("female")))
+        .alias("gender_distribution"))
+    none = F.array().cast("array<string>")
+    security = F.lit(None).cast("string")
+    for i, v in CAMPUS_SECURITY.items():
+        security = F.when(_mod(k, 5) == i, F.lit(v)).otherwise(security)
+    life = F.struct(
+        F.col("campus_life.housing").alias("housing"), F.when(_mod(k, 3) != 2, body).alias("student_body"),
+        F.when(_mod(k, 3) == 0, none).otherwise(texts(_mod(k, 3) == 1, "Band", "Choir")).alias("student_activities"),
+        F.coalesce(texts(_mod(k, 4) != 0, "Health service"), none).alias("student_services"),
+        texts(_mod(k, 5) != 0, "Chess, and go", "Debate").alias("student_organizations"),
+        texts(_mod(k, 4) == 1, "Zeta", "Alpha").alias("most_popular_organizations"),
+        texts(_mod(k, 5) == 1, "Homecoming").alias("campus_events"), security.alias("campus_security_and_safety_json"))
+    return rec.withColumns({"campus_life": F.when(_mod(k, 11) != 0, life),
+                            "athletics": F.when(_mod(k, 13) != 0, F.col("athletics"))})
