@@ -543,12 +543,16 @@ def render_documents(records: DataFrame, ordinal: str) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # Documents and ids (X12, J12, D18)                                           #
 # --------------------------------------------------------------------------- #
-def audit_document_ids(texts: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """Per file the document id, or NOT_FOUND."""
+def audit_document_ids(texts: DataFrame, text: str = "text", source: str = "source", error: str | None = None) -> DataFrame:
+    """Per file the document id, NOT_FOUND, or ERROR where the file could not be read: where ``error`` (the
+    column of reading errors, if there is one) is not null."""
     from ..functions.scalars import document_id
 
     d = document_id(F.col(text))
-    return texts.select(source, F.when(d == "", F.lit("NOT_FOUND")).otherwise(d).alias("document_id"))
+    found = F.when(F.coalesce(d, F.lit("")) == "", F.lit("NOT_FOUND")).otherwise(d)
+    if error is not None:
+        found = F.when(F.col(error).isNotNull(), F.lit("ERROR")).otherwise(found)
+    return texts.select(source, found.alias("document_id"))
 
 
 def load_documents(texts: DataFrame, mapping: DataFrame, text: str = "text", source: str = "source") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import preview
+from .profiling import table_quantiles
 
 QUERY_BLOCK = 512
 METRICS = ("l2", "cosine", "ip")
@@ -158,6 +159,32 @@ def retrieval_detail(hits: DataFrame, texts: DataFrame, doc_id: str, text: str,
                     preview("_text").alias("content_preview"), *extra)
 
 
+def split_queries(queries: DataFrame, vec: str = "qvec", dim: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Queries that can be answered, and those that cannot, with their ``error``.
+
+    A query fails on its own, not its batch: a vector that is missing, empty,
+    of another dimension (where ``dim`` is given) or that holds a missing or
+    non-finite number.
+    """
+    v = F.col(vec).cast("array<double>")
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    error = F.when(v.isNull(), F.lit("no vector")).when(F.size(v) == 0, F.lit("empty vector"))
+    if dim is not None:
+        error = error.when(F.size(v) != dim, F.concat(F.lit("vector of "), F.size(v).cast("string"), F.lit(f" numbers, not {dim}")))
+    marked = queries.withColumn("error", error.when(bad, F.lit("vector with a missing or non-finite number")))
+    return marked.where("error IS NULL").drop("error"), marked.where("error IS NOT NULL")
+
+
+def with_failures(detail: DataFrame, failed: DataFrame, query_id: str, doc_id: str) -> DataFrame:
+    """V8: the detail table with one row for every failed query: rank 0, ``ERROR`` as document and filter, no
+    score, the error in the preview and in ``error`` (null on other rows)."""
+    ok = detail.withColumns({doc_id: F.col(doc_id).cast("string"), "error": F.lit(None).cast("string")})
+    said = {query_id: F.col(query_id), "rank": F.lit(0), doc_id: F.lit("ERROR"), "metadata_filter": F.lit("ERROR"),
+            "content_preview": F.concat(F.lit("Error: "), F.col("error")), "error": F.col("error")}
+    rows = failed.select(*[said.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ok.schema.fields])
+    return ok.unionByName(rows)
+
+
 def attach_scores(detail: DataFrame, scores: DataFrame, query_id: str, score_col: str) -> DataFrame:
     """V7: question-level score on every retrieved row (null if none)."""
     return detail.join(scores.select(query_id, score_col), on=query_id, how="left")
@@ -166,14 +193,13 @@ def attach_scores(detail: DataFrame, scores: DataFrame, query_id: str, score_col
 def retrieval_metrics(detail: DataFrame, query_id: str, doc_id: str, group_col: str,
                       score_col: str = "score", relevance_col: str | None = None) -> DataFrame:
     """V6: totals, success rate, score statistics, per-question counts,
-    diversity and filter usage in one aggregate."""
+    diversity and filter usage in one aggregate, and the exact median."""
     ok = F.col(doc_id).cast("string") != "ERROR"
     aggs = [F.count(F.lit(1)).alias("total_retrievals"), F.count_if(ok).alias("successful_retrievals"),
             F.count_if(~ok).alias("failed_retrievals"),
             (F.count_if(ok) / F.count(F.lit(1))).alias("success_rate"),
             F.count(F.when(ok, F.col(score_col))).alias("score_count"),
             F.avg(F.when(ok, F.col(score_col))).alias("score_mean"),
-            F.percentile(F.when(ok, F.col(score_col)), F.lit(0.5)).alias("score_median"),
             F.min(F.when(ok, F.col(score_col))).alias("score_min"),
             F.max(F.when(ok, F.col(score_col))).alias("score_max"),
             F.count_distinct(F.when(ok, F.col(group_col))).alias("unique_groups"),
@@ -183,7 +209,10 @@ def retrieval_metrics(detail: DataFrame, query_id: str, doc_id: str, group_col:
     # questions with results, and their mean number of documents, from the same pass
     n_q = F.count_distinct(F.when(ok, F.col(query_id)))
     aggs += [n_q.alias("total_questions"), F.try_divide(F.count_if(ok), n_q).cast("double").alias("avg_docs_per_question")]
-    return detail.agg(*aggs)
+    # the median from ranks: no task holds all scores
+    median = table_quantiles(detail.where(ok).select(score_col), [score_col], {"score_median": 0.5}).select("score_median")
+    one = F.lit(1).alias("_one")
+    return detail.agg(*aggs).select("*", one).join(median.select("*", one), "_one", "left").drop("_one")
 
 
 def contexts_per_question(detail: DataFrame, query_id: str, doc_id: str, text_col: str = "content_preview") -> DataFrame:

@@ -120,6 +120,34 @@ def _doc_id_sql() -> str:
             f"lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') || '|' || CAST(c_custkey AS VARCHAR))")
 
 
+@register("document_audit", sql=f"""
+SELECT {sql_slug('c_name')} || '_' || {_doc_id_sql()} || '.md' AS source,
+  CASE WHEN c_custkey % 9 IN (0, 4) THEN 'ERROR' WHEN c_custkey % 9 = 1 THEN 'NOT_FOUND' ELSE {_doc_id_sql()} END AS document_id
+FROM {CUST} x""", ops="D18 (ids, absent ids and files that cannot be read)")
+def document_audit(spark, sf_dir):
+    docs = RC.render_documents(RB.with_campus_life(_cleaned(spark, sf_dir)), "ordinal")
+    raw, k = F.col("markdown").cast("binary"), F.col("json_index")
+    content = (F.when(k % 9 == 0, F.concat(F.unhex(F.lit("C328")), raw))  # a lead byte without its follower
+               .when(k % 9 == 1, F.regexp_replace("markdown", r"\*\*Document ID:\*\*", "Id").cast("binary"))
+               .when(k % 9 != 4, raw))
+    files = docs.select(F.col("filename").alias("source"), content.alias("content"))
+    return RC.audit_document_ids(io.decode_texts(files), error="read_error")
+
+
+@register("document_mapping", sql=f"""
+SELECT {_doc_id_sql()} AS document_id, c_name AS university_name, {sql_slug('c_name')} || '_' || {_doc_id_sql()} || '.md' AS filename,
+  {sql_slug('c_name')} AS slug, c_custkey AS json_index, true AS stored
+FROM {CUST} x""", ops="S13 (documents and id mapping as one committed pair, read back)")
+def document_mapping(spark, sf_dir):
+    docs = RC.render_documents(_cleaned(spark, sf_dir), "ordinal")
+    path = io.scratch_dir(spark, "set")
+    io.write_document_set(docs.limit(0), path)  # an earlier set, which the next one replaces
+    io.write_document_set(docs, path)
+    stored, mapping = io.read_document_set(spark, path)
+    has = stored.select("document_id", (F.length("markdown") > 0).alias("stored"))
+    return mapping.join(has, "document_id", "left")
+
+
 @register("document_join", sql=f"""
 SELECT {_doc_id_sql()} AS document_id, c_name AS university_name,
        {sql_slug('c_name')} || '_' || {_doc_id_sql()} || '.md' AS filename, true AS matched

@@ -59,7 +59,9 @@ hits AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY
 WITH {_hits_sql()}
 SELECT query_id, rank, doc_id, {r6('score')} AS score, label FROM hits""", ops="V2, V3, W7")
 def vector_batch_topk(spark, sf_dir):
-    hits = R.batch_topk(_docs(spark, sf_dir), _label_queries(spark, sf_dir), k=K)
+    dims = table(spark, sf_dir, "embeddings").select(F.size("embedding").alias("d")).first()
+    good, failed = R.split_queries(_all_queries(spark, sf_dir), "qvec", dims["d"] if dims else None)
+    hits = R.batch_topk(_docs(spark, sf_dir), good, k=K)
     return finish(hits.select("query_id", "rank", "doc_id", "score", "label"))
 
 
@@ -103,7 +105,9 @@ def collection_stats(spark, sf_dir):
 
 # --------------------------------------------------------------------------- #
 def _detail(spark, sf_dir):
-    hits = R.batch_topk(_docs(spark, sf_dir), _label_queries(spark, sf_dir), k=K)
+    dims = table(spark, sf_dir, "embeddings").select(F.size("embedding").alias("d")).first()
+    good, failed = R.split_queries(_all_queries(spark, sf_dir), "qvec", dims["d"] if dims else None)
+    hits = R.batch_topk(_docs(spark, sf_dir), good, k=K)
     docs = table(spark, sf_dir, "documents")
     det = R.retrieval_detail(hits, docs, "doc_id", "text", "query_id",
                              filter_text=F.concat(F.lit("label = "), F.col("query_id").cast("string")),
@@ -111,7 +115,21 @@ def _detail(spark, sf_dir):
     lab = table(spark, sf_dir, "labels")
     scores = lab.groupBy(F.pmod("doc_id", F.lit(10)).cast("int").alias("query_id")).agg(
         F.avg(F.col("quality").cast("double")).alias("context_relevance_score"))
-    return R.attach_scores(det, scores, "query_id", "context_relevance_score")
+    det = R.attach_scores(det, scores, "query_id", "context_relevance_score")
+    return R.with_failures(det, failed, "query_id", "doc_id")
+
+
+def _all_queries(spark, sf_dir):
+    """The label queries and, per label, copies that cannot be answered: without a vector, with an empty one, a
+    shorter one, and one that holds a NaN."""
+    q = _label_queries(spark, sf_dir).select("query_id", F.col("qvec").cast("array<double>").alias("qvec"))
+    kind = q.schema["query_id"].dataType
+    wrong = [F.lit(None).cast("array<double>"), F.array().cast("array<double>"), F.slice("qvec", 1, 3),
+             F.concat(F.slice("qvec", 2, 100_000), F.array(F.lit(float("nan"))))]
+    for i, v in enumerate(wrong):
+        q = q.unionAll(_label_queries(spark, sf_dir).select(
+            (F.col("query_id") + 100 * (i + 1)).cast(kind).alias("query_id"), v.alias("qvec")))
+    return q
 
 
 DETAIL_SQL = f"""{_hits_sql()},
@@ -120,28 +138,37 @@ det AS (SELECT h.query_id, h.rank, h.doc_id, h.score, h.label, 'label = ' || CAS
         FROM hits h LEFT JOIN documents d ON d.doc_id = h.doc_id),
 qs AS (SELECT CAST(doc_id % 10 AS INTEGER) AS query_id, avg(CAST(quality AS DOUBLE)) AS context_relevance_score
        FROM labels GROUP BY ALL),
-detail AS (SELECT det.*, qs.context_relevance_score FROM det LEFT JOIN qs USING (query_id))"""
+fine AS (SELECT det.*, qs.context_relevance_score FROM det LEFT JOIN qs USING (query_id)),
+dims AS (SELECT any_value(len(embedding)) AS d FROM embeddings),
+failed AS (SELECT DISTINCT CAST(h.query_id + 100 * f.i AS INTEGER) AS query_id,
+             CASE f.i WHEN 1 THEN 'no vector' WHEN 2 THEN 'empty vector' WHEN 3 THEN 'vector of 3 numbers, not ' || d
+               ELSE 'vector with a missing or non-finite number' END AS error
+           FROM hits h, range(1, 5) f(i), dims),
+detail AS (SELECT query_id, rank, CAST(doc_id AS VARCHAR) AS doc_id, score, label, metadata_filter, content_preview,
+             context_relevance_score, CAST(NULL AS VARCHAR) AS error FROM fine
+           UNION ALL SELECT query_id, 0, 'ERROR', NULL, NULL, 'ERROR', 'Error: ' || error, NULL, error FROM failed)"""
 
 
 @register("retrieval_detail", sql=f"""
 WITH {DETAIL_SQL}
 SELECT query_id, rank, doc_id, {r6('score')} AS score, metadata_filter, content_preview, label,
-       {r6('context_relevance_score')} AS context_relevance_score FROM detail""", ops="V7, V8, X23")
+       {r6('context_relevance_score')} AS context_relevance_score, error FROM detail""", ops="V7, V8, X23")
 def retrieval_detail(spark, sf_dir):
     return finish(_detail(spark, sf_dir).select("query_id", "rank", "doc_id", "score", "metadata_filter",
-                                                 "content_preview", "label", "context_relevance_score"))
+                                                 "content_preview", "label", "context_relevance_score", "error"))
 
 
 @register("retrieval_metrics", sql=f"""
 WITH {DETAIL_SQL},
-m AS (SELECT count(*) AS total_retrievals, count(*) AS successful_retrievals, CAST(0 AS BIGINT) AS failed_retrievals,
-             {r6('1.0 * count(*) / count(*)')} AS success_rate, count(score) AS score_count,
+m AS (SELECT count(*) AS total_retrievals, CAST(count_if(error IS NULL) AS BIGINT) AS successful_retrievals,
+             CAST(count_if(error IS NOT NULL) AS BIGINT) AS failed_retrievals,
+             {r6('1.0 * count_if(error IS NULL) / count(*)')} AS success_rate, count(score) AS score_count,
              {r6('avg(score)')} AS score_mean, {r6('quantile_cont(score, 0.5)')} AS score_median,
              {r6('min(score)')} AS score_min, {r6('max(score)')} AS score_max,
-             count(DISTINCT label) AS unique_groups, count(*) AS with_filters,
+             count(DISTINCT label) AS unique_groups, CAST(count_if(error IS NULL) AS BIGINT) AS with_filters,
              {r6('avg(context_relevance_score)')} AS relevance_mean FROM detail),
 qq AS (SELECT count(*) AS total_questions, {r6('avg(n)')} AS avg_docs_per_question
-      FROM (SELECT query_id, count(*) AS n FROM detail GROUP BY query_id))
+      FROM (SELECT query_id, count(*) AS n FROM detail WHERE error IS NULL GROUP BY query_id))
 SELECT * FROM m, qq""", ops="V6")
 def retrieval_metrics(spark, sf_dir):
     det = _detail(spark, sf_dir)
@@ -152,7 +179,7 @@ def retrieval_metrics(spark, sf_dir):
 WITH {DETAIL_SQL}
 SELECT query_id, CAST(count(*) AS INTEGER) AS n_contexts,
        string_agg(coalesce(content_preview, ''), '\n---\n' ORDER BY rank) AS contexts
-FROM detail GROUP BY query_id""", ops="V9")
+FROM detail WHERE error IS NULL GROUP BY query_id""", ops="V9")
 def retrieval_contexts(spark, sf_dir):
     ctx = R.contexts_per_question(_detail(spark, sf_dir), "query_id", "doc_id")
     return ctx.select("query_id", F.size("contexts").alias("n_contexts"),

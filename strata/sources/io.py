@@ -78,6 +78,24 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text")))
 
 
+def decode_texts(df: DataFrame, content: str = "content", text: str = "text") -> DataFrame:
+    """Bytes as text, item by item: ``text`` and ``read_error`` (null if fine) instead of ``content``.
+
+    Bytes that are missing or not valid UTF-8 give a row with a null text and
+    the error, not a failed job; other columns stay."""
+    ok = F.is_valid_utf8(F.col(content).cast("string"))
+    error = F.when(F.col(content).isNull(), F.lit("no content")).when(~ok, F.lit("not valid UTF-8"))
+    return df.select(*[c for c in df.columns if c != content], error.alias("read_error"),
+                     F.when(ok, F.col(content).cast("string")).alias(text))
+
+
+def read_text_files_checked(spark: SparkSession, path: str) -> DataFrame:
+    """S7 with a status per file: ``source``, ``read_error`` and ``text`` (see ``decode_texts``).  A file of no
+    bytes gives no row, as Spark plans no read for it."""
+    files = spark.read.format("binaryFile").load(path)
+    return decode_texts(files.select(F.col("path").alias("source"), "content"))
+
+
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Path, file name, extension and size of every file (contents are
     pruned from the scan)."""
@@ -116,3 +134,41 @@ def write_documents(docs: DataFrame, path: str, key: str = "document_id", bucket
     b = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("bucket")
     docs.select("*", b).write.mode("overwrite").partitionBy("bucket").parquet(path)
     return path
+
+
+def write_document_set(docs: DataFrame, path: str, key: str = "document_id", text: str = "markdown", buckets: int = 64) -> str:
+    """Documents and the mapping from their id to everything else in ``docs`` (name, file name, slug, index),
+    as one versioned pair.  Returns the version.
+
+    Both parts are written in a folder of their own; a row in ``commits``, written
+    last in one task, makes the pair the current one.  A job that fails in
+    between, or is repeated, leaves the pair that readers see as it was.
+    """
+    spark = docs.sparkSession
+    version = uuid.uuid4().hex
+    write_documents(docs.select(key, text), f"{path}/{version}/documents", key, buckets)
+    mapping = docs.drop(text)
+    mapping.write.mode("errorifexists").parquet(f"{path}/{version}/mapping")
+    number = 1 + max((r["number"] for r in _commits(spark, path)), default=0)
+    spark.createDataFrame([(number, version)], COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    return version
+
+
+COMMIT = "number long, version string"
+
+
+def _commits(spark: SparkSession, path: str) -> list:
+    """One row per finished write."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return []
+    return spark.read.schema(COMMIT).parquet(f"{path}/commits").collect()
+
+
+def read_document_set(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The documents and the mapping of the last finished write."""
+    done = _commits(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no finished document set under {path}")
+    last = max(done, key=lambda r: (r["number"], r["version"]))["version"]
+    return (spark.read.parquet(f"{path}/{last}/documents").drop("bucket"), spark.read.parquet(f"{path}/{last}/mapping"))

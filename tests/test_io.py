@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,3 +115,42 @@ def test_streaming_upsert_log(spark):
     q.awaitTermination()
     latest = {r["k"]: r["v"] for r in read_latest(spark, os.path.join(base, "log"), ["k"], ["t"]).collect()}
     assert latest == {1: "a", 2: "b"}
+
+
+def test_document_set_shows_finished_writes_alone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "set")
+    with pytest.raises(FileNotFoundError):
+        io.read_document_set(spark, path)
+    one = spark.createDataFrame([("a", "A", "text a", 0)], "document_id string, university_name string, markdown string, json_index int")
+    two = spark.createDataFrame([("b", "B", "text b", 1), ("c", None, None, 2)], one.schema)
+    io.write_document_set(one, path)
+
+    def seen():
+        docs, mapping = io.read_document_set(spark, path)
+        return sorted(map(tuple, docs.collect())), sorted(map(tuple, mapping.collect()))
+
+    first = ([("a", "text a")], [("a", "A", 0)])
+    assert seen() == first
+    write = io.write_documents
+    monkeypatch.setattr(io, "write_documents", lambda *a, **k: (write(*a, **k), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        io.write_document_set(two, path)
+    assert seen() == first  # documents were written, the pair was not finished
+    monkeypatch.setattr(io, "write_documents", write)
+    io.write_document_set(two, path)
+    io.write_document_set(two, path)  # a repeated job
+    assert seen() == ([("b", "text b"), ("c", None)], [("b", "B", 1), ("c", None, 2)])
+
+
+def test_unreadable_files_have_rows_of_their_own(spark, tmp_path):
+    from strata.operators import records
+
+    doc_id = "0123456789abcdef0123456789abcdef"
+    (tmp_path / "good.md").write_text(f"# X\n\n**Document ID:** `{doc_id}`\n")
+    (tmp_path / "plain.md").write_text("no id é")
+    (tmp_path / "empty.md").write_text("")
+    (tmp_path / "bad.md").write_bytes(b"\xc3\x28" + f"**Document ID:** `{doc_id}`".encode())
+    files = io.read_text_files_checked(spark, str(tmp_path))
+    got = records.audit_document_ids(files, error="read_error").collect()
+    assert {r["source"].rsplit("/", 1)[1]: r["document_id"] for r in got} == {
+        "good.md": doc_id, "plain.md": "NOT_FOUND", "bad.md": "ERROR"}

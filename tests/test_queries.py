@@ -89,6 +89,30 @@ def test_registry_validation():
         feature("x", "not-a-type")
 
 
+@pytest.mark.parametrize("name, tables", [("features_illuminate", 3), ("features_milestone", 3)])
+def test_each_source_is_read_once(spark, name, tables):
+    """What is planned after the positions reads the written table, not the source: no scan is left in the plan."""
+    plan = _plan(REG[name].run(spark, SF_SMOKE))
+    assert plan.count("FileScan parquet") == 0 and plan.count("Scan ExistingRDD") <= 4
+
+
+def test_longitudinal_is_planned_in_one_aggregate(spark):
+    df = REG["longitudinal_wide"].run(spark, SF_SMOKE)
+    assert len(df.columns) == 260  # the student, 88 latest, 85 deltas, 85 slopes, the number of snapshots
+    plan = _plan(df)
+    assert plan.count("FileScan parquet") == 0 and plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+
+
+def test_quantiles_of_all_targets_take_one_ranked_pass(spark):
+    from strata.operators.stats import order_stats_many
+
+    df = spark.createDataFrame([(i % 2 == 0, i, float(i), float(-i)) for i in range(50)], "g boolean, k long, a double, b double")
+    got = {r["g"]: r for r in order_stats_many(df, ["g"], {"x": "a", "y": "b"}, ["k"], {"p": 0.5}, qq=True).collect()}
+    assert got[True]["x_p"] == 24.0 and got[True]["y_p"] == -24.0 and got[False]["x_n"] == 25
+    plan = _plan(order_stats_many(df, ["g"], {"x": "a", "y": "b"}, ["k"], {"p": 0.5}, bounded_groups=True))
+    assert plan.count("Window [") <= 2
+
+
 def test_bounded_groups_broadcast_block_table(spark):
     df = REG["qq_r2"].run(spark, SF_SMOKE)
     df.collect()
