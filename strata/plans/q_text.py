@@ -8,6 +8,7 @@ from ..functions import constants as K
 from ..functions import scalars as X
 from ..operators import pages as PG
 from ..sources.tables import table
+from . import pages_binding as PB
 from .catalog import register
 
 
@@ -111,19 +112,55 @@ def candidate_urls(spark, sf_dir):
     return c.select("page_id", F.size("urls").cast("bigint").alias("n_urls"), F.array_join("urls", " ").alias("urls"))
 
 
-@register("majors_table", sql=None, ops="D14 (both layouts; driver pages carry no tables -> fixture tests)")
+@register("majors_table", sql="""
+WITH r AS (SELECT p_partkey AS k, p_partkey // 8 AS page_id, p_partkey % 4 = 1 AS is_cat, p_brand, p_size,
+             p_name || ' & ' || p_partkey AS name FROM part),
+c AS (SELECT *, sum(CAST(is_cat AS INTEGER)) OVER (PARTITION BY page_id ORDER BY k) AS cat_idx FROM r),
+g AS (SELECT page_id, cat_idx, max(CASE WHEN is_cat THEN p_brand END) AS category FROM c GROUP BY ALL)
+SELECT page_id, CAST(page_id % 2 + 1 AS INTEGER) AS layout, category, name, p_size % 2 = 0 AS offers_associate, p_size % 3 = 0 AS offers_bachelors,
+  CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS place
+FROM c JOIN g USING (page_id, cat_idx) WHERE NOT is_cat AND (page_id % 2 = 1 OR cat_idx > 0)""",
+          ops="D14 (both layouts, on pages built from part)")
 def majors_table(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    m = PG.majors_table(p, layout=1)
-    return m.select("page_id", F.size("majors_and_degrees").alias("n_categories"),
-                    F.to_json("majors_and_degrees").alias("majors_json"))
+    out = None
+    for layout in (1, 2):
+        m = PG.majors_table(PB.majors_pages(spark, sf_dir, layout), layout=layout)
+        flat = F.flatten(F.transform("majors_and_degrees", lambda c: F.transform(c["programs"], lambda p: F.struct(
+            c["category"].alias("category"), p["name"].alias("name"), p["offers_associate"].alias("offers_associate"),
+            p["offers_bachelors"].alias("offers_bachelors")))))
+        one = m.select("page_id", F.lit(layout).alias("layout"), F.posexplode(flat).alias("place", "p")) \
+            .select("page_id", "layout", "p.*", "place")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+CATALOGUE_SQL = """
+WITH r AS (SELECT p_partkey AS k, p_partkey // 8 AS page_id, p_type || ' - Tests & more' AS category, p_name AS description,
+             'https://example.com/f/' || replace(p_brand, '#', '-') || '/' || p_partkey || '.csv' AS url,
+             CASE WHEN p_partkey % 3 = 0 THEN '20' || lpad(CAST(p_partkey % 20 + 1 AS VARCHAR), 2, '0') || '-' ||
+                    lpad(CAST(p_partkey % 20 + 2 AS VARCHAR), 2, '0')
+                  WHEN p_partkey % 3 = 1 THEN '2015' END AS year,
+             p_partkey || '.csv' AS filename, lower(p_type) || '_tests_more' AS folder
+           FROM part WHERE p_partkey % 7 > 1 AND p_partkey // 8 % 9 <> 0)
+"""
+
+
+@register("catalogue_links", sql=CATALOGUE_SQL + """
+SELECT page_id, category, description, url, year, filename, folder || '/' || coalesce(year, 'unknown_year') || '/' || filename AS path
+FROM r WHERE (year IS NULL OR year IN ('2015', '2007-08', '2010-11'))
+  AND folder || '/' || coalesce(year, 'unknown_year') || '/' || filename NOT IN (
+    SELECT lower(p_type) || '_tests_more/2015/' || p_partkey || '.csv' FROM part WHERE p_partkey % 5 = 0)""",
+          ops="D15, D19, P15 (on pages built from part)")
+def catalogue_links(spark, sf_dir):
+    links = PG.filter_catalogue(PG.catalogue_links(PB.catalogue_pages(spark, sf_dir)), years=["2015", "2007-08", "2010-11"])
+    done = table(spark, sf_dir, "part").where(F.col("p_partkey") % 5 == 0).select(F.concat(
+        F.lower("p_type"), F.lit("_tests_more/2015/"), F.col("p_partkey").cast("string"), F.lit(".csv")).alias("path"))
+    return PG.target_paths(links, done).select("page_id", "category", "description", "url", "year", "filename", "path")
 
 
-@register("catalogue_links", sql=None, ops="D15, D17, D19, P15 (driver pages carry no tables -> fixture tests)")
-def catalogue_links(spark, sf_dir):
-    links = PG.catalogue_links(table(spark, sf_dir, "pages"))
-    return PG.target_paths(PG.filter_catalogue(links)).select(
-        "page_id", "category", "description", "url", "year", "filename", "path")
+@register("catalogue_categories", sql=CATALOGUE_SQL + "SELECT DISTINCT category FROM r", ops="D17 (on pages built from part)")
+def catalogue_categories(spark, sf_dir):
+    return PG.categories(PG.catalogue_links(PB.catalogue_pages(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------- #
