@@ -203,8 +203,6 @@ class FeatureSet:
         return outs[0] if len(outs) == 1 else tuple(outs)
 
     def to_matrix(self, df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-        """raw values per group as one array column per group (row mode)."""
-        cols = []
-        for i in range(len(self.groups)):
-            cols.append(F.array(*[col.cast("string") for col in self.columns(df, i)]).alias(f"group_{i}"))
+        """raw values per group as one struct column per group (row mode), each value of its own type."""
+        cols = [F.struct(*self.columns(df, i)).alias(f"group_{i}") for i in range(len(self.groups))]
         return df.select(*(keys or []), *cols)

@@ -139,6 +139,21 @@ def longitudinal_wide(spark, sf_dir):
     return finish(longitudinal.longitudinal_features(all_features(spark, sf_dir), B.STUDENT, B.YEAR))
 
 
+@register("feature_matrix", sql=f"""
+SELECT mask_studentpersonkey, SchoolYearNumberFall, GradeLevel, coalesce(ActiveGiftedStudentResultRecordFlag, 'N') AS is_gifted,
+       {r6('sat_math_score')} AS sat_math_score, {r6('sat_verbal_score')} AS sat_verbal_score
+FROM ({V.PROFILE}) p""", ops="F2, F4 (two groups of raw values, each of its own type)")
+def feature_matrix(spark, sf_dir):
+    from ..operators.features.registry import features
+
+    @features([("sat_math_score", float), ("sat_verbal_score", float)], stage="post")
+    def sat_scores(c):
+        return [F.try_element_at(c.sat[name], F.lit(-1)) for name in ("MathScore", "VerbalScore")]
+
+    sets = FeatureSet([student.get_student_grade_level, student.is_gifted], [sat_scores])
+    return finish(sets.to_matrix(B.student_profile(spark, sf_dir), [K, P]).select(K, P, "group_0.*", "group_1.*"))
+
+
 # --------------------------------------------------------------------------- #
 @register("cohort_until_event", sql=f"""
 WITH p AS ({V.PROFILE}),

@@ -99,7 +99,7 @@ def test_to_matrix_and_row_features(spark):
     df = spark.createDataFrame([(1, 2.0)], "id int, x double")
     fs = FeatureSet([_double_x])
     assert fs.transform(df).collect()[0]["double_x"] == 4.0
-    assert fs.to_matrix(df, ["id"]).collect()[0]["group_0"] == ["4.0"]
+    assert fs.to_matrix(df, ["id"]).collect()[0]["group_0"].asDict() == {"double_x": 4.0}
     assert fs.schema() == [[("double_x", "double")]]
 
 
