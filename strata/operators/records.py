@@ -619,15 +619,29 @@ def json_key_coverage(df: DataFrame, id_col: str, json_col: str, samples: int =
 
 
 def category_coverage(df: DataFrame, id_col: str, array_col: str, tag: str = "category",
-                      value: str = "amount") -> DataFrame:
-    """Q2: per category of a nested list: records having it, records with a
-    value, and the mean value."""
-    e = df.select(id_col, F.explode_outer(array_col).alias("_x")).where(F.col("_x").isNotNull())
-    e = e.select(id_col, F.col(f"_x.{tag}").alias("category"), F.col(f"_x.{value}").alias("_v"))
-    return e.groupBy("category").agg(
-        F.count_distinct(id_col).alias("records"),
-        F.count_distinct(F.when(F.col("_v").isNotNull(), F.col(id_col))).alias("records_with_value"),
-        F.avg("_v").alias("mean_value"))
+                      value: str = "amount", samples: int = 3) -> DataFrame:
+    """Q2: per category of a nested list: its items, records having it, records with a value, the mean value,
+    and the texts of the first ``samples`` distinct values in the order of records and items.
+
+    Items without a category do not count.  Records are counted from one row per
+    (category, record), samples from one row per (category, value) and a limit
+    before the shuffle, so no category meets in one task.
+    """
+    e = df.select(F.col(id_col).alias("_id"), F.posexplode_outer(array_col).alias("_pos", "_x")).where(F.col("_x").isNotNull())
+    e = e.select("_id", "_pos", F.col(f"_x.{tag}").alias("category"), F.col(f"_x.{value}").alias("_v")) \
+        .where(F.coalesce(F.col("category"), F.lit("")) != "")
+    per = e.groupBy("category", "_id").agg(F.count("*").alias("_n"), F.count("_v").alias("_nv"), F.sum("_v").alias("_sv"))
+    counts = per.groupBy("category").agg(
+        F.sum("_n").alias("items"), F.count("*").alias("records"), F.count_if(F.col("_nv") > 0).alias("records_with_value"),
+        (F.sum("_sv") / F.nullif(F.sum("_nv"), F.lit(0))).alias("mean_value"))
+    seen = e.where("_v IS NOT NULL").groupBy("category", F.col("_v").cast("string").alias("_t")) \
+        .agg(F.min(F.struct("_id", "_pos")).alias("_first"))
+    first = seen.withColumn("_rank", F.row_number().over(Window.partitionBy("category").orderBy("_first"))) \
+        .where(F.col("_rank") <= samples)
+    said = first.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("_rank", "_t"))).alias("_s"))
+    return counts.join(said, "category", "left").select(
+        "category", "items", "records", "records_with_value", "mean_value",
+        F.coalesce(F.array_join(F.transform("_s", lambda x: x["_t"]), " | "), F.lit("")).alias("samples"))
 
 
 def attribute_coverage(df: DataFrame, id_col: str, lists: dict, tag: str = "sport",
@@ -639,10 +653,11 @@ def attribute_coverage(df: DataFrame, id_col: str, lists: dict, tag: str = "spor
         e = df.select(id_col, F.lit(label).alias("_list"), F.explode_outer(col).alias("_x")).where(F.col("_x").isNotNull())
         parts = e if parts is None else parts.unionByName(e)
     t = parts.select(id_col, "_list", F.col(f"_x.{tag}").alias(tag), *[F.col(f"_x.{a}").alias(a) for a in attrs])
-    aggs = [F.count_distinct(F.when(F.col("_list") == lab, F.col(id_col))).alias(f"records_{lab}") for lab in lists]
-    aggs.append(F.count_distinct(id_col).alias("records_any"))
-    aggs += [F.count_distinct(F.when(F.col(a).isNotNull(), F.col(id_col))).alias(f"records_with_{a}") for a in attrs]
-    return t.groupBy(tag).agg(*aggs)
+    # one row per (tag, record) first, so that nothing is expanded per distinct count
+    seen = {f"records_{lab}": F.col("_list") == lab for lab in lists} | {f"records_with_{a}": F.col(a).isNotNull() for a in attrs}
+    per = t.groupBy(tag, id_col).agg(*[F.bool_or(c).alias(n) for n, c in seen.items()])
+    some = [F.count_if(n).alias(n) for n in seen]
+    return per.groupBy(tag).agg(*some[:len(lists)], F.count("*").alias("records_any"), *some[len(lists):])
 
 
 def coverage_report(cov: DataFrame, total_col: str = "records", top: int | None = None) -> DataFrame:

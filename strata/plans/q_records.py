@@ -298,11 +298,14 @@ def duplicate_rows(spark, sf_dir):
 
 
 @register("category_coverage", sql=f"""
-WITH t AS (SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Private' ELSE 'In-state' END AS category,
-                  CASE WHEN c_acctbal > 0 THEN c_acctbal * 3.0 END AS v FROM customer
-           UNION ALL SELECT c_custkey, 'Out-of-state', CAST(20000 + c_custkey % 10000 AS DOUBLE) FROM customer)
-SELECT category, count(DISTINCT id) AS records, count(DISTINCT CASE WHEN v IS NOT NULL THEN id END) AS records_with_value,
-       {r6('avg(v)')} AS mean_value FROM t GROUP BY category""", ops="Q2")
+WITH t AS (SELECT c_custkey AS id, 0 AS pos, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Private' ELSE 'In-state' END AS category,
+                  CASE WHEN c_acctbal > 0 THEN c_acctbal * CAST(3.0 AS DOUBLE) END AS v FROM customer
+           UNION ALL SELECT c_custkey, 1, 'Out-of-state', CAST(20000 + c_custkey % 10000 AS DOUBLE) FROM customer),
+d AS (SELECT category, v, row_number() OVER (PARTITION BY category ORDER BY min(id)) AS r FROM t WHERE v IS NOT NULL GROUP BY category, v),
+s AS (SELECT category, string_agg(CAST(v AS VARCHAR), ' | ' ORDER BY r) AS samples FROM d WHERE r <= 3 GROUP BY category)
+SELECT category, CAST(count(*) AS BIGINT) AS items, count(DISTINCT id) AS records,
+       count(DISTINCT CASE WHEN v IS NOT NULL THEN id END) AS records_with_value, {r6('avg(v)')} AS mean_value,
+       coalesce(any_value(samples), '') AS samples FROM t LEFT JOIN s USING (category) GROUP BY category""", ops="Q2")
 def category_coverage(spark, sf_dir):
     rec = RB.records(spark, sf_dir)
     return finish(RC.category_coverage(rec, "ordinal", "tuition_and_fees.tuition"))
