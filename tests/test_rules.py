@@ -338,8 +338,8 @@ def test_trees_take_more_categories_than_the_default_bins(spark):
     from strata.operators.model import fit_regressors, predict
 
     df = spark.createDataFrame([(i, f"c{i % 40}", float(i % 40)) for i in range(200)], "k long, cat string, t double")
-    model, _ = fit_regressors(df, "k", ["t"], max_iter=2, max_depth=3)
-    got = predict(model, df, "k", ["t"]).join(df, "k")
+    model = fit_regressors(df, "k", ["t"], iterations=2, depth=3)
+    got = predict(model, df, "k").join(df, "k")
     mean_error = df.select(F.stddev_pop("t")).first()[0]
     assert got.select(F.sqrt(F.avg((F.col("pred_t") - F.col("t")) ** 2))).first()[0] < mean_error
 
