@@ -74,5 +74,5 @@ def r6(expr: str) -> str:
 
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
-    from . import q_basic, q_features, q_link, q_model, q_records, q_retrieval, q_stats, q_stream, q_student, q_text  # noqa: F401
+    from . import q_basic, q_features, q_link, q_model, q_records, q_retrieval, q_sources, q_stats, q_stream, q_student, q_text  # noqa: F401
     return REGISTRY

@@ -33,3 +33,17 @@ def read_latest(spark: SparkSession, log_path: str, key: Sequence[str], order: S
     log = spark.read.parquet(log_path)
     empty = log.limit(0)
     return upsert_latest(empty, log, list(key), ["_batch", *order])
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Take back the commit of the last batch (its number), so that the next start delivers that batch again.
+
+    This is the state after a crash between a batch's write and its commit."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().isdigit()] if fs.exists(folder) else []
+    if not done:
+        return None
+    last = max(done, key=lambda p: int(p.getName()))
+    fs.delete(last, False)
+    return int(last.getName())
