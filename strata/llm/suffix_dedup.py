@@ -10,11 +10,15 @@ compared byte by byte.
 Scale: sorting every suffix of a corpus would move it hundreds of times over.
 Instead each text is cut into segments of starts whose strings share their
 smallest ``GRAM``-byte hash (suffix_hash.py); equal strings have equal smallest
-hashes, so a segment whose hash occurs once holds no repeat, and segments of
-equal bytes repeat as a whole.  What remains are the segments at the edges of
-repeats: they alone are fetched, grouped by smallest hash, and suffix-sorted.
-A group of more than ``GROUP`` different segments is not sorted in one task;
-its strings are counted one by one with map-side combine.
+hashes, so a segment whose hash occurs once holds no repeat.  The bytes of the
+others are fetched and grouped: segments of equal bytes repeat as a whole, and
+what remains are the segments at the edges of repeats, which are suffix-sorted
+by smallest hash, with one segment of each group of equal ones.  Where more
+than ``GROUP`` different segments share their smallest hash, they are not
+sorted in one task: their strings are counted with map-side combine, by hash
+and then, where that occurs again, by their bytes.
+
+A hash only ever leaves out what cannot repeat; every removal rests on bytes.
 """
 
 from __future__ import annotations
@@ -117,35 +121,33 @@ def _verified(keys: np.ndarray, at: np.ndarray, classes: np.ndarray, length: int
 def _segments(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, "body", 2 << 20):
-            text, start, windows, h, d, more = segments(*buffer_of(batch["body"]), length)
+            text, start, windows, h, more = segments(*buffer_of(batch["body"]), length)
             yield pa.RecordBatch.from_arrays([
                 batch["rid"].take(pa.array(text)), pa.array(start), pa.array(windows.astype(np.int32)),
-                pa.array(h), pa.array(d), pa.array(more)], names=["rid", "start", "windows", "h", "d", "more"])
+                pa.array(h), pa.array(more)], names=["rid", "start", "windows", "h", "more"])
 
     return run
 
 
-SEGMENT = "rid long, start long, windows int, h long, d long, more boolean"
-EDGE = "h long, hot boolean, single boolean, rid long, start long, windows int, body binary"
+SEGMENT = "rid long, start long, windows int, h long, more boolean"
+CUT = "h long, rid long, start long, windows int, body binary"
 SPAN = "rid long, lo long, hi long"
+STRING = "one long, two long, rid long, place long, single boolean, string binary"
 
 
-def _cut_edges(length: int):
+def _cut(length: int):
     """The bytes of each segment that is to be compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "body", 8 << 20):
-            out: dict[str, list] = {c.split()[0]: [] for c in EDGE.split(", ")}
-            for i, segs in enumerate(batch["segs"].to_pylist()):
-                body, rid = batch["body"][i].as_py(), batch["rid"][i].as_py()
-                for s in segs:
-                    for k in ("h", "hot", "single", "start", "windows"):
-                        out[k].append(s[k])
-                    out["rid"].append(rid)
-                    out["body"].append(body[s["start"]:s["start"] + s["windows"] - 1 + length])
+        for batch in by_size(batches, "body", 4 << 20):
+            raw, offsets = buffer_of(batch["body"])
+            found, data = batch["segs"].flatten(), raw.tobytes()
+            text = batch["segs"].value_parent_indices()
+            start, windows = (found.field(k).to_numpy() for k in ("start", "windows"))
+            lo = offsets[text.to_numpy()] + start
+            bodies = [data[i:j] for i, j in zip(lo.tolist(), (lo + windows - 1 + length).tolist())]
             yield pa.RecordBatch.from_arrays([
-                pa.array(out["h"], pa.int64()), pa.array(out["hot"], pa.bool_()), pa.array(out["single"], pa.bool_()),
-                pa.array(out["rid"], pa.int64()), pa.array(out["start"], pa.int64()),
-                pa.array(out["windows"], pa.int32()), pa.array(out["body"], pa.binary())], names=list(out))
+                found.field("h"), batch["rid"].take(text), found.field("start"), found.field("windows"),
+                pa.array(bodies, pa.binary())], names=[c.split()[0] for c in CUT.split(", ")])
 
     return run
 
@@ -201,20 +203,39 @@ def _compare(length: int, limit: int = 2 << 20):
     return run
 
 
-def _window_hashes(length: int):
+def _strings(length: int, bits: int):
+    """Every string of the batch's segments, with two hashes of ``bits`` bits."""
+    down = _U(64 - bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "body", 1 << 20):
+        for batch in by_size(batches, "body", 1 << 18):
             raw, row, at, place = _windows(batch)
-            one = mix(string_hash(prefix_hash(raw), at, at + length))
-            two = mix(string_hash(prefix_hash(raw ^ np.uint8(0x5A)), at, at + length) + _SECOND[raw[at]])
+            one = mix(string_hash(prefix_hash(raw), at, at + length)) >> down
+            two = mix(string_hash(prefix_hash(raw ^ np.uint8(0x5A)), at, at + length) + _SECOND[raw[at]]) >> down
+            data = raw.tobytes()
             yield pa.RecordBatch.from_arrays([
                 pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(batch["rid"].to_numpy()[row]),
-                pa.array(place), pa.array(batch["single"].to_numpy(zero_copy_only=False)[row])],
-                names=["one", "two", "rid", "place", "single"])
+                pa.array(place), pa.array(batch["single"].to_numpy(zero_copy_only=False)[row]),
+                pa.array([data[i:i + length] for i in at.tolist()], pa.binary())],
+                names=[c.split()[0] for c in STRING.split(", ")])
 
     return run
 
 
+def _hot_spans(hot: DataFrame, stage: Stage, length: int, bits: int) -> DataFrame:
+    """Repeated strings of the single segments among those of large groups."""
+    strings = hot.mapInArrow(_strings(length, bits), STRING)
+    twice = strings.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    likely = stage.save(strings.join(stage.save(twice, "twice").hint("merge"), ["one", "two"]), "likely")
+    # rows that share their bytes with no other: their hashes are equal by chance
+    alone = likely.groupBy("one", "two", "string").agg(
+        F.count("*").alias("n"), F.min("rid").alias("rid"), F.min("place").alias("place")) \
+        .where("n = 1").select("rid", "place")
+    again = likely.where("single").select("rid", "place").join(stage.save(alone, "alone"), ["rid", "place"], "left_anti")
+    spans = again.select("rid", F.col("place").alias("lo"), (F.col("place") + length).alias("hi"))
+    return stage.save(spans, "counted")
+
+
 def _remove():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, "body", 8 << 20):
@@ -238,13 +259,14 @@ def _remove():
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH,
-                   group: int = GROUP) -> DataFrame:
+                   group: int = GROUP, bits: int = 64) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts elsewhere in the input.
 
     Returns one row per input row: ``key``, ``n_bytes``, ``spans`` (the maximal
     removed runs, in order, as byte offsets lo..hi) and ``kept`` (the remaining
     bytes).  Repeats are judged on the input; overlapping occurrences within
-    one text count; a match never crosses texts.
+    one text count; a match never crosses texts.  ``group`` and ``bits`` (of the
+    hashes that large groups are counted by first) change the cost, not the result.
 
     A null text is the empty one; a text shorter than ``length`` keeps all.
     Null and repeated keys are no matter: rows are told apart by their place,
@@ -258,37 +280,38 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     texts = rows.select("rid", "body")
     segs = stage.save(texts.mapInArrow(_segments(length), SEGMENT), "segments")
     often = segs.groupBy("h").agg(F.sum(F.lit(1) + F.col("more").cast("int")).alias("n")).where("n > 1").select("h")
-    again = stage.save(segs.join(stage.save(often, "often").hint("merge"), "h"), "again")
+    again = segs.drop("more").join(stage.save(often, "often").hint("merge"), "h")
+    again = stage.save(again, "again")
     stage.drop("segments")
 
-    classes = stage.save(again.groupBy("h", "d").agg(
-        F.count("*").alias("n"), F.max("more").alias("more"),
-        F.min(F.struct("rid", "start", "windows")).alias("first")), "classes")
-    groups = classes.groupBy("h").agg(F.count("*").alias("different"), F.count_if(F.col("n") == 1).alias("singles")) \
-        .where("singles > 0")
-    edges = classes.join(stage.save(groups, "groups").hint("merge"), "h").where("different > 1 or more")
-    edges = edges.select("first.*", "h", (F.col("n") == 1).alias("single"), (F.col("different") > group).alias("hot"))
-    whole = again.join(classes.where("n > 1").select("h", "d").hint("merge"), ["h", "d"]) \
+    by_text = again.groupBy("rid").agg(F.collect_list(F.struct("h", "start", "windows")).alias("segs"))
+    cut = texts.join(by_text.hint("shuffle_hash"), "rid").select("rid", "body", "segs").mapInArrow(_cut(length), CUT)
+    # copies are put together before the shuffle; a class of one has its own place, the others need none
+    equal = stage.save(cut.groupBy("h", "body").agg(
+        F.count("*").alias("n"), F.min("rid").alias("rid"), F.min("start").alias("start"),
+        F.min("windows").alias("windows")), "equal")
+    single = F.col("n") == 1
+    alone = equal.where(single).select("rid", "start")
+    whole = again.join(alone, ["rid", "start"], "left_anti") \
         .select("rid", F.col("start").alias("lo"), (F.col("start") + F.col("windows") - 1 + length).alias("hi"))
     found = stage.save(whole, "whole")
-
-    by_text = edges.groupBy("rid").agg(F.collect_list(F.struct("h", "hot", "single", "start", "windows")).alias("segs"))
-    cut = stage.save(texts.join(stage.save(by_text, "edges").hint("shuffle_hash"), "rid").select("rid", "body", "segs")
-                     .mapInArrow(_cut_edges(length), EDGE), "cut")
     stage.drop("again")
-    compared = cut.where("not hot").drop("hot").repartition("h").sortWithinPartitions("h") \
+
+    groups = equal.groupBy("h").agg(F.count("*").alias("different"), F.count_if(single).alias("singles")) \
+        .where("singles > 0").select("h", (F.col("different") > group).alias("hot"))
+    edges = equal.join(stage.save(groups, "groups").hint("merge"), "h") \
+        .select("h", "hot", single.alias("single"), "rid", "start", "windows", "body")
+    edges = stage.save(edges, "edges", by=("hot",))
+    stage.drop("equal")
+    compared = edges.where("not hot").drop("hot").repartition("h").sortWithinPartitions("h") \
         .mapInArrow(_compare(length), SPAN)
     found = found.unionAll(stage.save(compared, "compared"))
-    hot = cut.where("hot")
+    hot = edges.where("hot").drop("hot")
     if not hot.isEmpty():
-        strings = hot.mapInArrow(_window_hashes(length), "one long, two long, rid long, place long, single boolean")
-        twice = strings.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-        counted = strings.where("single").join(stage.save(twice, "twice").hint("merge"), ["one", "two"])
-        found = found.unionAll(stage.save(counted.select("rid", F.col("place").alias("lo"),
-                                                         (F.col("place") + length).alias("hi")), "counted"))
+        found = found.unionAll(_hot_spans(hot, stage, length, bits))
     found = found.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
     found = stage.save(found, "found")
-    stage.drop("cut")
+    stage.drop("edges")
     return rows.join(found.hint("shuffle_hash"), "rid", "left").select("id", "body", "found").mapInArrow(
         _remove(), f"id {kind}, n_bytes long, spans array<struct<lo:long,hi:long>>, kept binary") \
         .withColumnRenamed("id", key)

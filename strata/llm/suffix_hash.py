@@ -44,7 +44,7 @@ def sliding(x: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def segments(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Segments of all texts of a buffer: (text, start in it, windows, smallest hash, hash of its bytes, more).
+    """Segments of all texts of a buffer: (text, start in it, windows, smallest hash, more).
 
     A segment is ``windows`` starts in a row; its bytes are those its windows
     cover.  ``more`` is true where its smallest hash occurs in it twice, so
@@ -55,7 +55,7 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     n = len(raw)
     empty = np.empty(0, np.int64)
     if n < length:
-        return empty, empty, empty, empty, empty, np.empty(0, bool)
+        return empty, empty, empty, empty, np.empty(0, bool)
     acc = prefix_hash(raw)
     _, down = POWERS.get(n + 1)
     g = mix((acc[gram:] - acc[:-gram]) * down[:n - gram + 1])
@@ -89,8 +89,7 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
         nth = np.arange(len(rep)) - np.repeat(np.cumsum(parts) - parts, parts)
         at, stop = at[rep] + nth * LONGEST, np.minimum(at[rep] + (nth + 1) * LONGEST, stop[rep])
         text, more = text[rep], more[rep]
-    digest = mix(string_hash(acc, at, stop - 1 + length) + (stop - at).astype(_U))
-    return text, at - offsets[text], stop - at, low[at].view(np.int64), digest.view(np.int64), more
+    return text, at - offsets[text], stop - at, low[at].view(np.int64), more
 
 
 def _twice(g: np.ndarray, high: np.ndarray, lo: np.ndarray, hi: np.ndarray, value: np.ndarray) -> np.ndarray:

@@ -154,8 +154,9 @@ def repeats_brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("group", [1024, 1])
-def test_remove_repeats_equals_brute_force(docs_of, group):
+@pytest.mark.parametrize("group, bits", [(1024, 64), (1, 64), (1, 2)])
+def test_remove_repeats_equals_brute_force(docs_of, group, bits):
+    """With 2 bits, most strings of the large groups share both hashes with unlike ones."""
     rng = random.Random(9)
     passage = "".join(rng.choice("abcdé ") for _ in range(150))
     rows = []
@@ -166,7 +167,7 @@ def test_remove_repeats_equals_brute_force(docs_of, group):
     rows += [(100, None), (101, ""), (102, "ab" * 300), (103, "q" * 500), (104, rows[3][1]), (104, rows[3][1]), (None, rows[4][1]),
              (105, "xyz" + "pqrst" * 20), (106, "k" * 40), (107, "k" * 41)]
     want = repeats_brute([r[1] for r in rows], 40)
-    got = suffix_dedup.remove_repeats(docs_of(rows), length=40, group=group).collect()
+    got = suffix_dedup.remove_repeats(docs_of(rows), length=40, group=group, bits=bits).collect()
     order = lambda r: (r[0] is None, r)
     have = [(r["doc_id"], r["n_bytes"], [(s["lo"], s["hi"]) for s in r["spans"]], bytes(r["kept"])) for r in got]
     assert sorted(have, key=order) == sorted(((k[0], *w) for k, w in zip(rows, want)), key=order)
