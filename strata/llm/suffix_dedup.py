@@ -286,16 +286,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
 
     by_text = again.groupBy("rid").agg(F.collect_list(F.struct("h", "start", "windows")).alias("segs"))
     cut = texts.join(by_text.hint("shuffle_hash"), "rid").select("rid", "body", "segs").mapInArrow(_cut(length), CUT)
+    cut = stage.save(cut, "cut")  # the texts' shuffle can go before the segments are shuffled
+    stage.drop("again")
     # copies are put together before the shuffle; a class of one has its own place, the others need none
     equal = stage.save(cut.groupBy("h", "body").agg(
         F.count("*").alias("n"), F.min("rid").alias("rid"), F.min("start").alias("start"),
         F.min("windows").alias("windows")), "equal")
     single = F.col("n") == 1
     alone = equal.where(single).select("rid", "start")
-    whole = again.join(alone, ["rid", "start"], "left_anti") \
+    whole = cut.select("rid", "start", "windows").join(alone, ["rid", "start"], "left_anti") \
         .select("rid", F.col("start").alias("lo"), (F.col("start") + F.col("windows") - 1 + length).alias("hi"))
     found = stage.save(whole, "whole")
-    stage.drop("again")
+    stage.drop("cut")
 
     groups = equal.groupBy("h").agg(F.count("*").alias("different"), F.count_if(single).alias("singles")) \
         .where("singles > 0").select("h", (F.col("different") > group).alias("hot"))
