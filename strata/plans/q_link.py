@@ -67,8 +67,8 @@ def fuzzy_ratio(spark, sf_dir):
     r = table(spark, sf_dir, "region")
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     return j.select("c_custkey",
-                    LK.similarity_ratio(norm_text("c_name"), norm_text("n_name")).alias("name_ratio"),
-                    LK.similarity_ratio(norm_text("c_mktsegment"), norm_text("r_name")).alias("segment_ratio"))
+                    LK.similarity_ratio_arrow(norm_text("c_name"), norm_text("n_name")).alias("name_ratio"),
+                    LK.similarity_ratio_arrow(norm_text("c_mktsegment"), norm_text("r_name")).alias("segment_ratio"))
 
 
 def _cands_sql() -> str:
