@@ -11,6 +11,7 @@ from ..operators import records as R
 from ..operators.features.registry import FeatureSet, feature, features
 from ..operators.profile import join_reasons
 from ..operators.snapshot import nest, nested_get, unnest
+from ..session import staged
 from ..sources import io
 from ..sources.tables import table
 from .catalog import finish, r6, register
@@ -64,7 +65,7 @@ def json_record_files(spark, sf_dir):
     body = F.when(which == 0, F.concat(F.lit("{not json "), key)) \
         .otherwise(F.to_json(F.struct(meta.alias("metadata"), record.alias("json"))))
     base = io.scratch_dir(spark, "json-files")
-    s.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{base}/in")
+    io.write_text_files(s.select(body.alias("value")), f"{base}/in")
     read = io.with_file_stem(io.read_json(spark, f"{base}/in", ENVELOPE, multiline=True, corrupt_col="_corrupt"))
     # the files are read and parsed once, whatever is asked of them
     files = spark.read.schema(read.schema).parquet(io.write_parquet(read, f"{base}/files"))
@@ -96,8 +97,9 @@ def text_file_documents(spark, sf_dir):
         F.concat(F.lit("**Document ID:** `d"), F.col("s_suppkey").cast("string"), F.lit("`")))
     body = F.concat(F.lit("# "), "s_name", F.lit("\n\n"), mark, F.repeat(F.lit("\nline"), F.col("s_nationkey")))
     base = io.scratch_dir(spark, "text-files")
-    s.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{base}/in")
-    texts = io.read_text_files(spark, f"{base}/in")
+    io.write_text_files(s.select(body.alias("value")), f"{base}/in")
+    # the files are read once, whatever is asked of them
+    texts = staged(io.read_text_files(spark, f"{base}/in"))
     found = R.audit_document_ids(texts)
     lines = texts.select("source", F.size(F.split(F.rtrim(F.regexp_replace("text", r"\n$", "")), "\n")).alias("lines"),
                          F.regexp_extract("text", "^# ([^\n]*)", 1).alias("name"))

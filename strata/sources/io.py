@@ -128,6 +128,17 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_text_files(texts: DataFrame, path: str) -> str:
+    """One text file per row of the one column ``texts`` has.
+
+    The rows are dealt to as many tasks as a shuffle has, as opening files takes the time, not their bytes;
+    every task moves its own files into place, so the driver does not move them one by one."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (texts.repartition(tasks, *texts.columns).write.option("maxRecordsPerFile", 1)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path))
+    return path
+
+
 def write_documents(docs: DataFrame, path: str, key: str = "document_id", buckets: int = 64) -> str:
     """Documents stored as Parquet partitioned by a hash bucket of the
     key (one file set per bucket, not one file per document)."""

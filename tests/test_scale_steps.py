@@ -16,3 +16,11 @@ def test_ratio_query_compares_by_bits(spark):
     """The interpreted O(n·m) expression took seconds per thousand pairs."""
     plan = REG["fuzzy_ratio"].run(spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "lambda" not in plan
+
+
+def test_one_file_per_row_is_written_by_many_tasks(spark):
+    path = io.scratch_dir(spark, "many")
+    io.write_text_files(spark.range(40).coalesce(1).select(F.col("id").cast("string").alias("value")), path)
+    parts = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert len(parts) == 40 and len({f.split("-")[1] for f in parts}) > 1
+    assert sorted(int(r["value"]) for r in spark.read.text(path).collect()) == list(range(40))
