@@ -24,3 +24,12 @@ def test_one_file_per_row_is_written_by_many_tasks(spark):
     parts = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
     assert len(parts) == 40 and len({f.split("-")[1] for f in parts}) > 1
     assert sorted(int(r["value"]) for r in spark.read.text(path).collect()) == list(range(40))
+
+
+def test_ranked_values_leave_their_tie_breaks_behind(spark):
+    df = spark.range(100).select((F.col("id") % 2 == 0).alias("g"), (F.col("id") % 10).cast("double").alias("v"),
+                                 *[F.col("id").alias(f"t{i}") for i in range(6)])
+    out = stats.order_stats(df, ["g"], "v", [f"t{i}" for i in range(6)], {"p": 0.5}, qq_name="r", bounded_groups=True)
+    assert "t5" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Scan ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()  # whole rows, uncompressed
+    assert {r["g"]: (r["p"], r["_n"]) for r in out.collect()} == {True: (4.0, 50), False: (5.0, 50)}
