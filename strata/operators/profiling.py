@@ -49,26 +49,36 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     def text(c: str, kind: str):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind in TIMES else F.col(c).cast("string")
 
+    # a value's key is its column's number and one of three: seconds stand for a timestamp's text until values
+    # are few (in other zones than UTC two of them may have one text)
+    utc = df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC")
+    seconds = [c for c, k in kinds.items() if utc and k in ("timestamp", "timestamp_ntz")]
     cells = F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.lit("number" if k in NUMBERS else "time" if k in TIMES else "text").alias("type"),
-        (F.col(c).cast("double") if k in NUMBERS else none).alias("num"),
-        (empty if k in NUMBERS else text(c, k)).alias("txt")) for c, k in kinds.items()])
-    values = df.select(F.inline(cells)).groupBy("column_name", "type", "num", "txt").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(F.col("num").cast("decimal(38,10)")).alias("total"))
+        F.lit(i).alias("i"), (F.col(c).cast("double") if k in NUMBERS else none).alias("num"),
+        (empty if k in NUMBERS or c in seconds else text(c, k)).alias("txt"),
+        (F.unix_seconds(F.col(c).cast("timestamp")) if c in seconds else F.lit(None).cast("long")).alias("sec")) for i, (c, k) in enumerate(kinds.items())])
+    named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit("number" if k in NUMBERS else "time" if k in TIMES else "text")
+                               .alias("type")) for c, k in kinds.items()])
+    values = df.select(F.inline(cells)).groupBy("i", "num", "txt", "sec").agg(F.count(F.lit(1)).alias("c")).select(
+        F.get(named, F.col("i")).alias("_n"), "num", "c",
+        F.coalesce("txt", F.date_format(F.timestamp_seconds("sec"), "yyyy-MM-dd HH:mm:ss")).alias("txt")) \
+        .select("_n.column_name", "_n.type", "num", "txt", "c")
     there = F.col("num").isNotNull() | F.col("txt").isNotNull()
     per = values.groupBy("column_name", "type").agg(
         F.coalesce(F.sum(F.when(there, F.col("c"))), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(~there, F.col("c"))), F.lit(0)).alias("missing"),
         F.count_if(there).alias("distinct_values"), F.min("num").alias("min"), F.max("num").alias("max"),
-        # exact decimal sum: the mean does not depend on summation order
-        F.sum("total").cast("double").alias("total"), F.sum(F.when(F.col("num") == 0, F.col("c"))).alias("zeros"),
+        F.sum(F.when(F.col("num") == 0, F.col("c"))).alias("zeros"),
         F.min("txt").alias("min_text"), F.max("txt").alias("max_text"),
         F.min(F.when(there, F.struct((-F.col("c")).alias("c"), "num", "txt"))).alias("top"))
     numbers = [c for c, k in kinds.items() if k in NUMBERS]
-    spread = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numbers)] or [F.count("*")])
-    spread = spread.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("std"))
-                                              for i, c in enumerate(numbers)]))) if numbers else \
-        df.sparkSession.createDataFrame([], "column_name string, std double")
+    # exact decimal sums: the mean does not depend on summation order
+    spread = df.agg(*[x for i, c in enumerate(numbers) for x in (
+        F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"),
+        F.sum(F.col(c).cast("double").cast("decimal(38,10)")).cast("double").alias(f"t{i}"))] or [F.count("*")])
+    spread = spread.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("std"),
+                                                       F.col(f"t{i}").alias("total")) for i, c in enumerate(numbers)]))) \
+        if numbers else df.sparkSession.createDataFrame([], "column_name string, std double, total double")
     return per.join(spread, "column_name", "left").select(
         "column_name", "type", "n", "missing", "distinct_values", "min", "max",
         (F.col("total") / F.nullif("n", F.lit(0))).alias("mean"), "std",

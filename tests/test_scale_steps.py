@@ -33,3 +33,17 @@ def test_ranked_values_leave_their_tie_breaks_behind(spark):
     assert "t5" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert "Scan ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()  # whole rows, uncompressed
     assert {r["g"]: (r["p"], r["_n"]) for r in out.collect()} == {True: (4.0, 50), False: (5.0, 50)}
+
+
+def test_profile_shuffles_no_sums_or_texts_per_value(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1.5D, timestamp_ntz'2020-01-01 00:00:00.9', 'a'), (1.5D, timestamp_ntz'2020-01-01 00:00:00.1', 'b'),
+        (-0.25D, NULL, 'a'), (NULL, timestamp_ntz'1969-12-31 23:59:59.5', NULL) AS t(x, at, s)""")
+    out = profiling.table_profile(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.index("partial_count(1)") - 300:plan.index("partial_count(1)")]
+    assert "decimal" not in first.rsplit("HashAggregate", 1)[-1] and "sec" in first
+    got = {r["column_name"]: r for r in out.collect()}
+    assert (got["x"]["mean"], got["x"]["distinct_values"], got["x"]["top_number"], got["x"]["top_count"]) == (2.75 / 3, 2, 1.5, 2)
+    assert (got["at"]["distinct_values"], got["at"]["min_text"], got["at"]["top_text"], got["at"]["missing"]) == (
+        2, "1969-12-31 23:59:59", "2020-01-01 00:00:00", 1)
+    assert (got["s"]["top_text"], got["s"]["top_count"], got["s"]["missing"]) == ("a", 2, 1)
