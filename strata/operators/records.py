@@ -585,10 +585,13 @@ def json_key_coverage(df: DataFrame, id_col: str, json_col: str, samples: int =
     def kind(v):
         return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
 
-    def plain(v):
-        return F.when(~kind(v).isin("OBJECT", "ARRAY") & ~F.is_variant_null(v), F.try_variant_get(v, "$", "string"))
+    def plain(v, of=None):
+        return F.when(~(kind(v) if of is None else of).isin("OBJECT", "ARRAY") & ~F.is_variant_null(v),
+                      F.try_variant_get(v, "$", "string"))
 
-    level = df.select(F.col(id_col).alias("_id"), F.lit("").alias("path"), F.try_parse_json(F.col(json_col)).alias("_v"))
+    nested = F.col("_kind").isin("OBJECT", "ARRAY")
+    level = df.select(F.col(id_col).alias("_id"), F.lit("").alias("path"), F.try_parse_json(F.col(json_col)).alias("_v")) \
+        .withColumn("_kind", kind("_v"))
     found = None
     while True:
         entries = F.transform(F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")), lambda e: F.struct(
@@ -596,15 +599,19 @@ def json_key_coverage(df: DataFrame, id_col: str, json_col: str, samples: int =
             e["value"].alias("_v"), F.lit(True).alias("_key")))
         first = F.array(F.struct(F.concat(F.col("path"), F.lit("[0]")).alias("path"),
                                  F.try_variant_get("_v", "$[0]", "variant").alias("_v"), F.lit(False).alias("_key")))
-        inner = F.when(kind("_v") == "OBJECT", entries).when(kind("_v") == "ARRAY", first)
-        level = cut_lineage(level.select("_id", F.inline(inner)).where(F.col("_v").isNotNull()))
+        inner = F.when(F.col("_kind") == "OBJECT", entries).when(F.col("_kind") == "ARRAY", first)
+        # a value's kind and text are found once, where it is met; only what goes deeper is kept as a variant
+        item = F.try_variant_get("_v", "$[0]", "variant")
+        step = level.where(nested).select("_id", F.inline(inner)).where(F.col("_v").isNotNull()).withColumn("_kind", kind("_v"))
+        level = cut_lineage(step.select(
+            "_id", "path", "_key", "_kind", F.when(nested, F.col("_v")).alias("_v"),
+            F.when(F.col("_kind") == "ARRAY", plain(item)).when(~nested, plain(F.col("_v"), F.col("_kind"))).alias("val")))
         if level.isEmpty():
             break
         found = level if found is None else found.unionByName(level)
     if found is None:
         found = level
-    item = F.try_variant_get("_v", "$[0]", "variant")
-    vals = found.where("_key").select("_id", "path", F.when(kind("_v") == "ARRAY", plain(item)).otherwise(plain(F.col("_v"))).alias("val"))
+    vals = found.where("_key").select("_id", "path", "val")
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     counts = vals.select("_id", "path").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("records"))
     dv = vals.where(F.col("val").isNotNull()).select("path", "val").distinct()

@@ -47,3 +47,13 @@ def test_profile_shuffles_no_sums_or_texts_per_value(spark):
     assert (got["at"]["distinct_values"], got["at"]["min_text"], got["at"]["top_text"], got["at"]["missing"]) == (
         2, "1969-12-31 23:59:59", "2020-01-01 00:00:00", 1)
     assert (got["s"]["top_text"], got["s"]["top_count"], got["s"]["missing"]) == ("a", 2, 1)
+
+
+def test_key_coverage_keeps_no_plain_value_as_variant(spark, monkeypatch):
+    levels = []
+    cut = records.cut_lineage
+    monkeypatch.setattr(records, "cut_lineage", lambda df: levels.append(cut(df)) or levels[-1])
+    df = spark.createDataFrame([(1, '{"a": {"b": [1, 2]}, "c": "x", "d": null}'), (2, '{"c": [], "a": 3}'), (3, "no")], "id long, doc string")
+    got = {r["path"]: (r["records"], r["samples"]) for r in records.json_key_coverage(df, "id", "doc").collect()}
+    assert got == {"a": (2, "3"), "a.b": (1, "1"), "c": (2, "x"), "d": (1, "")}
+    assert all(x.where("_v IS NOT NULL AND _kind NOT IN ('OBJECT', 'ARRAY')").isEmpty() for x in levels)
