@@ -41,6 +41,8 @@ ARC_FIELDS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DEFAULT_DATE = "20000101000000"
 MIN_REVISIT_BYTES = 0
+# Deflate level of the archives (Hadoop's name for 4): a third of the default's time for files a few percent larger.
+GZIP_LEVEL = "FOUR"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -279,7 +281,7 @@ def read_records(spark: SparkSession, path: str, parse: Callable, row: Callable,
 def _write(records: DataFrame, path: str, line_sep: str) -> None:
     """Raw bytes of each row, each closed by ``line_sep``, as gzipped files."""
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", line_sep) \
-        .option("compression", "gzip").text(path)
+        .option("compression", "gzip").option("zlib.compress.level", GZIP_LEVEL).text(path)
 
 
 def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:

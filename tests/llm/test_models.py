@@ -260,6 +260,18 @@ def test_pages_round_trip(spark, tmp_path):
     assert warc.archive_pages(df.limit(0)).collect() == []
 
 
+def test_archives_are_written_at_the_set_deflate_level(spark, tmp_path):
+    rng = random.Random(5)
+    html = " ".join(rng.choice(["<p>", "stone", "river", "lamp", str(rng.random())]) for _ in range(30_000))
+    df = spark.createDataFrame([(1, "http://h/x", html)], "page_id long, url string, html string").coalesce(1)
+    warc.write_arc(df, str(tmp_path / "arc"))
+    (data,) = [f.read_bytes() for f in (tmp_path / "arc").glob("part-*.gz")]
+    raw = zlib.decompress(data, 31)
+    assert html.encode() in raw
+    at = {level: len(zlib.compress(raw, level)) for level in (4, 6)}
+    assert min(at, key=lambda level: abs(len(data) - at[level])) == 4 and at[4] > 1.01 * at[6]
+
+
 def test_classifier_learns_from_long_texts(spark, docs_of, monkeypatch):
     rng = random.Random(2)
     rows = [(i, " ".join((junk if i % 2 else prose)(rng) for _ in range(1 + 70_000 // 400))) for i in range(12)]
