@@ -15,7 +15,7 @@ and one of B whose bytes overlap are a link.
 
 Scale: neither tokenizer joins what a blank or line feed before a word parts,
 which the model's vocabulary is checked for, so a worker keeps the alignment of
-the words it has met (a bounded cache).  What is broadcast (hash, keys,
+the words it has met (a bounded cache, which words met once leave first).  What is broadcast (hash, keys,
 counts) is bounded by ``ROUND_KEYS`` pairs; the parts of a larger set take turns, and
 the sums of a document's rounds are added.
 """
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,10 +98,10 @@ class Tokenizers:
         ids = self.pieces.encode("x" + text)
         if ids[:len(self.lead)] != self.lead:
             return None
-        b, raw = np.array(ids[len(self.lead):], np.int64), text.encode()
-        if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+        ids, raw = ids[len(self.lead):], text.encode()
+        if b"".join(map(self.bytes_b.__getitem__, ids)) != raw:
             return None
-        a = self.bpe.encode(text).astype(np.int64)
+        a, b = self.bpe.encode(text).astype(np.int64), np.array(ids, np.int64)
         return (a, b) if self.bpe.decode(a) == raw else None
 
 
@@ -110,9 +111,15 @@ class Aligned:
     def __init__(self, tok: Tokenizers, a: np.ndarray, b: np.ndarray, segment_end: np.ndarray, texts: bool):
         ends_a, ends_b = np.cumsum(tok.length_a[a]), np.cumsum(tok.length_b[b])
         # the bytes between two neighbouring ends belong to one token of each: a link
-        ends = np.union1d(ends_a, ends_b)
-        self.pairs = (a[np.searchsorted(ends_a, ends)] * tok.n_b + b[np.searchsorted(ends_b, ends)]).astype(np.int64)
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        whose = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.int8)
+        whose[ends_a] = 1
+        whose[ends_b] += 2
+        ends = np.flatnonzero(whose)
+        whose = whose[ends]
+        upto_a, upto_b = np.cumsum(whose & 1), np.cumsum(whose >> 1)
+        self.pairs = a[upto_a - (whose & 1)] * tok.n_b + b[upto_b - (whose >> 1)]
+        both = whose == 3
+        common = ends[both]
 
         def per_segment(x: np.ndarray) -> np.ndarray:
             return np.diff(np.searchsorted(x, segment_end, "right"), prepend=0)
@@ -121,7 +128,7 @@ class Aligned:
         self.groups: list[str] = []
         if texts:
             # A's ids of a group, then B's: each id with the sign that follows it
-            cut_a, cut_b = (np.searchsorted(x, common, "right") for x in (ends_a, ends_b))
+            cut_a, cut_b = upto_a[both], upto_b[both]
             per_a, per_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
             said = np.empty(len(a) + len(b), np.int64)
             sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -147,27 +154,50 @@ class Aligner:
         self.sizes, self.sums = np.empty((0, 4), np.int64), np.empty((0, 2), np.int64)
         self.groups: list[str] = []
         self.pairs: list[np.ndarray] = []
-
-    def _align(self, segments: list[str]) -> list[tuple[list[int], Aligned | None]]:
+        self.used = np.zeros(0, np.int64)
+
+    def trim(self) -> None:
+        """Once too many words are kept: forget those met only once (all, if that leaves too many)."""
+        if len(self.index) <= CACHE_WORDS:
+            return
+        keep = np.flatnonzero(self.used > 1)
+        if len(keep) > CACHE_WORDS // 2:
+            keep = keep[:0]
+        place = np.full(len(self.sizes), -1, np.int64)
+        place[keep] = np.arange(len(keep))
+        known = [(w, at) for w, at in self.index.items() if at >= 0]
+        new = place[np.fromiter((at for _, at in known), np.int64, len(known))].tolist()
+        self.index = _Index((w, at) for (w, _), at in zip(known, new) if at >= 0)
+        if self.value is None:
+            kept = np.repeat(place >= 0, self.sizes[:, 3])
+            self.pairs = [np.concatenate([np.empty(0, np.int64), *self.pairs])[kept]]
+        if self.texts:
+            self.groups = [self.groups[i] for i in keep.tolist()]
+        self.sizes, self.sums = self.sizes[keep], self.sums[keep]
+        self.used = np.zeros(len(keep), np.int64)
+
+    def _align(self, segments: list[str]) -> list[tuple[range, Aligned | None]]:
         """Alignments of runs of segments (by their places); None for a segment without tokens."""
-        out, todo, start, size = [], [], 0, 0
-        for i, s in enumerate(segments):
-            size += len(s)
-            if size > JOINED:
-                todo.append(range(start, i + 1))
-                start, size = i + 1, 0
-        todo.append(range(start, len(segments)))
+        out, todo, start = [], [], 0
+        size = np.fromiter(map(len, segments), np.int64, len(segments))
+        upto = np.cumsum(size)
+        while start < len(segments):
+            stop = int(np.searchsorted(upto, upto[start] - size[start] + JOINED, "right")) + 1
+            todo.append(range(start, min(stop, len(segments))))
+            start = stop
         while todo:
             run = todo.pop()
-            if not len(run):
-                continue
-            some = [segments[i] for i in run]
-            got = self.tok.both("".join(some))
+            some = segments[run.start:run.stop]
+            text = "".join(some)
+            got = self.tok.both(text)
             if got is not None:
-                end = np.cumsum([len(s.encode()) for s in some])
-                out.append((list(run), Aligned(self.tok, *got, end, self.texts)))
+                end = np.cumsum(size[run.start:run.stop])
+                if not text.isascii():  # characters begin at bytes that do not continue one
+                    raw = np.frombuffer(text.encode(), np.uint8)
+                    end = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))[end]
+                out.append((run, Aligned(self.tok, *got, end, self.texts)))
             elif len(run) == 1:
-                out.append((list(run), None))
+                out.append((run, None))
             else:
                 half = len(run) // 2
                 todo += [run[half:], run[:half]]
@@ -180,7 +210,7 @@ class Aligner:
         end = np.cumsum(found.sizes[:, 3])
         return run[end] - run[end - found.sizes[:, 3]]
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Keep the alignments of new words."""
         fit = []
         for w in words:
@@ -193,9 +223,8 @@ class Aligner:
             if found is None:
                 self.index[fit[run[0]]] = NONE
                 continue
-            for i in run:
-                self.index[fit[i]] = at
-                at += 1
+            self.index.update(zip(fit[run.start:run.stop], range(at, at + len(run))))
+            at += len(run)
             sizes.append(found.sizes)
             sums.append(self._sums(found))
             self.groups += found.groups
@@ -210,16 +239,24 @@ class Aligner:
             for u in cut_units(t):
                 units.append(u)
                 of.append(i)
-        split = [u.replace("\n", " \n").split(" ") for u in units]
-        self.learn({w for words in split for w in words if w not in self.index})
         out: list = [[] if t else None for t in texts]
-        for i, u, words in zip(of, units, split):
+        if not units:
+            return out
+        split = pc.split_pattern(pc.replace_substring(pa.array(units, pa.large_string()), "\n", " \n"), " ")
+        begin = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()  # each distinct word is looked up once
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn([w for w in words if w not in self.index])
+        places = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        lows = np.minimum.reduceat(places, begin[:-1])
+        self.used = (np.bincount(places[places >= 0], minlength=len(self.sizes))
+                     + np.pad(self.used, (0, len(self.sizes) - len(self.used))))
+        for n, (i, u) in enumerate(zip(of, units)):
             if out[i] is None:
                 continue
-            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-            low = at.min()
+            low = lows[n]
             if low >= 0:
-                out[i].append((at, None))
+                out[i].append((places[begin[n]:begin[n + 1]], None))
                 continue
             found = None if low == NONE else self._align([" " + u])[0][1]
             out[i] = None if found is None else [*out[i], (None, found)]
@@ -294,8 +331,7 @@ def _count(token: str, shared):
             if len(aligner.index) > CACHE_WORDS or sum(map(len, whole)) > 1 << 20:
                 yield from lists()
                 seen, whole = np.zeros(0, np.int64), []
-                if len(aligner.index) > CACHE_WORDS:
-                    aligner.clear()
+                aligner.trim()
         yield from lists()
 
     return run
@@ -392,8 +428,7 @@ def _look_up(token: str, shared, texts: bool):
             yield pa.RecordBatch.from_arrays(
                 [batch["rid"], batch["id"], *map(pa.array, cells), pa.array(groups, pa.string())],
                 names=[x.split()[0] for x in OUT.split(", ")])
-            if len(aligner.index) > CACHE_WORDS:
-                aligner.clear()
+            aligner.trim()
 
     return run
 

@@ -3,8 +3,10 @@
 import hashlib
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,6 +193,36 @@ def test_alignment_equals_brute_force(docs_of, monkeypatch, small):
     assert sum(r[1] == 0 for r in want) > 2
 
 
+def test_words_met_more_than_once_stay_when_the_word_cache_is_full(monkeypatch):
+    files = tuple(open(p, "rb").read() for p in align.default_paths())
+    learn, learnt = align.Aligner.learn, []
+    monkeypatch.setattr(align.Aligner, "learn", lambda self, words: (learnt.extend(words), learn(self, words))[1])
+    texts = [["stone lamp naïve stone lamp naïve " + " ".join(f"w{i}x{j}" for j in range(30)), "", "tail ", "x" * 300]
+             for i in range(6)]
+
+    def counted(most):
+        monkeypatch.setattr(align, "CACHE_WORDS", most)
+        align._LOADED.clear()
+        learnt.clear()
+        batches = [pa.RecordBatch.from_arrays([pa.array([t.encode() for t in some], pa.binary())], names=["body"]) for some in texts]
+        total = Counter()
+        for batch in align._count(f"trim-{most}", SimpleNamespace(value=files))(iter(batches)):
+            for keys, counts in zip(batch["keys"], batch["counts"]):
+                total.update(dict(zip(*(np.frombuffer(x.as_py(), "<i8").tolist() for x in (keys, counts)))))
+        return total, Counter(learnt)
+
+    (whole, _), (cut, words) = counted(10_000), counted(50)
+    assert cut == whole and sum(whole.values()) > 500
+    assert words["stone"] == words["naïve"] == 1 and words["w0x0"] == 1
+    # what words met once leave behind is the same as before
+    aligner = align.Aligner(*files, texts=True)
+    first = aligner.texts_of(texts[0])
+    said = [[aligner.groups[i] for i in units[0][0]] for units in first[:1]]
+    aligner.trim()
+    again = aligner.texts_of(texts[0])
+    assert [[aligner.groups[i] for i in units[0][0]] for units in again[:1]] == said
+
+
 def test_alignment_of_an_empty_table(docs_of):
     assert align.align(docs_of([])).collect() == []
     assert [tuple(r)[1:] for r in align.align(docs_of([(1, None), (2, "")])).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
