@@ -25,6 +25,7 @@ CONTEXTS = 2 * BUCKETS
 BACK_OFF = 4.0
 HIDE = np.float32(-1e9)
 _AGE = np.arange(QUERIES)[:, None] + QUERIES - np.arange(KEYS)[None, :]  # how far back each key lies
+_PAST, _AGE_AT = _AGE >= 0, _AGE.clip(0).ravel()
 
 
 @dataclass
@@ -94,7 +95,7 @@ def start_weights(seed: int = 2) -> dict[str, np.ndarray]:
 
 def mask(age: np.ndarray) -> np.ndarray:
     """(2, QUERIES, KEYS): causal scores added to every window, and to a text's first (no ids before it)."""
-    rest = np.where(_AGE >= 0, age[np.clip(_AGE, 0, KEYS - 1)], HIDE)
+    rest = np.where(_PAST, age[_AGE_AT].reshape(_AGE.shape), HIDE)
     first = rest.copy()
     first[:, :QUERIES] = HIDE
     return np.stack([rest, first]).astype(np.float32)
@@ -120,6 +121,18 @@ def windows(ids: np.ndarray, sizes: np.ndarray, end: int, none: int, pick=slice(
     return np.where(ok, source, none).astype(np.int64), target, nth == 0, text
 
 
+def add_mask(a: np.ndarray, masks: np.ndarray, first: np.ndarray) -> None:
+    """Add to each window's scores (n, QUERIES, KEYS) its mask."""
+    opening = a[first] + masks[1]
+    a += masks[0]
+    a[first] = opening
+
+
+def peaks(a: np.ndarray) -> np.ndarray:
+    """``a.max(-1, keepdims=True)``, along long rows of a copy: short ones are slow."""
+    return np.ascontiguousarray(a.reshape(-1, a.shape[-1]).T).max(0).reshape(*a.shape[:-1], 1)
+
+
 def log_softmax(z: np.ndarray) -> np.ndarray:
     z = z - z.max(-1, keepdims=True)
     return z - np.log(np.exp(z).sum(-1, keepdims=True))
@@ -147,19 +160,18 @@ class Scorer:
         some = max(16 * step, -(-many // 64))  # windows built at a time
         for j in range(0, many, some):
             keys, target, first, _ = windows(ids, sizes, end, len(self.t.code) - 1, slice(j, j + some))
-            pick = first.astype(np.int64)
             for i in range(0, len(keys), step):
                 x, y = keys[i:i + step], target[i:i + step].ravel()
                 now = x[:, QUERIES:]
-                a = self.q[now] @ self.k[x].transpose(0, 2, 1)
-                a += self.mask[pick[i:i + step]]
-                a -= a.max(-1, keepdims=True)
+                a = self.q.take(now, 0) @ self.k.take(x, 0).transpose(0, 2, 1)
+                add_mask(a, self.mask, first[i:i + step])
+                a -= peaks(a)
                 np.exp(a, out=a)
-                mixed = (a @ self.v[x]) / a.sum(-1, keepdims=True)
+                mixed = (a @ self.v.take(x, 0)) / a.sum(-1, keepdims=True)
                 now = now.ravel()
                 # positions are columns, so that sums over classes run along rows
                 z = h2 @ mixed.reshape(-1, CODE).T
-                z += self.own[now].T
+                z += self.own.take(now, 0).T
                 np.maximum(z, 0, out=z)
                 z = self.o @ z
                 z += self.bias
@@ -176,15 +188,15 @@ class Scorer:
 def step(tables: Tables, w: dict[str, np.ndarray], keys: np.ndarray, target: np.ndarray,
          first: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Loss per id (of the class) and gradients of a batch of windows."""
-    e = tables.code[keys]
+    e = tables.code.take(keys, 0)
     now = np.ascontiguousarray(e[:, QUERIES:]).reshape(-1, CODE)
     flat, n = e.reshape(-1, CODE), len(keys)
     scale = np.float32(CODE ** -0.5)
     q = (now @ (w["q"] * scale)).reshape(n, QUERIES, CODE)
     k, v = (flat @ w["k"]).reshape(e.shape), (flat @ w["v"]).reshape(e.shape)
     a = q @ k.transpose(0, 2, 1)
-    a += mask(w["age"])[first.astype(np.int64)]
-    a -= a.max(-1, keepdims=True)
+    add_mask(a, mask(w["age"]), first)
+    a -= peaks(a)
     np.exp(a, out=a)
     a /= a.sum(-1, keepdims=True)
     mixed = (a @ v).reshape(-1, CODE)
@@ -217,7 +229,7 @@ def step(tables: Tables, w: dict[str, np.ndarray], keys: np.ndarray, target: np.
     dv, dq, dk = a.transpose(0, 2, 1) @ dmixed, ds @ k, ds.transpose(0, 2, 1) @ q
     g["v"], g["k"] = flat.T @ dv.reshape(-1, CODE), flat.T @ dk.reshape(-1, CODE)
     g["q"] = now.T @ dq.reshape(-1, CODE) * scale
-    g["age"] = np.bincount(_AGE.clip(0).ravel(), (ds.sum(0) * (_AGE >= 0)).ravel(), KEYS).astype(np.float32)
+    g["age"] = np.bincount(_AGE_AT, (ds.sum(0) * _PAST).ravel(), KEYS).astype(np.float32)
     return loss, g
 
 

@@ -97,6 +97,7 @@ def word_ends(path: str) -> np.ndarray:
 def _read(path: str, parts: int):
     """Blocks, word lists and context counts of the texts of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _SCORERS.clear()  # of an earlier job in this worker
         bpe, closes = word_bpe(path, CACHE_WORDS), word_ends(path)
         counts = np.zeros((VOCABULARY, A.CONTEXTS), np.int32)
         block = TaskContext.get().partitionId() << 32
@@ -253,6 +254,7 @@ def _scorer(shared) -> A.Scorer:
     tables, weights, closes, token = shared.value
     if token not in _SCORERS:
         _SCORERS.clear()
+        forget()
         _SCORERS[token] = A.Scorer(tables, weights, closes)
     return _SCORERS[token]
 

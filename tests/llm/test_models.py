@@ -190,6 +190,19 @@ def test_parts_follow_the_bytes_of_the_texts(docs_of, monkeypatch):
     assert lm.parts_for(docs_of([(i, "x") for i in range(50)])) == lm.parts_for(docs_of([])) == 8
 
 
+def test_masks_and_row_maxima_equal_the_plain_ones():
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=(9, attention.QUERIES, attention.KEYS)).astype(np.float32)
+    masks = attention.mask(rng.normal(size=attention.KEYS).astype(np.float32))
+    assert masks.shape == (2, attention.QUERIES, attention.KEYS)
+    for first in (rng.random(9) < 0.5, np.zeros(9, bool), np.ones(9, bool)):
+        got, want = a.copy(), a + masks[first.astype(int)]
+        attention.add_mask(got, masks, first)
+        assert (got == want).all()
+        assert (attention.peaks(got) == want.max(-1, keepdims=True)).all()
+    assert attention.peaks(a[:0]).shape == (0, attention.QUERIES, 1)
+
+
 # web archives --------------------------------------------------------------------------------------
 
 def lines_of(data: bytes):
