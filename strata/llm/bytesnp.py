@@ -73,12 +73,12 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hash of each word (a polynomial over random letter codes, finalized)."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, step: int = STEP) -> np.ndarray:
+    """64-bit hash of each word (a polynomial over random letter codes, finalized), ``step`` bytes at a time."""
     out = np.empty(len(starts), _U)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + STEP, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + step, "right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         up, down = POWERS.get(hi - lo + 1)
         piece = raw[lo:hi]

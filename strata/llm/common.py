@@ -63,9 +63,9 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    def save(self, df: DataFrame, name: str, by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> DataFrame:
         """Write ``df`` (in a folder per value of ``by``) and return the DataFrame that reads it back."""
-        df.write.mode("overwrite").partitionBy(*by).parquet(self.path(name))
+        df.write.mode("overwrite").options(**options or {}).partitionBy(*by).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

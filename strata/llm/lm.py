@@ -40,9 +40,15 @@ from .common import Stage, bytes_of, query, table
 from .subwords import default_path, forget, word_bpe
 
 BLOCK = 2 << 20
+RUN = 10_000  # texts; a block ends with each run of a task's texts, too
 CACHE_WORDS = 200_000  # per Python worker; a block looks each of its words up once
 PART_BYTES = 32 << 20  # of text for each part that adds up counts; its word lists take a few times that at most
-AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4", "spark.sql.parquet.columnarReaderBatchSize": "4"}
+HASHED = 1 << 18  # bytes of text whose powers and sums are held at a time
+# Blocks are rows of some MB: jobs on them hold one at a time, in buffers that Arrow and Parquet use again
+# (larger ones lie outside of the heap until the JVM happens to collect).
+AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.parquet.columnarReaderBatchSize": "1"}
+FEW_TEXTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
+PAGES = {"parquet.page.size.row.check.min": "1"}  # else a page holds 100 blocks
 ROUNDS = 3
 RATES = (1e-2, 5e-3, 2e-3)
 LEAST_STEPS = 120  # a part's windows are gone over again until it has taken so many steps
@@ -94,6 +100,22 @@ def word_ends(path: str) -> np.ndarray:
     return out
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's texts in blocks of about ``BLOCK`` bytes, whatever the size of the batches they come in."""
+    rest, seen = None, 0  # rest: the last block so far, which may go on
+    for batch in batches:
+        while batch.num_rows:
+            some = batch.slice(0, RUN - seen)
+            batch, seen = batch.slice(some.num_rows), seen + some.num_rows
+            *whole, rest = by_size([some if rest is None else pa.concat_batches([rest, some])], "body", BLOCK)
+            yield from whole
+            if seen == RUN:
+                yield rest
+                rest, seen = None, 0
+    if rest is not None:
+        yield rest
+
+
 def _read(path: str, parts: int):
     """Blocks, word lists and context counts of the texts of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,19 +123,19 @@ def _read(path: str, parts: int):
         bpe, closes = word_bpe(path, CACHE_WORDS), word_ends(path)
         counts = np.zeros((VOCABULARY, A.CONTEXTS), np.int32)
         block = TaskContext.get().partitionId() << 32
-        for batch in by_size(batches, "body", BLOCK):
+        for batch in blocks(batches):
             raw, offsets = buffer_of(batch["body"])
             starts, ends = word_spans(raw, offsets)
-            hashes, first, words = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+            hashes, first, words = np.unique(
+                word_hashes(raw, starts, ends, step=HASHED), return_index=True, return_inverse=True)
             word_at = np.concatenate([np.searchsorted(starts, offsets[:-1]), [len(starts)]])
-            low, lookup = LOWER[raw].tobytes(), bpe.lookup()
-            packed = [lookup(low[s:e]) for s, e in zip(starts[first].tolist(), ends[first].tolist())]
-            ids = np.frombuffer(b"".join(packed), "<u4").astype(np.uint16)
-            id_at = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed], dtype=np.int64)])
+            low = LOWER[raw].tobytes()
+            ids, per_word = bpe.cut([low[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())])
+            ids, id_at = ids.astype(np.uint16), np.concatenate([[0], np.cumsum(per_word)])
             held = batch["held"].to_numpy(zero_copy_only=False)
             yield _rows(TEXTS, block=[block], keys=[batch["id"].to_pylist()], held=[held.tolist()],
                         a=[word_at.astype(np.int64).tobytes()], b=[words.astype(np.uint32).tobytes()],
-                        c=[np.diff(id_at).astype(np.uint32).tobytes()], d=[ids.tobytes()])
+                        c=[per_word.astype(np.uint32).tobytes()], d=[ids.tobytes()])
             learnt = np.repeat(~held, np.diff(word_at))
             tf = np.bincount(words[learnt], minlength=len(hashes)).astype(np.uint32)
             cut = np.searchsorted(part_of(hashes, parts), np.arange(parts + 1))
@@ -163,6 +185,7 @@ def training_windows(row: dict, r: int) -> tuple[np.ndarray, ...]:
 
 def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of a part's words, one row for each block's list; ``v``, ``n``: distinct and all words."""
+    forget()
     lists = [np.frombuffer(x, np.uint64) for x in pdf["a"]]
     words, at = np.unique(np.concatenate(lists), return_inverse=True)
     total = np.bincount(at, np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["b"]]), len(words)).astype(np.int64)
@@ -184,11 +207,11 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
 
 
 @contextmanager
-def few_rows_at_once(spark: SparkSession) -> Iterator[None]:
-    """Blocks are rows of some MB: jobs run inside hold a few of them at a time."""
-    before = {k: spark.conf.get(k) for k in AT_ONCE}
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Spark's settings for the jobs run inside."""
+    before = {k: spark.conf.get(k) for k in wanted}
     try:
-        for k, n in AT_ONCE.items():
+        for k, n in wanted.items():
             spark.conf.set(k, n)
         yield
     finally:
@@ -235,7 +258,7 @@ def fit(stage: Stage, texts: DataFrame, cells: DataFrame) -> tuple[A.Tables, dic
             return pd.DataFrame({"grp": pdf["grp"][:1], "n": [int(n.sum())], "w": [mean.astype(np.float32).tobytes()]})
 
         shape = "grp int, n long, w binary"
-        with few_rows_at_once(spark):
+        with settings(spark, AT_ONCE):
             got = texts.select("block", "held", "a", "b", "c", "d").mapInArrow(learn, shape).where("n > 0") \
                 .groupBy("grp").applyInPandas(lambda pdf: average(pdf), shape).collect()  # 64 rows at most
         if not got:
@@ -320,7 +343,8 @@ def lm_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenize
     parts = parts_for(docs, text)
     held = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % HOLD_MODULUS == HOLD_REST
     rows = docs.select(F.col(key).cast("long").alias("id"), held.alias("held"), bytes_of(text).alias("body"))
-    read = stage.save(rows.mapInArrow(_read(path, parts), ROWS), "read", by=("kind",))
+    with settings(spark, FEW_TEXTS):
+        read = stage.save(rows.mapInArrow(_read(path, parts), ROWS), "read", by=("kind",), options=PAGES)
     texts = read.where(F.col("kind") == TEXTS)
 
     added = read.where(F.col("kind") == WORDS).select("block", "part", "a", "b").groupBy("part").applyInPandas(
@@ -337,7 +361,7 @@ def lm_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenize
     counts = added.groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("parts"))
     scored = texts.select("block", "keys", "held", "a", "b", "c", "d").join(counts, "block", "left") \
         .select("keys", "held", "a", "b", "c", "d", "parts").mapInArrow(_score(shared, total, distinct, learnt), OUT)
-    with few_rows_at_once(spark):
+    with settings(spark, AT_ONCE):
         scored = stage.save(scored, "scored")
     stage.drop("read")
     stage.drop("added")

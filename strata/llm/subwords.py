@@ -7,12 +7,22 @@ of the words it has met (a bounded cache) and joins them.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
 
 CACHE_WORDS = 500_000
 CACHE_PIECES = 500_000
+CUT_WORDS = 1 << 14  # at a time
+WORD_OVER = 0xFFFFFFFF  # no id
+LONGEST_KEPT = 256  # characters; longer pieces are cut each time, so that the cache is bounded in bytes
+ODD_MARK = "\x01"  # before a word for the whole tokenizer
+ODD = re.compile(r"[^!-~À-ÖØ-öø-ÿ\n]|<\|")
+LINE_PIECES = re.compile(r"\x01[^\n]*|\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+")
 
 
 def default_path() -> str:
@@ -51,7 +61,7 @@ class WordBpe:
         letters = _byte_letters()
         self.letter = {chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
         self.pieces: dict[str, bytes] = {}
-        self.words = _Words(self)
+        self.words, self.found = _Words(self), _Pieces(self)
 
     def piece(self, p: str) -> bytes:
         got = self.pieces.get(p)
@@ -75,6 +85,25 @@ class WordBpe:
             self.words.clear()
         return self.words.__getitem__
 
+    def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and how many each has.
+
+        Keeps pieces only, and cuts some thousand words by one search."""
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for i in range(0, len(words), CUT_WORDS):
+            text = b"\n".join([*words[i:i + CUT_WORDS], b""]).decode("utf-8", "replace")
+            if ODD.search(text):
+                text = "\n".join([ODD_MARK + w if ODD.search(w) else w.lower() for w in text.split("\n")])
+            else:
+                text = text.lower()
+            if len(self.found) >= self.most_pieces:
+                self.found.clear()
+            flat = np.frombuffer(b"".join(map(self.found.__getitem__, LINE_PIECES.findall(text))), "<u4")
+            ends = np.flatnonzero(flat == WORD_OVER)
+            ids.append(flat[flat != WORD_OVER])
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def packed(self, text: bytes) -> bytes:
         """The text's ids as little-endian unsigned 32-bit numbers."""
         return b"".join(map(self.lookup(), text.split()))
@@ -89,6 +118,25 @@ class _Words(dict):
         return ids
 
 
+class _Pieces(dict):
+    """Packed ids of the pieces (and marked odd words) of words in lines; a line's end is ``WORD_OVER``."""
+
+    def __init__(self, owner: WordBpe):
+        self.owner = owner
+
+    def __missing__(self, p: str) -> bytes:
+        if p == "\n":
+            ids = [WORD_OVER]
+        elif p[0] == ODD_MARK:
+            ids = self.owner.whole.encode(p[1:], add_special_tokens=False).ids
+        else:
+            ids = [t.id for t in self.owner.model.tokenize(p if p.isascii() else "".join(self.owner.letter.get(c, c) for c in p))]
+        packed = array("I", ids).tobytes()
+        if len(p) <= LONGEST_KEPT:
+            self[p] = packed
+        return packed
+
+
 _LOADED: dict[str, WordBpe] = {}
 
 
@@ -100,5 +148,11 @@ def word_bpe(path: str, cache: int | None = None) -> WordBpe:
 
 
 def forget() -> None:
-    """Free the tokenizers and word caches of this Python worker."""
+    """Free the tokenizers and word caches of this Python worker, and give what is free back to the system."""
     _LOADED.clear()
+    gc.collect()  # caches and tokenizers refer to each other
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -203,6 +204,58 @@ def test_masks_and_row_maxima_equal_the_plain_ones():
     assert attention.peaks(a[:0]).shape == (0, attention.QUERIES, 1)
 
 
+def test_blocks_do_not_depend_on_the_batches(monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 1000)
+    monkeypatch.setattr(lm, "RUN", 70)
+    rng = random.Random(8)
+    texts = [b"x" * rng.choice([0, 5, 200, 999, 1000, 1001, 3000]) for _ in range(300)]
+    table = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts, pa.binary())], names=["id", "body"])
+    cuts = lambda batches: [b["id"].to_pylist() for b in batches]
+    want = cuts(lm.by_size((table.slice(i, 70) for i in range(0, 300, 70)), "body", 1000))
+    assert sum(want, []) == list(range(300))
+    for n in (1, 7, 70, 300):
+        assert cuts(lm.blocks(table.slice(i, n) for i in range(0, 300, n))) == want
+    assert cuts(lm.blocks(iter([]))) == cuts(lm.blocks(iter([table.slice(0, 0)]))) == []
+
+
+def test_words_cut_together_have_the_ids_of_words_cut_alone():
+    bpe = subwords.WordBpe(subwords.default_path(), 50)
+    words = ["the", "don't", "we'll.", "É", "çava", "x1234", "3.5%", "'s", "straße,", "×", "日本語", "a\x01b", "\x01", "<|endoftext|>", "a<|b",
+             "ÉCOLE", "İx", "ΟΔΟΣ", "µm", "...", "7" * 300, "é" * 400, "�"]
+    words = [w.encode() for w in [*words, *(f"w{i}q" for i in range(200)), *words]] + [b"\xff\xfebad"]
+    want = [np.frombuffer(bpe.word(w), "<u4").tolist() for w in words]
+    for _ in range(2):
+        ids, sizes = bpe.cut(words)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    assert max(map(len, bpe.found)) <= subwords.LONGEST_KEPT
+    assert [len(x) for x in bpe.cut([])] == [0, 0]
+
+
+def test_forgotten_tokenizers_are_freed():
+    import gc
+    import weakref
+
+    gone = weakref.ref(subwords.word_bpe(subwords.default_path(), 1000))
+    gc.disable()
+    try:
+        subwords.forget()
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
+def test_jobs_on_blocks_hold_one_at_a_time(spark, docs_of, monkeypatch):
+    assert set(lm.AT_ONCE.values()) == {"1"}
+    rows = []
+    monkeypatch.setattr(lm.Stage, "save", lambda self, df, name, by=(), options=None, save=lm.Stage.save: (
+        rows.append((name, options, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))), save(self, df, name, by, options))[1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert lm.lm_scores(docs_of([(1, "a stone"), (2, "the river")])).count() == 2
+    # the texts come some hundred at a time, the blocks one by one, and are written in pages of their own
+    assert rows == [("read", lm.PAGES, "500"), ("added", None, before), ("scored", None, "1")]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 # web archives --------------------------------------------------------------------------------------
 
 def lines_of(data: bytes):
