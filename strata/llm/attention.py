@@ -245,13 +245,18 @@ class Learner:
         self.w = {k: x.reshape(w[k].shape) for k, x in zip(self.names, np.split(self.flat, cuts))}
         self.m1, self.m2 = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
+    def gradients(self, keys: np.ndarray, target: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
+        return step(self.tables, self.w, keys, target, first)[1]
+
     def learn(self, keys: np.ndarray, target: np.ndarray, first: np.ndarray, batch: int = 64) -> None:
         for i in range(0, len(keys), batch):
             self.steps += 1
             t = self.steps
-            _, g = step(self.tables, self.w, keys[i:i + batch], target[i:i + batch], first[i:i + batch])
+            g = self.gradients(keys[i:i + batch], target[i:i + batch], first[i:i + batch])
             g = np.concatenate([g[k].ravel() for k in self.names])
-            self.m1 = 0.9 * self.m1 + 0.1 * g
-            self.m2 = 0.99 * self.m2 + 0.01 * g ** 2
+            self.m1 *= 0.9
+            self.m1 += 0.1 * g
+            self.m2 *= 0.99
+            self.m2 += 0.01 * g ** 2
             self.flat -= (self.rate * min(1.0, t / 20) * (self.m1 / (1 - 0.9 ** t))
-                          / (np.sqrt(self.m2 / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
+                          / (np.sqrt(self.m2 / (1 - 0.99 ** t)) + 1e-8))

@@ -35,10 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import attention as A
+from . import attention_graph
 from .bytesnp import LOWER, buffer_of, by_size, word_hashes, word_spans
 from .common import Stage, bytes_of, query, table
 from .subwords import default_path, forget, word_bpe
 
+PRODUCTS = attention_graph if attention_graph.READY else A  # numpy does the same, more slowly
 BLOCK = 2 << 20
 RUN = 10_000  # texts; a block ends with each run of a task's texts, too
 CACHE_WORDS = 200_000  # per Python worker; a block looks each of its words up once
@@ -151,8 +153,7 @@ def _read(path: str, parts: int):
                 begin = np.cumsum(sizes) - sizes
                 before = np.concatenate([[END], flat[:-1]])
                 before[begin] = END
-                cell, n = np.unique(flat * A.CONTEXTS + A.contexts(before, closes), return_counts=True)
-                counts.ravel()[cell] += n.astype(np.int32)
+                np.add.at(counts.ravel(), flat * A.CONTEXTS + A.contexts(before, closes), np.int32(1))
             block += 1
         cell = np.flatnonzero(counts)
         if len(cell):
@@ -234,7 +235,7 @@ def fit(stage: Stage, texts: DataFrame, cells: DataFrame) -> tuple[A.Tables, dic
 
         def learn(batches: Iterator[pa.RecordBatch], r=r, given=given) -> Iterator[pa.RecordBatch]:
             own = A.Tables(*shared.value, np.empty(0))
-            learner, n = A.Learner(own, _unpack(given), RATES[r]), 0
+            learner, n = PRODUCTS.Learner(own, _unpack(given), RATES[r]), 0
             forget()  # all words are cut by now
             last: list = []
             for batch in batches:
@@ -269,7 +270,7 @@ def fit(stage: Stage, texts: DataFrame, cells: DataFrame) -> tuple[A.Tables, dic
     return tables, weights
 
 
-_SCORERS: dict[str, A.Scorer] = {}
+_SCORERS: dict[str, A.Scorer | attention_graph.Scorer] = {}
 
 
 def _scorer(shared) -> A.Scorer:
@@ -278,7 +279,7 @@ def _scorer(shared) -> A.Scorer:
     if token not in _SCORERS:
         _SCORERS.clear()
         forget()
-        _SCORERS[token] = A.Scorer(tables, weights, closes)
+        _SCORERS[token] = PRODUCTS.Scorer(tables, weights, closes)
     return _SCORERS[token]
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from strata.llm import attention, lm, quality, subwords, warc
+from strata.llm import attention, attention_graph, lm, quality, subwords, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -204,6 +204,31 @@ def test_masks_and_row_maxima_equal_the_plain_ones():
     assert attention.peaks(a[:0]).shape == (0, attention.QUERIES, 1)
 
 
+def test_graphs_give_what_numpy_gives():
+    pytest.importorskip("onnxruntime")
+    assert lm.PRODUCTS is attention_graph
+    t, rng = tables(), np.random.default_rng(9)
+    t.kind[t.kind == 3] = 4  # a class without ids
+    closes = np.arange(51) % 3 == 0
+    for scale, near in ((1, 1e-5), (8, 1e-3)):
+        w = {k: (x * scale + rng.normal(size=x.shape) * 0.1).astype(np.float32) for k, x in attention.start_weights().items()}
+        sizes = np.array([0, 1, 15, 16, 17, 0, 300, 33])
+        ids = rng.integers(0, 50, sizes.sum())
+        windows = attention.windows(ids, sizes, 49, 50)[:3]
+        g, want = attention_graph.Learner(t, w, 0.1).gradients(*windows), attention.step(t, w, *windows)[1]
+        assert g.keys() == want.keys()
+        for k in want:
+            assert np.allclose(g[k].reshape(want[k].shape), want[k], atol=near * abs(want[k]).max()), k
+        got = attention_graph.Scorer(t, w, closes).log_probs(ids, sizes, 49, 8)
+        assert np.allclose(got, attention.Scorer(t, w, closes).log_probs(ids, sizes, 49), rtol=near, atol=near)
+        assert len(attention_graph.Scorer(t, w, closes).log_probs(ids[:0], np.array([0, 0]), 49)) == 0
+    both = [kind.Learner(t, attention.start_weights(), 1e-2) for kind in (attention, attention_graph)]
+    for learner in both:
+        for _ in range(5):
+            learner.learn(*windows, batch=7)
+    assert both[0].steps == both[1].steps and np.allclose(both[0].flat, both[1].flat, atol=1e-3)
+
+
 def test_blocks_do_not_depend_on_the_batches(monkeypatch):
     monkeypatch.setattr(lm, "BLOCK", 1000)
     monkeypatch.setattr(lm, "RUN", 70)
