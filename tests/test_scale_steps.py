@@ -4,7 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from strata import session
 from strata.operators import profiling, records, stats
+from strata.plans import q_features
 from strata.plans.catalog import load_all
 from strata.sources import io
 
@@ -57,3 +59,34 @@ def test_key_coverage_keeps_no_plain_value_as_variant(spark, monkeypatch):
     got = {r["path"]: (r["records"], r["samples"]) for r in records.json_key_coverage(df, "id", "doc").collect()}
     assert got == {"a": (2, "3"), "a.b": (1, "1"), "c": (2, "x"), "d": (1, "")}
     assert all(x.where("_v IS NOT NULL AND _kind NOT IN ('OBJECT', 'ARRAY')").isEmpty() for x in levels)
+
+
+def _staged_tables(spark):
+    return {f for f in os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) if f.startswith("staged-")}
+
+
+def test_a_table_in_parts_has_every_row_once(spark):
+    df = spark.createDataFrame([(k, y, i) for i, (k, y) in enumerate([("a", "1"), ("a", "2"), (None, "1"), ("b", None), (None, None), ("a", "1")])],
+                               "k string, y string, i int")
+    before = _staged_tables(spark)
+    out = session.staged_in_parts(spark, lambda i: session.staged(df).where(session.part_of(i, 3, "k", "y")), 3)
+    assert sorted(r["i"] for r in out.collect()) == list(range(6))
+    assert len(_staged_tables(spark) - before) == 1  # what was staged for a part is gone
+    with session.scratch(spark):
+        kept = session.staged(out, keep=True)
+        session.staged(out)
+    assert len(_staged_tables(spark) - before) == 2 and kept.count() == 6
+
+
+def test_features_in_parts_are_the_same_and_leave_one_table(spark, monkeypatch):
+    """The facts and each source's features stayed in the checkpoint folder; all shuffle files were there at once."""
+    def rows(df):
+        return sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
+
+    before = _staged_tables(spark)
+    whole = q_features.all_features(spark, SF_SMOKE)
+    assert len(_staged_tables(spark) - before) == 1
+    monkeypatch.setattr(q_features, "PART_FROM_BYTES", 0)
+    assert q_features.feature_parts(spark, SF_SMOKE) == q_features.PARTS
+    assert rows(q_features.all_features(spark, SF_SMOKE)) == rows(whole)
+    assert len(_staged_tables(spark) - before) == 2
