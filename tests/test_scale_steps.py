@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata import session
 from strata.operators import profiling, records, stats
-from strata.plans import q_features
+from strata.plans import q_features, q_model
 from strata.plans.catalog import load_all
 from strata.sources import io
 
@@ -90,3 +90,16 @@ def test_features_in_parts_are_the_same_and_leave_one_table(spark, monkeypatch):
     assert q_features.feature_parts(spark, SF_SMOKE) == q_features.PARTS
     assert rows(q_features.all_features(spark, SF_SMOKE)) == rows(whole)
     assert len(_staged_tables(spark) - before) == 2
+
+
+def test_training_table_in_parts_is_the_same_and_only_it_and_the_profile_stay(spark, monkeypatch):
+    def rows(df):
+        return sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
+
+    before = _staged_tables(spark)
+    whole, _ = q_model._training(spark, SF_SMOKE)
+    assert len(_staged_tables(spark) - before) == 2
+    monkeypatch.setattr(q_features, "PART_FROM_BYTES", 0)
+    parts, _ = q_model._training(spark, SF_SMOKE)
+    assert parts.schema == whole.schema and rows(parts) == rows(whole)
+    assert len(_staged_tables(spark) - before) == 4
