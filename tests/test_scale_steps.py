@@ -84,6 +84,7 @@ def test_features_in_parts_are_the_same_and_leave_one_table(spark, monkeypatch):
         return sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
 
     before = _staged_tables(spark)
+    assert q_features.feature_parts(spark, SF_SMOKE) == 1
     whole = q_features.all_features(spark, SF_SMOKE)
     assert len(_staged_tables(spark) - before) == 1
     monkeypatch.setattr(q_features, "PART_FROM_BYTES", 0)
